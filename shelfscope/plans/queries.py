@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from shelfscope.operators import calendar
+from shelfscope.operators import calendar, pos
 from shelfscope.plans.job import MartJob
 from shelfscope.sources.testviews import build_sources, test_params
 
@@ -55,4 +55,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pos_rollup_ic": lambda s, d: doubles(job_for(s, d).pos_ic),
     "pos_rollup_plain": lambda s, d: doubles(job_for(s, d).pos_plain),
     "category_share": lambda s, d: job_for(s, d).category_share,
+    "pos_store_facts": lambda s, d: doubles(job_for(s, d).pos_facts),
+    "pos_share_growth": lambda s, d: doubles(job_for(s, d).pos_metrics),
+    "pos_placeholder_rows": lambda s, d: job_for(s, d).pos_placeholders,
+    "pos_chain_rank": lambda s, d: pos.pos_chain_rank(job_for(s, d).pos_metrics),
+    "chain_store_count": lambda s, d: pos.chain_store_count(job_for(s, d).spr_stores),
+    "pos_summary": lambda s, d: doubles(job_for(s, d).pos_rows),
+    "pos_weekly": lambda s, d: doubles(job_for(s, d).pos_weekly_rows),
 }

@@ -18,6 +18,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8) -> SparkSe
         SparkSession.builder.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
         .appName("shelfscope")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
