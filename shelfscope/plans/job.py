@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.operators import calendar, masters, pos
+from shelfscope.operators import calendar, key_brand, masters, pos, shipment
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
 from shelfscope.plans.stages import materialize
@@ -131,3 +131,53 @@ class MartJob:
     @cached_property
     def category_share_rows(self) -> DataFrame:
         return pos.category_share_emit(self.category_share)
+
+    # ---- shipments ------------------------------------------------------------------
+    @cached_property
+    def matrl_hier(self) -> DataFrame:
+        return shipment.material_hierarchy(self.src.prod_matrl)
+
+    @cached_property
+    def cust_hier(self) -> DataFrame:
+        return shipment.customer_hierarchy(self.src.cust_pivot)
+
+    @cached_property
+    def shipment_detail(self) -> DataFrame:
+        return materialize(shipment.shipment_detail(
+            self.src.shipments, self.src.cal_wk, self.cust_hier, self.matrl_hier, self.pos_frames),
+            self.params)
+
+    @cached_property
+    def shipment_current(self) -> DataFrame:
+        return shipment.shipment_current(self.shipment_detail, self.pos_frames)
+
+    @cached_property
+    def shipment_year_ago(self) -> DataFrame:
+        return shipment.shipment_year_ago(self.shipment_detail, self.pos_frames, self.params)
+
+    @cached_property
+    def shipment_summary(self) -> DataFrame:
+        return shipment.shipment_summary(self.covered_stores, self.matrl_hier, self.shipment_current,
+                                         self.shipment_year_ago, self.pos_frames, self.params)
+
+    @cached_property
+    def shipment_rows(self) -> DataFrame:
+        return shipment.shipment_emit(self.shipment_summary)
+
+    # ---- key brands -----------------------------------------------------------------
+    @cached_property
+    def key_brand_base(self) -> DataFrame:
+        return key_brand.key_brand_base(self.spr_stores, self.products, self.pos_frames, self.pos_ic,
+                                        self.params)
+
+    @cached_property
+    def key_brand_metrics(self) -> DataFrame:
+        return materialize(key_brand.key_brand_metrics(self.key_brand_base, self.params), self.params)
+
+    @cached_property
+    def key_brand_ranked(self) -> DataFrame:
+        return key_brand.key_brand_chain_rank(self.key_brand_metrics, self.params)
+
+    @cached_property
+    def key_brand_rows(self) -> DataFrame:
+        return key_brand.key_brand_emit(self.key_brand_ranked, self.spr_stores)

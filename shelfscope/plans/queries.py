@@ -62,4 +62,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chain_store_count": lambda s, d: pos.chain_store_count(job_for(s, d).spr_stores),
     "pos_summary": lambda s, d: doubles(job_for(s, d).pos_rows),
     "pos_weekly": lambda s, d: doubles(job_for(s, d).pos_weekly_rows),
+    "shipment_detail": lambda s, d: doubles(job_for(s, d).shipment_detail),
+    "shipment_current": lambda s, d: doubles(job_for(s, d).shipment_current),
+    "shipment_year_ago": lambda s, d: doubles(job_for(s, d).shipment_year_ago),
+    "shipment_summary": lambda s, d: doubles(job_for(s, d).shipment_summary),
+    "key_brand_base": lambda s, d: doubles(job_for(s, d).key_brand_base),
+    "key_brand_metrics": lambda s, d: doubles(job_for(s, d).key_brand_metrics.drop("_ck")),
+    "key_brand_chain_rank": lambda s, d: doubles(job_for(s, d).key_brand_ranked.drop("_ck")),
+    "key_brand_emit": lambda s, d: doubles(job_for(s, d).key_brand_rows),
 }
