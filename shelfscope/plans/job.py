@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.operators import calendar, key_brand, masters, pos, shipment
+from shelfscope.operators import calendar, drivers, key_brand, masters, pos, shipment, visits
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
 from shelfscope.plans.stages import materialize
@@ -181,3 +181,87 @@ class MartJob:
     @cached_property
     def key_brand_rows(self) -> DataFrame:
         return key_brand.key_brand_emit(self.key_brand_ranked, self.spr_stores)
+
+    # ---- visits and priorities ------------------------------------------------------
+    @cached_property
+    def visit_detail(self) -> DataFrame:
+        return materialize(visits.visit_audit_detail(
+            self.src.visit_audit, self.src.cal_day, self.src.prod_matrl, self.covered_stores,
+            self.psd_frames), self.params)
+
+    @cached_property
+    def latest_visits(self) -> DataFrame:
+        return visits.latest_visits(self.visit_detail)
+
+    @cached_property
+    def oos(self) -> DataFrame:
+        return materialize(visits.oos_summary(self.visit_detail, self.psd_frames), self.params)
+
+    @cached_property
+    def visit_priority(self) -> DataFrame:
+        return visits.priority_latest(self.src.priority_stat, self.latest_visits, self.psd_frames,
+                                      self.covered_stores)
+
+    @cached_property
+    def priority_weeks(self) -> DataFrame:
+        return visits.priority_weeks(self.visit_priority, self.latest_visits)
+
+    @cached_property
+    def priority_rollup(self) -> DataFrame:
+        return visits.priority_rollup(self.priority_weeks)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return materialize(visits.events_split(self.priority_rollup), self.params)
+
+    # ---- drivers --------------------------------------------------------------------
+    @cached_property
+    def drv_individual(self) -> DataFrame:
+        return drivers.individual_categories(self.covered_stores, self.products, self.psd_frames, self.params)
+
+    @cached_property
+    def drv_active(self) -> DataFrame:
+        return materialize(drivers.active_categories(
+            self.drv_individual, self.events, self.oos, self.pos_plain, self.params), self.params)
+
+    @cached_property
+    def drv_event_cats(self) -> DataFrame:
+        return drivers.event_categories(self.drv_active)
+
+    @cached_property
+    def drv_store_lists(self) -> DataFrame:
+        return drivers.store_category_lists(self.drv_individual, self.drv_active, self.drv_event_cats)
+
+    @cached_property
+    def drv_matrix(self) -> DataFrame:
+        return materialize(drivers.driver_matrix(self.drv_store_lists, self.drv_active), self.params)
+
+    @cached_property
+    def drv_event_facts(self) -> DataFrame:
+        return drivers.event_facts(self.drv_matrix, self.events)
+
+    @cached_property
+    def drv_store_facts(self) -> DataFrame:
+        return materialize(drivers.store_facts(
+            self.drv_matrix, self.drv_event_facts, self.oos, self.pos_plain, self.params), self.params)
+
+    @cached_property
+    def drv_chain_facts(self) -> DataFrame:
+        return drivers.chain_facts(self.drv_store_facts)
+
+    @cached_property
+    def drv_store_level(self) -> DataFrame:
+        return drivers.store_level(self.drv_store_facts)
+
+    @cached_property
+    def drv_chain_level(self) -> DataFrame:
+        return drivers.chain_level(self.drv_store_level)
+
+    @cached_property
+    def drv_summary(self) -> DataFrame:
+        return drivers.driver_summary(self.drv_store_facts, self.drv_chain_facts, self.drv_store_level,
+                                      self.drv_chain_level)
+
+    @cached_property
+    def driver_rows(self) -> DataFrame:
+        return drivers.driver_emit(self.drv_summary)

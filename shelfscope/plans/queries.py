@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from shelfscope.operators import calendar, pos
+from shelfscope.operators import calendar, pos, visits
 from shelfscope.plans.job import MartJob
 from shelfscope.sources.testviews import build_sources, test_params
 
@@ -70,4 +70,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_brand_metrics": lambda s, d: doubles(job_for(s, d).key_brand_metrics.drop("_ck")),
     "key_brand_chain_rank": lambda s, d: doubles(job_for(s, d).key_brand_ranked.drop("_ck")),
     "key_brand_emit": lambda s, d: doubles(job_for(s, d).key_brand_rows),
+    "visit_audit": lambda s, d: visits.with_visit_rank(job_for(s, d).visit_detail),
+    "oos_summary": lambda s, d: job_for(s, d).oos,
+    "priority_latest": lambda s, d: job_for(s, d).visit_priority,
+    "priority_weeks": lambda s, d: job_for(s, d).priority_weeks,
+    "priority_rollup": lambda s, d: job_for(s, d).priority_rollup,
+    "events_split": lambda s, d: job_for(s, d).events,
+    "driver_active_categories": lambda s, d: job_for(s, d).drv_active,
+    "driver_event_categories": lambda s, d: job_for(s, d).drv_event_cats,
+    "driver_category_list": lambda s, d: job_for(s, d).drv_store_lists,
+    "driver_matrix": lambda s, d: job_for(s, d).drv_matrix,
+    "driver_event_facts": lambda s, d: job_for(s, d).drv_event_facts,
+    "driver_store_facts": lambda s, d: job_for(s, d).drv_store_facts,
+    "driver_chain_facts": lambda s, d: job_for(s, d).drv_chain_facts,
+    "driver_rank": lambda s, d: job_for(s, d).drv_store_level,
+    "driver_chain_totals": lambda s, d: job_for(s, d).drv_chain_level,
+    "driver_summary": lambda s, d: job_for(s, d).driver_rows,
 }
