@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.operators import calendar, drivers, key_brand, masters, pos, shipment, visits
+from shelfscope.operators import calendar, drivers, key_brand, mart, masters, pos, shipment, visits
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
 from shelfscope.plans.stages import materialize
@@ -265,3 +265,32 @@ class MartJob:
     @cached_property
     def driver_rows(self) -> DataFrame:
         return drivers.driver_emit(self.drv_summary)
+
+    # ---- mart -----------------------------------------------------------------------
+    @cached_property
+    def families(self) -> list[DataFrame]:
+        return [self.shipment_rows, self.key_brand_rows, self.pos_rows, self.pos_weekly_rows,
+                self.category_share_rows, self.driver_rows]
+
+    @cached_property
+    def mart_union(self) -> DataFrame:
+        return materialize(mart.mart_union(self.families), self.params)
+
+    @cached_property
+    def mart_pruned(self) -> DataFrame:
+        return mart.prune_empty_categories(self.mart_union)
+
+    @cached_property
+    def location_rows(self) -> DataFrame:
+        return mart.location_rows(self.spr_stores, self.params)
+
+    @cached_property
+    def mart_enriched(self) -> DataFrame:
+        from shelfscope.sources.schemas import to_mart_rows
+
+        rows = mart.drop_blank_store_rows(self.mart_pruned).unionByName(to_mart_rows(self.location_rows))
+        return mart.enrich_with_store(rows, self.spr_stores, self.params)
+
+    @cached_property
+    def mart_final(self) -> DataFrame:
+        return mart.final_projection(self.mart_enriched, self.pos_run_dt, self.params)

@@ -86,4 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "driver_rank": lambda s, d: job_for(s, d).drv_store_level,
     "driver_chain_totals": lambda s, d: job_for(s, d).drv_chain_level,
     "driver_summary": lambda s, d: job_for(s, d).driver_rows,
+    "mart_union": lambda s, d: job_for(s, d).mart_union,
+    "prune_categories": lambda s, d: job_for(s, d).mart_pruned,
+    "location_master": lambda s, d: job_for(s, d).location_rows,
+    "enrich_store": lambda s, d: job_for(s, d).mart_enriched,
+    "mart_final": lambda s, d: job_for(s, d).mart_final,
 }
