@@ -28,7 +28,7 @@ def individual_categories(covered_stores: DataFrame, products: DataFrame, frames
                           params: MartParams) -> DataFrame:
     """Covered store x category x visit frame x metric."""
     grid = densify(covered_stores.select("sold_to_nbr", "chain_nbr").distinct(),
-                   products.select("catg_nm").distinct(), params)
+                   products.select("catg_nm").distinct(), params, spread_by=["sold_to_nbr"])
     grid = frames.with_each_code(grid)
     return grid.withColumn("metrc_nm", F.explode(F.array(*[F.lit(m) for m in METRICS]))).select(*MATRIX_KEYS)
 

@@ -54,7 +54,7 @@ def key_brand_base(spr_stores: DataFrame, products: DataFrame, frames: FrameSet,
         F.max(kept.cast("int")).alias("_has_kept"),
     )
     key_grid = frames.with_each_code(
-        densify(stores, products.select("ic_catg_nm").distinct(), params))
+        densify(stores, products.select("ic_catg_nm").distinct(), params, spread_by=["sold_to_nbr"]))
     keys = key_grid.join(status, ["sold_to_nbr", "ic_catg_nm", "tmfrm_cd"], "left").filter(
         F.col("_has_kept").isNull() | (F.col("_has_kept") == 1)
     ).withColumn("brand_nm", F.lit("KEY")).withColumn("type_cd", F.lit("Categories"))

@@ -101,7 +101,8 @@ def store_product_grid(spr_stores: DataFrame, products: DataFrame, params: MartP
     """
     sc = store_columns or [*GRID_STORE_COLUMNS, "src_nm"]
     pc = product_columns or ["catg_nm", "ic_catg_nm", "brand_nm"]
-    return densify(spr_stores.select(*sc).distinct(), products.select(*pc).distinct(), params)
+    return densify(spr_stores.select(*sc).distinct(), products.select(*pc).distinct(), params,
+                   spread_by=["sold_to_nbr"])
 
 
 def grid_categories(products: DataFrame) -> DataFrame:

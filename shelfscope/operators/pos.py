@@ -88,7 +88,8 @@ def pos_store_facts(spr_stores: DataFrame, products: DataFrame, frames: FrameSet
                     pos_ic: DataFrame, params: MartParams) -> DataFrame:
     """Densified own rows (store x IC category x brand x frame) + competitor rows."""
     store_keys = spr_stores.select("hier_type_cd", "sold_to_nbr", "chain_nbr", "src_nm").distinct()
-    grid = densify(store_keys, products.select("ic_catg_nm", "brand_nm").distinct(), params)
+    grid = densify(store_keys, products.select("ic_catg_nm", "brand_nm").distinct(), params,
+                   spread_by=["sold_to_nbr"])
     master = frames.with_each(grid).drop("pd_start_dt", "pd_start_yr_wk", "pd_end_dt")
     keys = ["sold_to_nbr", "ic_catg_nm", "brand_nm", "tmfrm_cd", "pd_end_yr_wk"]
     rolling = pos_ic.filter(F.col("tmfrm_cd").isin(*frames.codes()))
@@ -118,15 +119,20 @@ CALC_COLUMNS = ["agg_type", "hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr
                 "brand_nm", "tmfrm_cd", "pd_end_yr_wk", *MEASURES, *METRIC_COLUMNS, "src_nm"]
 
 
-def pos_share_growth(facts: DataFrame, params: MartParams) -> DataFrame:
+def pos_share_growth(facts: DataFrame, pos_ic: DataFrame, spr_stores: DataFrame, products: DataFrame,
+                     frames: FrameSet, params: MartParams) -> DataFrame:
     """Category share, store and chain totals and growth per fact row.
 
-    Store-level totals use windows after one shuffle by store (a store's rows
-    are bounded by the product grid).  Chain totals are a ``groupBy`` (partial
-    aggregation) joined back, so a chain holding a large share of all stores
-    never lands in a single window task.
+    * Store-level totals are windows after one shuffle of the facts by store (a
+      store's rows are bounded by the product grid).
+    * Chain totals are aggregated from the sparse POS rows joined to the store
+      keys (never from the dense grid, whose extra rows are zeros) and joined
+      back null-safely, so a chain holding a large share of all stores never
+      lands in a single window task.
+    * The competitor-store flag comes from the (small) POS roll-up.
     """
-    cmp = facts.filter(F.col("corp_nm") != params.own_corp).select("sold_to_nbr").distinct()
+    rolling = pos_ic.filter(F.col("tmfrm_cd").isin(*frames.codes()))
+    cmp = rolling.filter(F.col("corp_nm") != params.own_corp).select("sold_to_nbr").distinct()
     f = facts.join(cmp.select("sold_to_nbr", F.lit(True).alias("_has_cmp")), "sold_to_nbr", "left")
     f = f.repartition("sold_to_nbr")
     w_catg = Window.partitionBy("hier_type_cd", "sold_to_nbr", "ic_catg_nm", "tmfrm_cd", "pd_end_yr_wk")
@@ -138,8 +144,12 @@ def pos_share_growth(facts: DataFrame, params: MartParams) -> DataFrame:
         *[F.sum(m).over(w_store).alias(f"store_{m}") for m in MEASURES],
     )
     chain_keys = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
-    chain_tot = f.groupBy(*chain_keys).agg(*[F.sum(m).alias(f"chain_{m}") for m in MEASURES])
+    chain_tot = sparse_chain_totals(rolling, spr_stores, products, params)
     f = join_back_small(f, chain_tot, chain_keys, ["chain_nbr"], params)
+    own_row = F.col("corp_nm") == params.own_corp
+    for m in MEASURES:  # an own chain group made only of zero-filled grid rows sums to 0
+        f = f.withColumn(f"chain_{m}", F.when(F.col(f"chain_{m}").isNull() & own_row, F.lit(0))
+                         .otherwise(F.col(f"chain_{m}")))
 
     def cat_share(v: str, t: str):
         return F.when(F.col("_has_cmp").isNull() | (F.col(t) == 0), F.lit(0.0)).otherwise(
@@ -161,6 +171,28 @@ def pos_share_growth(facts: DataFrame, params: MartParams) -> DataFrame:
     )
 
 
+def sparse_chain_totals(rolling: DataFrame, spr_stores: DataFrame, products: DataFrame,
+                        params: MartParams) -> DataFrame:
+    """Chain totals of the fact rows of ``pos_store_facts`` without building the grid.
+
+    Own fact rows are (grid row, matching own POS row) pairs, i.e. POS rows of a
+    grid product joined to every distinct store key of their store; competitor
+    fact rows are competitor POS rows joined to every store-list row.
+    """
+    keys = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
+    own = rolling.filter(F.col("corp_nm") == params.own_corp).join(
+        products.select("ic_catg_nm", "brand_nm").distinct(), ["ic_catg_nm", "brand_nm"], "left_semi")
+    store_keys = spr_stores.select("hier_type_cd", "sold_to_nbr", "chain_nbr", "src_nm").distinct()
+    own_pairs = own.select("sold_to_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk",
+                           *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in MEASURES]).join(
+        store_keys.select("hier_type_cd", "sold_to_nbr", "chain_nbr"), "sold_to_nbr")
+    comp_pairs = rolling.filter(F.col("corp_nm") != params.own_corp).join(
+        spr_stores.select("sold_to_nbr", "hier_type_cd"), "sold_to_nbr")
+    cols = [*keys, *MEASURES]
+    return own_pairs.select(*cols).unionByName(comp_pairs.select(*cols)).groupBy(*keys).agg(
+        *[F.sum(m).alias(f"chain_{m}") for m in MEASURES])
+
+
 def join_back_small(df: DataFrame, totals: DataFrame, keys, null_safe, params: MartParams) -> DataFrame:
     """``join_back`` whose aggregate side is broadcast when its checked size allows."""
     totals = materialize(totals, params)
@@ -205,11 +237,20 @@ def chain_store_count(spr_stores: DataFrame) -> DataFrame:
         F.countDistinct("sold_to_nbr").cast("bigint").alias("chain_store_cnt"))
 
 
-def pos_summary_rows(metrics: DataFrame, placeholders: DataFrame, spr_stores: DataFrame) -> DataFrame:
+def small_side(df: DataFrame, params: MartParams) -> DataFrame:
+    """Materialise a per-store / per-chain table and broadcast it when its count allows."""
+    df = materialize(df, params)
+    if bounded_count(df, params.max_broadcast_rows) <= params.max_broadcast_rows:
+        return F.broadcast(df)
+    return df
+
+
+def pos_summary_rows(metrics: DataFrame, placeholders: DataFrame, spr_stores: DataFrame,
+                     params: MartParams) -> DataFrame:
     """P25-P26 joined onto facts + placeholder rows (``pos_tmfrm_sumry_final``)."""
     calc = metrics.select(*CALC_COLUMNS).unionByName(placeholders.select(*CALC_COLUMNS))
-    ranked = calc.join(pos_chain_rank(metrics), RANK_KEYS, "left")
-    return ranked.join(chain_store_count(spr_stores), ["hier_type_cd", "chain_nbr"], "left")
+    ranked = calc.join(small_side(pos_chain_rank(metrics), params), RANK_KEYS, "left")
+    return ranked.join(small_side(chain_store_count(spr_stores), params), ["hier_type_cd", "chain_nbr"], "left")
 
 
 def pos_summary_emit(final: DataFrame) -> DataFrame:

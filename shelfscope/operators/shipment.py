@@ -103,7 +103,7 @@ def shipment_summary(covered_stores: DataFrame, matrl_hier: DataFrame, current:
     plan_tos = stores.select("plan_to_nbr").distinct()
     pairs = matrl_hier.select("catg_nm", "brand_nm").distinct()
     seen = current.select("tmfrm_cd").distinct()
-    grid = frames.with_each_code(densify(plan_tos, pairs, params)).join(seen, "tmfrm_cd", "left_semi")
+    grid = frames.with_each_code(densify(plan_tos, pairs, params, spread_by=["plan_to_nbr"])).join(seen, "tmfrm_cd", "left_semi")
     cur = current.select(*KEYS, "gsv", F.col("src_nm").alias("_cur_src"), "kortex_upld_ts",
                          "kortex_dprct_ts")
     plan_level = grid.join(cur, KEYS, "left").join(year_ago, KEYS, "left")

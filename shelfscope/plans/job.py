@@ -105,7 +105,8 @@ class MartJob:
 
     @cached_property
     def pos_metrics(self) -> DataFrame:
-        return materialize(pos.pos_share_growth(self.pos_facts, self.params), self.params)
+        return materialize(pos.pos_share_growth(self.pos_facts, self.pos_ic, self.spr_stores, self.products,
+                                                self.pos_frames, self.params), self.params)
 
     @cached_property
     def pos_placeholders(self) -> DataFrame:
@@ -113,7 +114,7 @@ class MartJob:
 
     @cached_property
     def pos_final(self) -> DataFrame:
-        return pos.pos_summary_rows(self.pos_metrics, self.pos_placeholders, self.spr_stores)
+        return pos.pos_summary_rows(self.pos_metrics, self.pos_placeholders, self.spr_stores, self.params)
 
     @cached_property
     def pos_rows(self) -> DataFrame:

@@ -1,9 +1,11 @@
 """Stage boundaries: materialisation and size-checked dimension products.
 
-* ``materialize`` cuts lineage with a reliable checkpoint written to the
-  cluster's ``spark.checkpoint.dir`` (never a machine-local folder), so a lost
-  executor does not force a recompute of every upstream fact join, and stages
-  read by several metric families are computed once.
+* ``materialize`` cuts lineage by writing the stage as a Parquet table under
+  the cluster's ``spark.checkpoint.dir`` (the shared folder, never a
+  machine-local one) and reading it back.  A lost executor then does not force
+  a recompute of every upstream fact join, stages read by several metric
+  families are computed once, and later readers get column pruning and
+  predicate pushdown on the stage.
 * ``densify`` builds the store x product grids the mart is defined over.  The
   product side is a hierarchy dimension; its row count is checked before it is
   broadcast, and above the limit Spark's distributed cartesian product is used
@@ -12,16 +14,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.params import MartParams
+from shelfscope.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame, params: MartParams) -> DataFrame:
     if not params.materialize:
         return df
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_count(df: DataFrame, limit: int) -> int:
@@ -29,8 +37,20 @@ def bounded_count(df: DataFrame, limit: int) -> int:
     return df.limit(limit + 1).count()
 
 
-def densify(left: DataFrame, dim: DataFrame, params: MartParams) -> DataFrame:
-    """``left x dim`` where ``dim`` is a small dimension (size checked)."""
+def grid_partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def densify(left: DataFrame, dim: DataFrame, params: MartParams, spread_by=None) -> DataFrame:
+    """``left x dim`` where ``dim`` is a small dimension (size checked).
+
+    ``spread_by`` hash-partitions the (small) left side into the shuffle
+    partition count first, so the grid is generated by every task instead of
+    the one or two partitions the small left side would otherwise coalesce
+    into, and comes out partitioned by that key.
+    """
+    if spread_by:
+        left = left.repartition(grid_partitions(left.sparkSession), *spread_by)
     if bounded_count(dim, params.max_broadcast_rows) <= params.max_broadcast_rows:
         return left.join(F.broadcast(dim), how="cross")
     return left.join(dim, how="cross")
