@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfscope.plans.job import MartJob  # noqa: E402
 from shelfscope.session import get_spark  # noqa: E402
-from shelfscope.sources.testviews import build_sources, test_params  # noqa: E402
+from shelfscope.sources.testviews import build_sources, adapter_params  # noqa: E402
 
 FAMILIES = {
     "shipment_summary": "shipment_rows",
@@ -34,7 +34,7 @@ FAMILIES = {
 
 def run(spark, sf_dir: str, attr: str) -> float:
     t0 = time.time()
-    job = MartJob(spark, build_sources(spark, sf_dir), test_params())
+    job = MartJob(spark, build_sources(spark, sf_dir), adapter_params())
     getattr(job, attr).write.format("noop").mode("overwrite").save()
     return round(time.time() - t0, 3)
 

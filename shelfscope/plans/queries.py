@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType
 
 from shelfscope.operators import calendar, pos, visits
 from shelfscope.plans.job import MartJob
-from shelfscope.sources.testviews import build_sources, test_params
+from shelfscope.sources.testviews import build_sources, adapter_params
 
 _JOBS: dict[tuple, MartJob] = {}
 
@@ -26,7 +26,7 @@ def job_for(spark: SparkSession, sf_dir: str, **overrides) -> MartJob:
     """One ``MartJob`` per session, data folder and parameters (stages are reused)."""
     key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(overrides.items())))
     if key not in _JOBS:
-        _JOBS[key] = MartJob(spark, build_sources(spark, sf_dir), test_params(**overrides))
+        _JOBS[key] = MartJob(spark, build_sources(spark, sf_dir), adapter_params(**overrides))
     return _JOBS[key]
 
 
@@ -40,7 +40,7 @@ def doubles(df: DataFrame) -> DataFrame:
 
 def q_run_date(spark, sf_dir):
     j = job_for(spark, sf_dir)
-    params = test_params(visit_run_date=None, today=dt.date(2024, 2, 10))
+    params = adapter_params(visit_run_date=None, today=dt.date(2024, 2, 10))
     return calendar.run_date_frame(j.src.cal_day, params)
 
 

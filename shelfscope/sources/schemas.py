@@ -59,6 +59,18 @@ ENRICHED_COLUMNS = [
 ]
 
 
+def mart_struct():
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    return StructType.fromDDL(", ".join(f"{c} {t}" for c, t in MART_COLUMNS)) if hasattr(
+        StructType, "fromDDL") else _parse_datatype_string(", ".join(f"{c} {t}" for c, t in MART_COLUMNS))
+
+
+def empty_mart(spark) -> DataFrame:
+    """The mart's schema with no rows (the original clones it with an always-false select)."""
+    return spark.createDataFrame([], mart_struct())
+
+
 def to_mart_rows(df: DataFrame) -> DataFrame:
     """Align a family's insert to the full mart column list; missing columns are NULL.
 

@@ -30,7 +30,7 @@ PRIORITY_LABELS = (
 )
 
 
-def test_params(**overrides) -> MartParams:
+def adapter_params(**overrides) -> MartParams:
     base = dict(pos_run_date=POS_RUN_DATE, visit_run_date=VISIT_RUN_DATE, load_ts=LOAD_TS)
     base.update(overrides)
     return MartParams(**base)

@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The mart is a whole-batch full refresh: the original has no streams, watermarks,
+windows over event time or state.  A scheduled batch run of
+``shelfscope.plans.job.MartJob`` is the supported mode.
+"""
