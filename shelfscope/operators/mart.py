@@ -26,15 +26,19 @@ def mart_union(families: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [to_mart_rows(f) for f in families])
 
 
-def prune_empty_categories(rows: DataFrame) -> DataFrame:
-    """P50: drop categories whose value, true-in-store and alert totals are all <= 0
-    across every family.  A NULL category never matches the list, so it stays."""
+def empty_categories(rows: DataFrame) -> DataFrame:
+    """Categories whose value, true-in-store and alert totals are all <= 0 across every family."""
     totals = rows.groupBy("catg_nm").agg(
         F.coalesce(F.sum("sale_val"), F.lit(0.0)).alias("_v"),
         F.coalesce(F.sum("true_in_store_val"), F.lit(0.0)).alias("_t"),
         F.coalesce(F.sum("oos_alert_cnt"), F.lit(0.0)).alias("_o"),
     )
-    empty = totals.filter(~((F.col("_v") > 0) | (F.col("_t") > 0) | (F.col("_o") > 0))).select("catg_nm")
+    return totals.filter(~((F.col("_v") > 0) | (F.col("_t") > 0) | (F.col("_o") > 0))).select("catg_nm")
+
+
+def prune_empty_categories(rows: DataFrame, empty: DataFrame | None = None) -> DataFrame:
+    """P50: drop rows of empty categories (an anti join, so a NULL category stays)."""
+    empty = empty_categories(rows) if empty is None else empty
     return rows.join(empty, "catg_nm", "left_anti")
 
 
@@ -86,15 +90,22 @@ def store_attributes(spr_stores: DataFrame) -> DataFrame:
         F.col("_rn") == 1).drop("_rn")
 
 
-def enrich_with_store(rows: DataFrame, spr_stores: DataFrame, params: MartParams) -> DataFrame:
+def small_attributes(spr_stores: DataFrame, params: MartParams) -> DataFrame:
+    """Store attributes, materialised; broadcast only below the checked row limit."""
+    attrs = materialize(store_attributes(spr_stores), params)
+    if bounded_count(attrs, params.max_broadcast_rows) <= params.max_broadcast_rows:
+        attrs = F.broadcast(attrs)
+    return attrs
+
+
+def enrich_with_store(rows: DataFrame, spr_stores: DataFrame, params: MartParams,
+                      attrs: DataFrame | None = None) -> DataFrame:
     """Overwrite the 25 store columns on rows whose store is in the master.
 
     The attribute side has one row per store, so the mart never fans out.  It is
     broadcast only below the checked row limit; otherwise a shuffle join.
     """
-    attrs = materialize(store_attributes(spr_stores), params)
-    if bounded_count(attrs, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        attrs = F.broadcast(attrs)
+    attrs = small_attributes(spr_stores, params) if attrs is None else attrs
     a = attrs.select(F.col("sold_to_nbr").alias("_e_key"), F.lit(True).alias("_e_hit"),
                      *[F.col(c).alias(f"_e_{c}") for c in ENRICHED_COLUMNS])
     j = rows.join(a, F.col("sold_to_nbr") == F.col("_e_key"), "left")
@@ -144,3 +155,29 @@ def final_projection(rows: DataFrame, pos_run_dt: dt.date, params: MartParams) -
     return rows.select(*[
         defaulted.get(c, F.col(c)).cast(t).alias(c) for c, t in MART_COLUMNS
     ])
+
+
+def assemble(families: list[DataFrame], locations: DataFrame, spr_stores: DataFrame,
+             pos_run_dt: dt.date, params: MartParams) -> DataFrame:
+    """P49-P53 in one plan: prune, drop blank stores, enrich and project each family,
+    then union.
+
+    Same result as applying the steps to the union, but each family keeps its
+    own narrow plan, so the (mostly NULL) mart columns constant-fold per family
+    instead of being evaluated row by row on the 83-column union.  Category
+    totals are still global: they come from a narrow union of four columns.
+    """
+    aligned = [to_mart_rows(f) for f in families]
+    narrow = reduce(lambda a, b: a.unionByName(b), [
+        a.select("catg_nm", "sale_val", "true_in_store_val", "oos_alert_cnt") for a in aligned])
+    empty = materialize(empty_categories(narrow), params)
+    if bounded_count(empty, params.max_broadcast_rows) <= params.max_broadcast_rows:
+        empty = F.broadcast(empty)
+    attrs = small_attributes(spr_stores, params)
+
+    def finish(rows: DataFrame) -> DataFrame:
+        return final_projection(enrich_with_store(rows, spr_stores, params, attrs), pos_run_dt, params)
+
+    parts = [finish(drop_blank_store_rows(prune_empty_categories(a, empty))) for a in aligned]
+    parts.append(finish(to_mart_rows(locations)))
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -275,7 +275,9 @@ class MartJob:
 
     @cached_property
     def mart_union(self) -> DataFrame:
-        return materialize(mart.mart_union(self.families), self.params)
+        # Not materialised: every family reads materialised stages, and the prune step's
+        # totals only need four columns, which Catalyst prunes through each family's plan.
+        return mart.mart_union(self.families)
 
     @cached_property
     def mart_pruned(self) -> DataFrame:
@@ -294,4 +296,4 @@ class MartJob:
 
     @cached_property
     def mart_final(self) -> DataFrame:
-        return mart.final_projection(self.mart_enriched, self.pos_run_dt, self.params)
+        return mart.assemble(self.families, self.location_rows, self.spr_stores, self.pos_run_dt, self.params)
