@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscope.functions.columns import sorted_distinct_list, typed_null
+from shelfscope.functions.columns import money, sorted_distinct_list, typed_null
 from shelfscope.functions.joins import join_back
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import (
@@ -167,7 +167,8 @@ def store_facts(matrix: DataFrame, ev_facts: DataFrame, oos: DataFrame, pos_plai
         ev.select(*FACT_KEYS, *[(F.col(c) if c in ev.columns else F.lit(None)).cast("double").alias(c)
                                 for c in FACT_MEASURES])
         .unionByName(other.select(*FACT_KEYS, *[
-            (F.col(c) if c in other.columns else F.lit(None)).cast("double").alias(c) for c in FACT_MEASURES]))
+            (money(c) if c in POS_MEASURES else F.col(c) if c in other.columns else F.lit(None))
+            .cast("double").alias(c) for c in FACT_MEASURES]))
     )
 
 

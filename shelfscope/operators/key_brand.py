@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscope.functions.columns import dbl, share_or_zero, typed_null
+from shelfscope.functions.columns import money, share_or_zero, typed_null
 from shelfscope.functions.joins import join_back
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, HIER_NON_COVERED, MartParams
@@ -119,12 +119,12 @@ def key_brand_metrics(base: DataFrame, params: MartParams) -> DataFrame:
     return b.select(
         *BASE_COLUMNS, "_ck", "brand_sale_rank", "store_sale_val", "store_sale_qty",
         "chain_brand_sale_val", "chain_brand_sale_yr_ago_val",
-        share_or_zero(dbl("sale_val"), dbl("store_sale_val")).alias("sale_val_share_pct"),
+        share_or_zero(money("sale_val"), money("store_sale_val")).alias("sale_val_share_pct"),
         vs_val.alias("sale_vs_yr_ago_val"),
-        share_or_zero(dbl(vs_val), dbl("sale_yr_ago_val")).alias("sale_vs_yr_ago_val_pct"),
-        share_or_zero(dbl("sale_qty"), dbl("store_sale_qty")).alias("sale_qty_share_pct"),
+        share_or_zero(money(vs_val), money("sale_yr_ago_val")).alias("sale_vs_yr_ago_val_pct"),
+        share_or_zero(money("sale_qty"), money("store_sale_qty")).alias("sale_qty_share_pct"),
         vs_qty.alias("sale_vs_yr_ago_qty"),
-        share_or_zero(dbl(vs_qty), dbl("sale_yr_ago_qty")).alias("sale_vs_yr_ago_qty_pct"),
+        share_or_zero(money(vs_qty), money("sale_yr_ago_qty")).alias("sale_vs_yr_ago_qty_pct"),
         *[f"actl_store_{m}" for m in MEASURES],
     )
 
@@ -158,9 +158,9 @@ def key_brand_emit(ranked: DataFrame, spr_stores: DataFrame) -> DataFrame:
         "hier_type_cd", F.lit("KEY_BRAND").alias("metrc_nm"), "tmfrm_cd", "sold_to_nbr", "chain_nbr",
         "catg_nm", typed_null("string").alias("mult_catg_nm"),
         F.when(nc & (F.col("brand_nm") == "KEY"), F.lit("TOTAL")).otherwise(F.col("brand_nm")).alias("brand_nm"),
-        "corp_nm", *MEASURES,
+        "corp_nm", *[money(m).alias(m) for m in MEASURES],
         F.when(nc, F.col("chain_brand_sale_rank")).otherwise(F.col("brand_sale_rank")).alias("brand_sale_rank"),
-        "sale_val_share_pct", "sale_vs_yr_ago_val", "sale_vs_yr_ago_val_pct",
-        *[F.col(f"actl_store_{m}").alias(f"store_{m}") for m in MEASURES],
+        "sale_val_share_pct", money("sale_vs_yr_ago_val").alias("sale_vs_yr_ago_val"), "sale_vs_yr_ago_val_pct",
+        *[money(f"actl_store_{m}").alias(f"store_{m}") for m in MEASURES],
         "src_nm", "kortex_upld_ts", "kortex_dprct_ts",
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscope.functions.columns import hundred, dbl, growth_or_zero, share_or_null, typed_null
+from shelfscope.functions.columns import growth_or_zero, hundred, money, share_or_null, to_cents, typed_null
 from shelfscope.functions.joins import join_back
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import (
@@ -37,7 +37,7 @@ def _non_covered_stores(spr_stores: DataFrame) -> DataFrame:
 
 def _rollup_aggs():
     return [
-        *[F.sum(m).alias(m) for m in ALL_MEASURES],
+        *[F.sum(to_cents(m)).alias(m) for m in ALL_MEASURES],
         F.max("src_nm").alias("src_nm"),
         F.max("kortex_upld_ts").alias("kortex_upld_ts"),
         F.max("kortex_dprct_ts").alias("kortex_dprct_ts"),
@@ -153,7 +153,7 @@ def pos_share_growth(facts: DataFrame, pos_ic: DataFrame, spr_stores: DataFrame,
 
     def cat_share(v: str, t: str):
         return F.when(F.col("_has_cmp").isNull() | (F.col(t) == 0), F.lit(0.0)).otherwise(
-            hundred() * (dbl(v) / dbl(t)))
+            hundred() * (money(v) / money(t)))
 
     return f.select(
         F.lit("facts").alias("agg_type"), "hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr",
@@ -162,11 +162,11 @@ def pos_share_growth(facts: DataFrame, pos_ic: DataFrame, spr_stores: DataFrame,
         cat_share("sale_val", "total_catg_sale_val").alias("sale_val_share_pct"),
         cat_share("sale_yr_ago_val", "total_catg_sale_yr_ago_val").alias("sale_yr_ago_val_share_pct"),
         *[f"store_{m}" for m in MEASURES],
-        growth_or_zero(dbl("store_sale_val"), dbl("store_sale_yr_ago_val")).alias("store_sale_vs_yr_ago_val_pct"),
-        growth_or_zero(dbl("store_sale_qty"), dbl("store_sale_yr_ago_qty")).alias("store_sale_vs_yr_ago_qty_pct"),
+        growth_or_zero(money("store_sale_val"), money("store_sale_yr_ago_val")).alias("store_sale_vs_yr_ago_val_pct"),
+        growth_or_zero(money("store_sale_qty"), money("store_sale_yr_ago_qty")).alias("store_sale_vs_yr_ago_qty_pct"),
         *[f"chain_{m}" for m in MEASURES],
-        growth_or_zero(dbl("chain_sale_val"), dbl("chain_sale_yr_ago_val")).alias("chain_sale_vs_yr_ago_val_pct"),
-        growth_or_zero(dbl("chain_sale_qty"), dbl("chain_sale_yr_ago_qty")).alias("chain_sale_vs_yr_ago_qty_pct"),
+        growth_or_zero(money("chain_sale_val"), money("chain_sale_yr_ago_val")).alias("chain_sale_vs_yr_ago_val_pct"),
+        growth_or_zero(money("chain_sale_qty"), money("chain_sale_yr_ago_qty")).alias("chain_sale_vs_yr_ago_qty_pct"),
         "src_nm",
     )
 
@@ -258,10 +258,11 @@ def pos_summary_emit(final: DataFrame) -> DataFrame:
     return final.select(
         "hier_type_cd", F.lit("POS").alias("metrc_nm"), typed_null("string").alias("sub_metrc_nm"),
         "tmfrm_cd", _frame_desc().alias("tmfrm_desc"), "corp_nm", "sold_to_nbr", "chain_nbr",
-        F.col("ic_catg_nm").alias("catg_nm"), "brand_nm", *MEASURES,
-        "sale_val_share_pct", "sale_yr_ago_val_share_pct", *[f"store_{m}" for m in MEASURES],
+        F.col("ic_catg_nm").alias("catg_nm"), "brand_nm", *[money(m).alias(m) for m in MEASURES],
+        "sale_val_share_pct", "sale_yr_ago_val_share_pct",
+        *[money(f"store_{m}").alias(f"store_{m}") for m in MEASURES],
         "store_sale_vs_yr_ago_val_pct", "store_sale_vs_yr_ago_qty_pct",
-        *[f"chain_{m}" for m in MEASURES], "chain_sale_vs_yr_ago_val_pct",
+        *[money(f"chain_{m}").alias(f"chain_{m}") for m in MEASURES], "chain_sale_vs_yr_ago_val_pct",
         "chain_sale_vs_yr_ago_qty_pct", "chain_store_sale_val_rank", "chain_store_sale_qty_rank",
         "chain_store_cnt", "src_nm",
     )
@@ -293,7 +294,7 @@ def pos_weekly_rows(spr_stores: DataFrame, products: DataFrame, weekly: FrameSet
         F.expr("right(pd_end_yr_wk, 2)").cast("int").cast("string").alias("tmfrm_cd"),
         F.date_format(weekly.start_date_of("tmfrm_cd", "pd_end_yr_wk"), "MMM dd, yyyy").alias("tmfrm_desc"),
         "corp_nm", "sold_to_nbr", "chain_nbr", F.col("ic_catg_nm").alias("catg_nm"), "brand_nm",
-        *MEASURES, "src_nm",
+        *[money(m).alias(m) for m in MEASURES], "src_nm",
     )
 
 
@@ -322,12 +323,12 @@ def category_share(pos_plain: DataFrame, spr_stores: DataFrame, frames: FrameSet
         F.sum("sale_yr_ago_val").over(w).alias("total_catg_sale_yr_ago_val"),
     )
     return out.select(
-        "tmfrm_cd", "sold_to_nbr", "catg_nm", "corp_nm", dbl("sale_val").alias("sale_val"),
-        dbl("sale_yr_ago_val").alias("sale_yr_ago_val"), "src_nm",
-        dbl("total_catg_sale_val").alias("total_catg_sale_val"),
-        dbl("total_catg_sale_yr_ago_val").alias("total_catg_sale_yr_ago_val"),
-        share_or_null(dbl("sale_val"), dbl("total_catg_sale_val")).alias("sale_val_share_pct"),
-        share_or_null(dbl("sale_yr_ago_val"), dbl("total_catg_sale_yr_ago_val")).alias("sale_yr_ago_val_share_pct"),
+        "tmfrm_cd", "sold_to_nbr", "catg_nm", "corp_nm", money("sale_val").alias("sale_val"),
+        money("sale_yr_ago_val").alias("sale_yr_ago_val"), "src_nm",
+        money("total_catg_sale_val").alias("total_catg_sale_val"),
+        money("total_catg_sale_yr_ago_val").alias("total_catg_sale_yr_ago_val"),
+        share_or_null(money("sale_val"), money("total_catg_sale_val")).alias("sale_val_share_pct"),
+        share_or_null(money("sale_yr_ago_val"), money("total_catg_sale_yr_ago_val")).alias("sale_yr_ago_val_share_pct"),
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from shelfscope.functions.columns import money
 from shelfscope.operators import calendar, pos, visits
 from shelfscope.plans.job import MartJob
 from shelfscope.sources.testviews import build_sources, adapter_params
@@ -38,6 +39,24 @@ def doubles(df: DataFrame) -> DataFrame:
     ])
 
 
+CENT_COLUMNS = {
+    "sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty", "sale_vol_lb_val",
+    "sale_yr_ago_vol_lb_val", "total_catg_sale_val", "total_catg_sale_yr_ago_val", "store_sale_val",
+    "store_sale_yr_ago_val", "store_sale_qty", "store_sale_yr_ago_qty", "chain_sale_val",
+    "chain_sale_yr_ago_val", "chain_sale_qty", "chain_sale_yr_ago_qty", "chain_brand_sale_val",
+    "chain_brand_sale_yr_ago_val", "sale_vs_yr_ago_val", "sale_vs_yr_ago_qty", "actl_store_sale_val",
+    "actl_store_sale_yr_ago_val", "actl_store_sale_qty", "actl_store_sale_yr_ago_qty",
+}
+
+
+def cents_out(df: DataFrame) -> DataFrame:
+    """Stages that carry money as integer cents, shown as doubles."""
+    return df.select(*[
+        money(f.name).alias(f.name) if f.name in CENT_COLUMNS and f.dataType.simpleString() == "bigint"
+        else F.col(f.name) for f in df.schema.fields
+    ])
+
+
 def q_run_date(spark, sf_dir):
     j = job_for(spark, sf_dir)
     params = adapter_params(visit_run_date=None, today=dt.date(2024, 2, 10))
@@ -52,11 +71,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_hierarchy": lambda s, d: job_for(s, d).spr_stores,
     "product_master": lambda s, d: job_for(s, d).products,
     "store_product_grid": lambda s, d: job_for(s, d).store_product_grid,
-    "pos_rollup_ic": lambda s, d: doubles(job_for(s, d).pos_ic),
-    "pos_rollup_plain": lambda s, d: doubles(job_for(s, d).pos_plain),
+    "pos_rollup_ic": lambda s, d: cents_out(job_for(s, d).pos_ic),
+    "pos_rollup_plain": lambda s, d: cents_out(job_for(s, d).pos_plain),
     "category_share": lambda s, d: job_for(s, d).category_share,
-    "pos_store_facts": lambda s, d: doubles(job_for(s, d).pos_facts),
-    "pos_share_growth": lambda s, d: doubles(job_for(s, d).pos_metrics),
+    "pos_store_facts": lambda s, d: cents_out(job_for(s, d).pos_facts),
+    "pos_share_growth": lambda s, d: cents_out(job_for(s, d).pos_metrics),
     "pos_placeholder_rows": lambda s, d: job_for(s, d).pos_placeholders,
     "pos_chain_rank": lambda s, d: pos.pos_chain_rank(job_for(s, d).pos_metrics),
     "chain_store_count": lambda s, d: pos.chain_store_count(job_for(s, d).spr_stores),
@@ -66,9 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shipment_current": lambda s, d: doubles(job_for(s, d).shipment_current),
     "shipment_year_ago": lambda s, d: doubles(job_for(s, d).shipment_year_ago),
     "shipment_summary": lambda s, d: doubles(job_for(s, d).shipment_summary),
-    "key_brand_base": lambda s, d: doubles(job_for(s, d).key_brand_base),
-    "key_brand_metrics": lambda s, d: doubles(job_for(s, d).key_brand_metrics.drop("_ck")),
-    "key_brand_chain_rank": lambda s, d: doubles(job_for(s, d).key_brand_ranked.drop("_ck")),
+    "key_brand_base": lambda s, d: cents_out(job_for(s, d).key_brand_base),
+    "key_brand_metrics": lambda s, d: cents_out(job_for(s, d).key_brand_metrics.drop("_ck")),
+    "key_brand_chain_rank": lambda s, d: cents_out(job_for(s, d).key_brand_ranked.drop("_ck")),
     "key_brand_emit": lambda s, d: doubles(job_for(s, d).key_brand_rows),
     "visit_audit": lambda s, d: visits.with_visit_rank(job_for(s, d).visit_detail),
     "oos_summary": lambda s, d: job_for(s, d).oos,
