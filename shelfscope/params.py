@@ -67,5 +67,7 @@ class MartParams:
     merge_sources: bool = False
     # Densification broadcasts the product dimension only below this row count.
     max_broadcast_rows: int = 2_000_000
-    # Materialise stages that several families read (checkpoint to spark.checkpoint.dir).
+    # Materialise stages that several families read (Parquet under spark.checkpoint.dir).
     materialize: bool = True
+    # Folder name of this run's stage tables (set by MartJob).
+    run_id: str = "adhoc"

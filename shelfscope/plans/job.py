@@ -7,6 +7,8 @@ property, so a stage read by several metric families is defined (and, when
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +17,26 @@ from pyspark.sql import functions as F
 from shelfscope.operators import calendar, drivers, key_brand, mart, masters, pos, shipment, visits
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
-from shelfscope.plans.stages import materialize
-from shelfscope.sources.tables import SourceTables
+from shelfscope.plans.stages import drop_stages, materialize
+from shelfscope.sources.tables import SourceTables, write_mart
 
 
 class MartJob:
     def __init__(self, spark: SparkSession, sources: SourceTables, params: MartParams):
         self.spark = spark
         self.src = sources
+        if params.run_id == "adhoc":
+            params = dataclasses.replace(params, run_id=uuid.uuid4().hex)
         self.params = params
 
+    def run(self, path: str, partition_by_metric: bool = True) -> None:
+        """Build the mart, publish it with a full-refresh overwrite, drop the stage tables."""
+        write_mart(self.mart_final, path, partition_by_metric)
+        drop_stages(self.spark, self.params)
+
+    def drop_stages(self) -> None:
+        drop_stages(self.spark, self.params)
+
     # ---- calendar -------------------------------------------------------------------
     @cached_property
     def run_dates(self):

@@ -23,15 +23,28 @@ from shelfscope.params import MartParams
 from shelfscope.session import ensure_checkpoint_dir
 
 
+def stage_root(spark, params: MartParams) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{params.run_id}"
+
+
 def materialize(df: DataFrame, params: MartParams) -> DataFrame:
     if not params.materialize:
         return df
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
+    path = f"{stage_root(spark, params)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark, params: MartParams) -> None:
+    """Delete this run's stage tables (Hadoop FileSystem API: works on any shared store)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark, params))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def bounded_count(df: DataFrame, limit: int) -> int:
     """Row count, stopping once it exceeds ``limit`` (returns ``limit + 1`` then)."""
     return df.limit(limit + 1).count()

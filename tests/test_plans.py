@@ -69,3 +69,16 @@ def test_sink_full_refresh_partitioned_by_metric(spark, scratch):
     back = spark.read.parquet(out)
     assert back.count() == mart.count()
     assert {r.metrc_nm for r in back.select("metrc_nm").distinct().collect()} >= {"SHP", "POS", "KEY_BRAND"}
+
+
+def test_run_publishes_and_drops_stage_tables(spark, scratch):
+    import os
+
+    from shelfscope.plans.stages import stage_root
+
+    job = MartJob(spark, build_sources(spark, SF), adapter_params())
+    out = f"{scratch}/mart_run"
+    job.run(out)
+    assert spark.read.parquet(out).count() > 0
+    root = stage_root(spark, job.params).replace("file:", "")
+    assert not os.path.exists(root)
