@@ -9,7 +9,7 @@ from shelfscope.functions.columns import money, share_or_zero, typed_null
 from shelfscope.functions.joins import join_back
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, HIER_NON_COVERED, MartParams
-from shelfscope.plans.stages import bounded_count, densify, materialize
+from shelfscope.plans.stages import broadcast_if_small, densify
 
 MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty"]
 BASE_COLUMNS = ["type_cd", "sold_to_nbr", "chain_nbr", "catg_nm", "brand_nm", "corp_nm", "tmfrm_cd",
@@ -81,13 +81,6 @@ METRIC_COLUMNS = [
 ]
 
 
-def _small(df: DataFrame, params: MartParams) -> DataFrame:
-    df = materialize(df, params)
-    if bounded_count(df, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        return F.broadcast(df)
-    return df
-
-
 def key_brand_metrics(base: DataFrame, params: MartParams) -> DataFrame:
     """Brand row number and share within the store, growth, chain brand totals and
     the store's actual category totals.
@@ -110,7 +103,7 @@ def key_brand_metrics(base: DataFrame, params: MartParams) -> DataFrame:
     chain_tot = b.groupBy(*chain_keys).agg(
         F.sum("sale_val").alias("chain_brand_sale_val"),
         F.sum("sale_yr_ago_val").alias("chain_brand_sale_yr_ago_val"))
-    b = join_back(b, _small(chain_tot, params), chain_keys, "left", ["chain_nbr"])
+    b = join_back(b, broadcast_if_small(chain_tot, params), chain_keys, "left", ["chain_nbr"])
     actual = base.filter(F.col("type_cd") == "Categories").groupBy("sold_to_nbr", "tmfrm_cd").agg(
         *[F.sum(m).alias(f"actl_store_{m}") for m in MEASURES])
     b = b.join(actual, ["sold_to_nbr", "tmfrm_cd"], "left")
@@ -140,7 +133,7 @@ def key_brand_chain_rank(metrics: DataFrame, params: MartParams) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(F.col("chain_brand_sale_val").desc(),
                                           F.col("chain_brand_sale_yr_ago_val").desc())
     ranks = values.select(*part, "brand_nm", F.dense_rank().over(w).cast("bigint").alias("chain_brand_sale_rank"))
-    return join_back(metrics, _small(ranks, params), [*part, "brand_nm"], "left", ["chain_nbr", "_ck"])
+    return join_back(metrics, broadcast_if_small(ranks, params), [*part, "brand_nm"], "left", ["chain_nbr", "_ck"])
 
 
 def key_brand_emit(ranked: DataFrame, spr_stores: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from shelfscope.params import (
     CURRENCY_CODE, DRIVER_SOURCE, HIER_COVERED, HIER_NON_COVERED, NON_COVERED_GEO_LABEL, QTY_UOM,
     MartParams,
 )
-from shelfscope.plans.stages import bounded_count, materialize
+from shelfscope.plans.stages import broadcast_if_small
 from shelfscope.sources.schemas import ENRICHED_COLUMNS, MART_COLUMNS, TS, to_mart_rows
 
 
@@ -92,10 +92,7 @@ def store_attributes(spr_stores: DataFrame) -> DataFrame:
 
 def small_attributes(spr_stores: DataFrame, params: MartParams) -> DataFrame:
     """Store attributes, materialised; broadcast only below the checked row limit."""
-    attrs = materialize(store_attributes(spr_stores), params)
-    if bounded_count(attrs, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        attrs = F.broadcast(attrs)
-    return attrs
+    return broadcast_if_small(store_attributes(spr_stores), params)
 
 
 def enrich_with_store(rows: DataFrame, spr_stores: DataFrame, params: MartParams,
@@ -170,9 +167,7 @@ def assemble(families: list[DataFrame], locations: DataFrame, spr_stores: DataFr
     aligned = [to_mart_rows(f) for f in families]
     narrow = reduce(lambda a, b: a.unionByName(b), [
         a.select("catg_nm", "sale_val", "true_in_store_val", "oos_alert_cnt") for a in aligned])
-    empty = materialize(empty_categories(narrow), params)
-    if bounded_count(empty, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        empty = F.broadcast(empty)
+    empty = broadcast_if_small(empty_categories(narrow), params)
     attrs = small_attributes(spr_stores, params)
 
     def finish(rows: DataFrame) -> DataFrame:

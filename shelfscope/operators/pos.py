@@ -16,7 +16,7 @@ from shelfscope.params import (
     FRAME_DESCRIPTIONS, HIER_COVERED, HIER_NON_COVERED, IC_LABEL, WEEKLY_LABELS, MartParams,
 )
 from shelfscope.functions.columns import is_filled
-from shelfscope.plans.stages import bounded_count, densify, materialize
+from shelfscope.plans.stages import broadcast_if_small, densify
 
 MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty"]
 ALL_MEASURES = MEASURES + ["sale_vol_lb_val", "sale_yr_ago_vol_lb_val"]
@@ -195,10 +195,7 @@ def sparse_chain_totals(rolling: DataFrame, spr_stores: DataFrame, products: Dat
 
 def join_back_small(df: DataFrame, totals: DataFrame, keys, null_safe, params: MartParams) -> DataFrame:
     """``join_back`` whose aggregate side is broadcast when its checked size allows."""
-    totals = materialize(totals, params)
-    if bounded_count(totals, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        totals = F.broadcast(totals)
-    return join_back(df, totals, keys, "left", null_safe)
+    return join_back(df, broadcast_if_small(totals, params), keys, "left", null_safe)
 
 
 def pos_placeholder_rows(spr_stores: DataFrame, frames: FrameSet, params: MartParams) -> DataFrame:
@@ -237,20 +234,12 @@ def chain_store_count(spr_stores: DataFrame) -> DataFrame:
         F.countDistinct("sold_to_nbr").cast("bigint").alias("chain_store_cnt"))
 
 
-def small_side(df: DataFrame, params: MartParams) -> DataFrame:
-    """Materialise a per-store / per-chain table and broadcast it when its count allows."""
-    df = materialize(df, params)
-    if bounded_count(df, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        return F.broadcast(df)
-    return df
-
-
 def pos_summary_rows(metrics: DataFrame, placeholders: DataFrame, spr_stores: DataFrame,
                      params: MartParams) -> DataFrame:
     """P25-P26 joined onto facts + placeholder rows (``pos_tmfrm_sumry_final``)."""
     calc = metrics.select(*CALC_COLUMNS).unionByName(placeholders.select(*CALC_COLUMNS))
-    ranked = calc.join(small_side(pos_chain_rank(metrics), params), RANK_KEYS, "left")
-    return ranked.join(small_side(chain_store_count(spr_stores), params), ["hier_type_cd", "chain_nbr"], "left")
+    ranked = calc.join(broadcast_if_small(pos_chain_rank(metrics), params), RANK_KEYS, "left")
+    return ranked.join(broadcast_if_small(chain_store_count(spr_stores), params), ["hier_type_cd", "chain_nbr"], "left")
 
 
 def pos_summary_emit(final: DataFrame) -> DataFrame:

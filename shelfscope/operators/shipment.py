@@ -13,7 +13,7 @@ from shelfscope.params import (
     BLOCKED_CHANNELS, EXCLUDED_CATG_CODES, SALES_ORG, SHIPMENT_INACTIVE_PATTERN, WIP_CODE,
     YEAR_AGO_DAYS, MartParams,
 )
-from shelfscope.plans.stages import densify
+from shelfscope.plans.stages import broadcast_if_small, densify, grid_partitions
 
 KEYS = ["plan_to_nbr", "catg_nm", "brand_nm", "tmfrm_cd"]
 
@@ -106,7 +106,9 @@ def shipment_summary(covered_stores: DataFrame, matrl_hier: DataFrame, current:
     grid = frames.with_each_code(densify(plan_tos, pairs, params, spread_by=["plan_to_nbr"])).join(seen, "tmfrm_cd", "left_semi")
     cur = current.select(*KEYS, "gsv", F.col("src_nm").alias("_cur_src"), "kortex_upld_ts",
                          "kortex_dprct_ts")
-    plan_level = grid.join(cur, KEYS, "left").join(year_ago, KEYS, "left")
+    plan_level = broadcast_if_small(grid.join(cur, KEYS, "left").join(year_ago, KEYS, "left"), params)
+    # Spread the (small) store list so every task fans its stores out to the plan-to rows.
+    stores = stores.repartition(grid_partitions(stores.sparkSession), "sold_to_nbr")
     return stores.join(plan_level, "plan_to_nbr").select(
         "sold_to_nbr", "plan_to_nbr", "chain_nbr", "tmfrm_cd", "catg_nm", "brand_nm",
         F.coalesce("gsv", F.lit(0)).alias("gsv"),

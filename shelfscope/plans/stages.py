@@ -69,16 +69,11 @@ def densify(left: DataFrame, dim: DataFrame, params: MartParams, spread_by=None)
     return left.join(dim, how="cross")
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str, params: MartParams,
-               max_rows: int | None = None) -> DataFrame:
-    """Join ``big`` with an aggregate that is expected to be small.
-
-    The small side is materialised and counted; it is broadcast only when the
-    count is within the limit, otherwise the planner's shuffle join (with AQE
-    skew-join splitting) is used.
-    """
-    limit = max_rows or params.max_broadcast_rows
-    small = materialize(small, params)
-    if bounded_count(small, limit) <= limit:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+def broadcast_if_small(df: DataFrame, params: MartParams) -> DataFrame:
+    """Materialise an aggregate expected to be small and broadcast it only when its
+    row count is within ``params.max_broadcast_rows``; otherwise it stays a plain
+    side (shuffle join, with AQE skew-join splitting)."""
+    df = materialize(df, params)
+    if bounded_count(df, params.max_broadcast_rows) <= params.max_broadcast_rows:
+        return F.broadcast(df)
+    return df
