@@ -123,8 +123,10 @@ def pos_share_growth(facts: DataFrame, pos_ic: DataFrame, spr_stores: DataFrame,
                      frames: FrameSet, params: MartParams) -> DataFrame:
     """Category share, store and chain totals and growth per fact row.
 
-    * Store-level totals are windows after one shuffle of the facts by store (a
-      store's rows are bounded by the product grid).
+    * Store-level totals are windows over the facts partitioned by store (a
+      store's rows are bounded by the product grid); the grid is generated
+      partitioned by store, so with ``STORE_COPARTITION`` neither the POS join
+      nor the windows shuffle it.
     * Chain totals are aggregated from the sparse POS rows joined to the store
       keys (never from the dense grid, whose extra rows are zeros) and joined
       back null-safely, so a chain holding a large share of all stores never
@@ -134,7 +136,6 @@ def pos_share_growth(facts: DataFrame, pos_ic: DataFrame, spr_stores: DataFrame,
     rolling = pos_ic.filter(F.col("tmfrm_cd").isin(*frames.codes()))
     cmp = rolling.filter(F.col("corp_nm") != params.own_corp).select("sold_to_nbr").distinct()
     f = facts.join(cmp.select("sold_to_nbr", F.lit(True).alias("_has_cmp")), "sold_to_nbr", "left")
-    f = f.repartition("sold_to_nbr")
     w_catg = Window.partitionBy("hier_type_cd", "sold_to_nbr", "ic_catg_nm", "tmfrm_cd", "pd_end_yr_wk")
     w_store = Window.partitionBy("hier_type_cd", "sold_to_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk")
     f = f.select(

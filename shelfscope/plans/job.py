@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfscope.operators import calendar, drivers, key_brand, mart, masters, pos, shipment, visits
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
-from shelfscope.plans.stages import drop_stages, materialize
+from shelfscope.plans.stages import STORE_COPARTITION, drop_stages, materialize, session_conf
 from shelfscope.sources.tables import SourceTables, write_mart
 
 
@@ -117,8 +117,9 @@ class MartJob:
 
     @cached_property
     def pos_metrics(self) -> DataFrame:
-        return materialize(pos.pos_share_growth(self.pos_facts, self.pos_ic, self.spr_stores, self.products,
-                                                self.pos_frames, self.params), self.params)
+        with session_conf(self.spark, STORE_COPARTITION):
+            return materialize(pos.pos_share_growth(self.pos_facts, self.pos_ic, self.spr_stores,
+                                                    self.products, self.pos_frames, self.params), self.params)
 
     @cached_property
     def pos_placeholders(self) -> DataFrame:

@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,3 +78,25 @@ def broadcast_if_small(df: DataFrame, params: MartParams) -> DataFrame:
     if bounded_count(df, params.max_broadcast_rows) <= params.max_broadcast_rows:
         return F.broadcast(df)
     return df
+
+
+@contextmanager
+def session_conf(spark, settings: dict[str, str]):
+    """Apply SQL settings for the stages materialised inside the block, then restore."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# The store x product grid is generated already hash-partitioned by store.  Letting
+# joins and windows whose keys include the store reuse that partitioning means the
+# grid (the largest intermediate) is never shuffled; only the sparse sides are.
+STORE_COPARTITION = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
