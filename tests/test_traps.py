@@ -310,3 +310,13 @@ def test_invariant_l4w_within_l13w(built):
     shp = built.filter(F.col("metrc_nm") == "SHP").groupBy("sold_to_nbr", "catg_nm", "brand_nm").pivot(
         "tmfrm_cd", ["L4W", "L13W"]).agg(F.sum("sale_val"))
     assert shp.filter(F.col("L4W") > F.col("L13W") + 1e-6).count() == 0
+
+
+def test_t18_key_brand_rows_under_both_hierarchies(built):
+    kb = built.filter(F.col("metrc_nm") == "KEY_BRAND")
+    by_hier = {h: {r.sold_to_nbr for r in kb.filter(F.col("hier_type_cd") == h).select("sold_to_nbr").distinct().collect()}
+               for h in ("REX_COVERED", "REX_NON_COVERED")}
+    assert by_hier["REX_COVERED"] and by_hier["REX_COVERED"] == by_hier["REX_NON_COVERED"]
+    brands = {(r.hier_type_cd, r.brand_nm) for r in kb.filter(F.col("brand_nm").isin("KEY", "TOTAL"))
+              .select("hier_type_cd", "brand_nm").distinct().collect()}
+    assert brands == {("REX_COVERED", "KEY"), ("REX_NON_COVERED", "TOTAL")}
