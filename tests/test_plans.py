@@ -82,3 +82,31 @@ def test_run_publishes_and_drops_stage_tables(spark, scratch):
     assert spark.read.parquet(out).count() > 0
     root = stage_root(spark, job.params).replace("file:", "")
     assert not os.path.exists(root)
+
+
+def _window_partitions(plan: str) -> list[str]:
+    import re
+
+    return re.findall(r"windowspecdefinition\(([^,]+(?:, [^,]+)*?), (?:specifiedwindowframe|[a-z_]+#\d+ (?:ASC|DESC))", plan)
+
+
+def test_no_chain_window_over_dense_pos_facts(spark):
+    """Chain-level values of the dense grid come from aggregates joined back, never from a
+    window partitioned by chain (a chain may hold a third of all stores)."""
+    from shelfscope.operators import pos
+    from shelfscope.plans.queries import job_for
+
+    j = job_for(spark, SF)
+    df = pos.pos_share_growth(j.pos_facts, j.pos_ic, j.spr_stores, j.products, j.pos_frames, j.params)
+    specs = _window_partitions(plan(df))
+    assert specs, "expected the store-level windows"
+    assert all("sold_to_nbr" in s and "chain_nbr" not in s for s in specs)
+
+
+def test_key_brand_store_windows_only(spark):
+    from shelfscope.operators import key_brand
+    from shelfscope.plans.queries import job_for
+
+    j = job_for(spark, SF)
+    specs = _window_partitions(plan(key_brand.key_brand_metrics(j.key_brand_base, j.params)))
+    assert specs and all("sold_to_nbr" in s and "chain_nbr" not in s for s in specs)
