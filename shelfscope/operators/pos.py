@@ -8,14 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscope.functions.columns import growth_or_zero, hundred, money, share_or_null, to_cents, typed_null
+from shelfscope.functions.columns import (
+    growth_or_zero, hundred, is_filled, money, share_or_null, to_cents, typed_null,
+)
 from shelfscope.functions.joins import join_back
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import (
     CATG_ALL, CATG_EVENT, COMPETITOR_EXCLUDED_CATG, EXCLUDED_POS_PLAN_TOS, EXTRA_PLAIN_CATG,
     FRAME_DESCRIPTIONS, HIER_COVERED, HIER_NON_COVERED, IC_LABEL, WEEKLY_LABELS, MartParams,
 )
-from shelfscope.functions.columns import is_filled
 from shelfscope.plans.stages import broadcast_if_small, densify
 
 MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty"]
