@@ -38,9 +38,14 @@ class MartJob:
         drop_stages(self.spark, self.params)
 
     # ---- calendar -------------------------------------------------------------------
+    @cached_property
+    def cal_day(self) -> DataFrame:
+        """The day calendar, read by the run-date resolver, every frame and the visit join."""
+        return materialize(self.src.cal_day, self.params)
+
     @cached_property
     def run_dates(self):
-        return calendar.resolve_run_dates(self.src.cal_day, self.params)
+        return calendar.resolve_run_dates(self.cal_day, self.params)
 
     @property
     def pos_run_dt(self):
@@ -52,15 +57,15 @@ class MartJob:
 
     @cached_property
     def pos_frames_df(self) -> DataFrame:
-        return calendar.period_frames(self.src.cal_day, self.pos_run_dt)
+        return calendar.period_frames(self.cal_day, self.pos_run_dt)
 
     @cached_property
     def pos_weekly_frames_df(self) -> DataFrame:
-        return calendar.weekly_frames(self.src.cal_day, self.pos_run_dt)
+        return calendar.weekly_frames(self.cal_day, self.pos_run_dt)
 
     @cached_property
     def psd_frames_df(self) -> DataFrame:
-        return calendar.period_frames(self.src.cal_day, self.psd_run_dt)
+        return calendar.period_frames(self.cal_day, self.psd_run_dt)
 
     @cached_property
     def pos_frames(self) -> FrameSet:
@@ -200,7 +205,7 @@ class MartJob:
     @cached_property
     def visit_detail(self) -> DataFrame:
         return materialize(visits.visit_audit_detail(
-            self.src.visit_audit, self.src.cal_day, self.src.prod_matrl, self.covered_stores,
+            self.src.visit_audit, self.cal_day, self.src.prod_matrl, self.covered_stores,
             self.psd_frames), self.params)
 
     @cached_property

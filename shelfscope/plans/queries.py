@@ -60,7 +60,7 @@ def cents_out(df: DataFrame) -> DataFrame:
 def q_run_date(spark, sf_dir):
     j = job_for(spark, sf_dir)
     params = adapter_params(visit_run_date=None, today=dt.date(2024, 2, 10))
-    return calendar.run_date_frame(j.src.cal_day, params)
+    return calendar.run_date_frame(j.cal_day, params)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

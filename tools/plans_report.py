@@ -39,7 +39,7 @@ def stages(job):
         ("Key-brand base (P17)", lambda: key_brand.key_brand_base(
             j.spr_stores, j.products, j.pos_frames, j.pos_ic, j.params)),
         ("Visit audit detail (P30)", lambda: visits.visit_audit_detail(
-            j.src.visit_audit, j.src.cal_day, j.src.prod_matrl, j.covered_stores, j.psd_frames)),
+            j.src.visit_audit, j.cal_day, j.src.prod_matrl, j.covered_stores, j.psd_frames)),
         ("Driver matrix (P41)", lambda: drivers.driver_matrix(j.drv_store_lists, j.drv_active)),
         ("Mart assembly (P49-P53)", lambda: j.mart_final),
     ]
