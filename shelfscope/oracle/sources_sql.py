@@ -92,7 +92,11 @@ cte("src_cust_base", f"""
 cte("src_cust_pivot", """
   SELECT * EXCLUDE (k) FROM src_cust_base
   UNION ALL
-  SELECT * EXCLUDE (k) REPLACE ('ANNEX ' || street_nm AS street_nm) FROM src_cust_base WHERE k % 250 = 1""")
+  SELECT * EXCLUDE (k) REPLACE (
+    'ANNEX ' || street_nm AS street_nm,
+    CASE WHEN k % 500 = 1 THEN '00099' ELSE chain_nbr END AS chain_nbr,
+    CASE WHEN k % 500 = 1 THEN 'CHAIN 99' ELSE chain_nm END AS chain_nm)
+  FROM src_cust_base WHERE k % 250 = 1""")
 
 cte("src_pref", f"""
   SELECT DISTINCT {pad('n_nationkey', 10)} AS plan_to_nbr FROM nation WHERE n_nationkey <> 3""")

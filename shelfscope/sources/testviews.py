@@ -114,9 +114,14 @@ def customer_pivot(t: dict[str, DataFrame]) -> DataFrame:
         F.lit("kna_ecc").alias("src_nm"),
         k.alias("_k"),
     )
-    # A few stores are listed twice with a different street (attribute variants).
-    variants = rows.filter(F.col("_k") % 250 == 1).withColumn(
-        "street_nm", F.concat(F.lit("ANNEX "), F.col("street_nm"))
+    # A few stores are listed twice with a different street (attribute variants);
+    # some of those second rows also sit in another chain.
+    moved = F.col("_k") % 500 == 1
+    variants = rows.filter(F.col("_k") % 250 == 1).select(
+        *[F.concat(F.lit("ANNEX "), F.col("street_nm")).alias("street_nm") if c == "street_nm"
+          else F.when(moved, F.lit("00099")).otherwise(F.col(c)).alias(c) if c == "chain_nbr"
+          else F.when(moved, F.lit("CHAIN 99")).otherwise(F.col(c)).alias(c) if c == "chain_nm"
+          else F.col(c) for c in rows.columns]
     )
     return rows.unionByName(variants).drop("_k")
 
