@@ -16,6 +16,7 @@ from shelfscope.params import (
 from shelfscope.plans.stages import broadcast_if_small, densify, grid_partitions
 
 KEYS = ["plan_to_nbr", "catg_nm", "brand_nm", "tmfrm_cd"]
+MAX_YEARS = 8  # the frames plus the 52-week look-back span at most three fiscal years
 
 
 def material_hierarchy(prod_matrl: DataFrame) -> DataFrame:
@@ -57,6 +58,11 @@ def shipment_detail(shipments: DataFrame, cal_wk: DataFrame, cust_hier: DataFram
     else:
         weeks = weeks.filter(F.lit(False))
     s = shipments.filter(F.col("sales_org_cd") == SALES_ORG)
+    # The fiscal years of those weeks (a handful) as a literal filter on the fact, so a
+    # fact partitioned by fiscal year is pruned; the join below stays the exact test.
+    years = [r["_yr"] for r in weeks.select("_yr").distinct().limit(MAX_YEARS + 1).collect()]
+    if 0 < len(years) <= MAX_YEARS:
+        s = s.filter(F.col("fisc_yr").cast("int").isin(*years))
     j = (
         s.join(weeks, (F.col("fisc_yr").cast("int") == F.col("_yr"))
                & (F.col("fisc_wk").cast("int") == F.col("_wk")))

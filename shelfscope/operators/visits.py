@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions.columns import not_in_upper, not_like_upper
 from shelfscope.operators.calendar import FrameSet
+from shelfscope.sources.schemas import TS
 from shelfscope.params import (
     EXCLUDED_CATG_CODES, OOS_ALERT_VALUES, PRIORITY_BLOCKED, PRIORITY_BLOCKED_PATTERN,
     PRIORITY_MAX_PARTS, PRIORITY_SOURCE,
@@ -35,6 +38,12 @@ def visit_audit_detail(audit: DataFrame, cal_day: DataFrame, prod_matrl: DataFra
         ((F.col("spin_ind") == 1) | (F.col("klnva_retn_brand_ind") == 1))
         & ~F.col("catg_cd").isin(*EXCLUDED_CATG_CODES)
     ).select(F.col("matrl_nbr").alias("_matrl"), "catg_nm")
+    # The exact day range of those weeks, as a timestamp range the audit scan can use.
+    span = cal.agg(F.min("_day").alias("lo"), F.max("_day").alias("hi")).first()
+    if span["lo"] is not None:
+        t = F.col("actl_start_dt_time")
+        audit = audit.filter((t >= F.lit(span["lo"]).cast(TS))
+                             & (t < F.lit(span["hi"] + dt.timedelta(days=1)).cast(TS)))
     a = audit.withColumn("_day", F.to_date("actl_start_dt_time")).withColumn(
         "_matrl", F.lpad("prod_pack_extrnl_nbr", 18, "0"))
     j = (

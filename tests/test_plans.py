@@ -110,3 +110,26 @@ def test_key_brand_store_windows_only(spark):
     j = job_for(spark, SF)
     specs = _window_partitions(plan(key_brand.key_brand_metrics(j.key_brand_base, j.params)))
     assert specs and all("sold_to_nbr" in s and "chain_nbr" not in s for s in specs)
+
+
+def test_audit_scan_gets_day_range(parquet_job):
+    from shelfscope.operators import visits
+
+    j = parquet_job
+    p = plan(visits.visit_audit_detail(j.src.visit_audit, j.cal_day, j.src.prod_matrl, j.covered_stores,
+                                       j.psd_frames))
+    assert "GreaterThanOrEqual(actl_start_dt_time" in p and "LessThan(actl_start_dt_time" in p
+
+
+def test_shipments_partitioned_by_year_are_pruned(spark, scratch, parquet_job):
+    import re
+
+    from shelfscope.operators import shipment
+
+    j = parquet_job
+    path = f"{scratch}/shipments_by_year"
+    j.src.shipments.write.mode("overwrite").partitionBy("fisc_yr").parquet(path)
+    facts = spark.read.parquet(path)
+    p = plan(shipment.shipment_detail(facts, j.src.cal_wk, j.cust_hier, j.matrl_hier, j.pos_frames))
+    parts = re.findall(r"PartitionFilters: \[([^\]]*)\]", p)
+    assert any("fisc_yr" in x for x in parts)
