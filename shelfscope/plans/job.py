@@ -249,7 +249,8 @@ class MartJob:
 
     @cached_property
     def drv_store_lists(self) -> DataFrame:
-        return drivers.store_category_lists(self.drv_individual, self.drv_active, self.drv_event_cats)
+        return materialize(drivers.store_category_lists(self.drv_individual, self.drv_active,
+                                                        self.drv_event_cats), self.params)
 
     @cached_property
     def drv_matrix(self) -> DataFrame:
