@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfscope.functions.columns import money, sorted_distinct_list, typed_null
 from shelfscope.functions.joins import join_back
+from shelfscope.functions.ranking import rank_within
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import (
     CATG_ALL, CATG_EVENT, CATG_INDIVIDUAL, DRIVER_SOURCE, METRIC_EVENTS, METRIC_OOS, METRIC_POS_PRFM,
@@ -199,7 +200,8 @@ def chain_facts(facts: DataFrame) -> DataFrame:
 
 def store_level(facts: DataFrame) -> DataFrame:
     """The '(All)' store rows with each metric's criterion and the driver rank in
-    the chain (best execution / fewest alerts / highest growth = 1, NULL last)."""
+    the chain (best execution / fewest alerts / highest growth = 1, NULL last),
+    computed by ``rank_within`` so a large chain is not ranked in one task."""
     s = facts.filter((F.col("catg_nm") == CATG_ALL) & (F.col("store_chain_ind") == "store")).select(
         "metrc_nm", "tmfrm_cd", "sold_to_nbr", "chain_nbr",
         F.col("sale_val").alias("store_sale_val"), F.col("sale_yr_ago_val").alias("store_sale_yr_ago_val"),
@@ -223,8 +225,8 @@ def store_level(facts: DataFrame) -> DataFrame:
     crit = (F.when(metric == METRIC_EVENTS, F.col("events_rank_critra"))
             .when(metric == METRIC_OOS, F.coalesce(F.col("oos_rank_critra"), F.lit(0.0)))
             .when(metric == METRIC_POS_PRFM, F.col("pos_rank_critra")))
-    w = Window.partitionBy("metrc_nm", "tmfrm_cd", "chain_nbr").orderBy(crit.asc_nulls_last())
-    return s.withColumn("prfmnc_drvr_rank", F.rank().over(w).cast("bigint"))
+    return rank_within(s, ["metrc_nm", "tmfrm_cd", "chain_nbr"], crit, "prfmnc_drvr_rank",
+                       descending=False, nulls_first=False)
 
 
 def chain_level(store_lvl: DataFrame) -> DataFrame:

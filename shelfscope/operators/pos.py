@@ -12,6 +12,7 @@ from shelfscope.functions.columns import (
     growth_or_zero, hundred, is_filled, money, share_or_null, to_cents, typed_null,
 )
 from shelfscope.functions.joins import join_back
+from shelfscope.functions.ranking import rank_within
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import (
     CATG_ALL, CATG_EVENT, COMPETITOR_EXCLUDED_CATG, EXCLUDED_POS_PLAN_TOS, EXTRA_PLAIN_CATG,
@@ -216,18 +217,19 @@ RANK_KEYS = ["hier_type_cd", "sold_to_nbr", "chain_nbr", "corp_nm", "tmfrm_cd",
 
 
 def pos_chain_rank(metrics: DataFrame) -> DataFrame:
-    """P25: rank of each store's growth within its chain (NULL growth ranks first)."""
+    """P25: rank of each store's growth within its chain (NULL growth ranks first).
+
+    ``rank_within`` computes SQL RANK() without placing a whole chain in one task.
+    """
     per_store = metrics.filter(F.col("agg_type") == "facts").select(
         *RANK_KEYS, "store_sale_vs_yr_ago_val_pct", "store_sale_vs_yr_ago_qty_pct"
     ).distinct()
-    w = Window.partitionBy("hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk")
-    return per_store.select(
-        *RANK_KEYS,
-        F.rank().over(w.orderBy(F.col("store_sale_vs_yr_ago_val_pct").desc_nulls_first()))
-        .cast("bigint").alias("chain_store_sale_val_rank"),
-        F.rank().over(w.orderBy(F.col("store_sale_vs_yr_ago_qty_pct").desc_nulls_first()))
-        .cast("bigint").alias("chain_store_sale_qty_rank"),
-    )
+    groups = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
+    ranked = rank_within(per_store, groups, F.col("store_sale_vs_yr_ago_val_pct"), "chain_store_sale_val_rank",
+                         descending=True, nulls_first=True)
+    ranked = rank_within(ranked, groups, F.col("store_sale_vs_yr_ago_qty_pct"), "chain_store_sale_qty_rank",
+                         descending=True, nulls_first=True)
+    return ranked.select(*RANK_KEYS, "chain_store_sale_val_rank", "chain_store_sale_qty_rank")
 
 
 def chain_store_count(spr_stores: DataFrame) -> DataFrame:

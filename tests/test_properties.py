@@ -51,3 +51,24 @@ def test_category_split_equals_split_part(spark, lists):
         got.setdefault(r.sold_to_nbr, []).append(r.catg_nm)
     for i, text in enumerate(lists):
         assert got.get(f"S{i}", []) == _expected_parts(text)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]),
+                               st.one_of(st.none(), st.sampled_from([0.0, 1.0, 2.5, -3.0, 7.0]))),
+                     min_size=1, max_size=40),
+       descending=st.booleans(), nulls_first=st.booleans())
+def test_rank_within_equals_window_rank(spark, rows, descending, nulls_first):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from shelfscope.functions.ranking import rank_within
+
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id int, g string, v double")
+    v = F.col("v")
+    order = ((v.desc_nulls_first() if nulls_first else v.desc_nulls_last()) if descending
+             else (v.asc_nulls_first() if nulls_first else v.asc_nulls_last()))
+    expected = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(order))).collect()}
+    got = {r.id: r.r for r in rank_within(df, ["g"], v, "r", descending=descending, nulls_first=nulls_first,
+                                          buckets=4).collect()}
+    assert got == expected
