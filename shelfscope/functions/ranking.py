@@ -1,5 +1,7 @@
-"""SQL ``RANK()`` within groups, without sending a whole group to one task.
+"""SQL ``RANK()`` within groups, without sending a whole large group to one task.
 
+The largest group is measured first.  Groups that comfortably fit one task are
+ranked by a plain window.  Beyond ``max_window_rows``:
 ``RANK() OVER (PARTITION BY g ORDER BY v)`` is ``1 +`` the number of rows of the
 group that sort strictly before the row.  The group's rows are collapsed to
 distinct values with counts (partial aggregation), the value range of each group
@@ -20,13 +22,21 @@ from shelfscope.functions.joins import join_back
 
 
 def rank_within(df: DataFrame, groups: Sequence[str], order: Column, out: str, *,
-                descending: bool, nulls_first: bool, buckets: int = 64) -> DataFrame:
+                descending: bool, nulls_first: bool, buckets: int = 64,
+                max_window_rows: int | None = 1_000_000) -> DataFrame:
     """Add ``out`` = RANK() over ``groups`` ordered by the numeric ``order`` expression.
 
     NULL group keys form one group (as in a window partition); NULL order values
-    sort first or last as requested.
+    sort first or last as requested.  ``max_window_rows=None`` always uses the
+    bucketed path.
     """
     g = list(groups)
+    if max_window_rows is not None:
+        largest = df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+        if largest <= max_window_rows:
+            o = (order.desc_nulls_first() if nulls_first else order.desc_nulls_last()) if descending else (
+                order.asc_nulls_first() if nulls_first else order.asc_nulls_last())
+            return df.withColumn(out, F.rank().over(Window.partitionBy(*g).orderBy(o)).cast("bigint"))
     key = (-order if descending else order).cast("double")
     keyed = df.withColumn("_rk_key", key)
     vals = keyed.select(*g, "_rk_key")

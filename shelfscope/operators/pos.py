@@ -18,7 +18,7 @@ from shelfscope.params import (
     CATG_ALL, CATG_EVENT, COMPETITOR_EXCLUDED_CATG, EXCLUDED_POS_PLAN_TOS, EXTRA_PLAIN_CATG,
     FRAME_DESCRIPTIONS, HIER_COVERED, HIER_NON_COVERED, IC_LABEL, WEEKLY_LABELS, MartParams,
 )
-from shelfscope.plans.stages import broadcast_if_small, densify
+from shelfscope.plans.stages import broadcast_if_small, densify, materialize
 
 MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty"]
 ALL_MEASURES = MEASURES + ["sale_vol_lb_val", "sale_yr_ago_vol_lb_val"]
@@ -216,14 +216,17 @@ def pos_placeholder_rows(spr_stores: DataFrame, frames: FrameSet, params: MartPa
 RANK_KEYS = ["hier_type_cd", "sold_to_nbr", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
 
 
-def pos_chain_rank(metrics: DataFrame) -> DataFrame:
+def pos_chain_rank(metrics: DataFrame, params: MartParams | None = None) -> DataFrame:
     """P25: rank of each store's growth within its chain (NULL growth ranks first).
 
-    ``rank_within`` computes SQL RANK() without placing a whole chain in one task.
+    ``rank_within`` computes SQL RANK() without placing a whole chain in one task;
+    its store-level input is materialised once (it is read several times).
     """
     per_store = metrics.filter(F.col("agg_type") == "facts").select(
         *RANK_KEYS, "store_sale_vs_yr_ago_val_pct", "store_sale_vs_yr_ago_qty_pct"
     ).distinct()
+    if params is not None:
+        per_store = materialize(per_store, params)
     groups = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
     ranked = rank_within(per_store, groups, F.col("store_sale_vs_yr_ago_val_pct"), "chain_store_sale_val_rank",
                          descending=True, nulls_first=True)
@@ -242,7 +245,7 @@ def pos_summary_rows(metrics: DataFrame, placeholders: DataFrame, spr_stores: Da
                      params: MartParams) -> DataFrame:
     """P25-P26 joined onto facts + placeholder rows (``pos_tmfrm_sumry_final``)."""
     calc = metrics.select(*CALC_COLUMNS).unionByName(placeholders.select(*CALC_COLUMNS))
-    ranked = calc.join(broadcast_if_small(pos_chain_rank(metrics), params), RANK_KEYS, "left")
+    ranked = calc.join(broadcast_if_small(pos_chain_rank(metrics, params), params), RANK_KEYS, "left")
     return ranked.join(broadcast_if_small(chain_store_count(spr_stores), params), ["hier_type_cd", "chain_nbr"], "left")
 
 

@@ -57,8 +57,8 @@ def test_category_split_equals_split_part(spark, lists):
 @given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]),
                                st.one_of(st.none(), st.sampled_from([0.0, 1.0, 2.5, -3.0, 7.0]))),
                      min_size=1, max_size=40),
-       descending=st.booleans(), nulls_first=st.booleans())
-def test_rank_within_equals_window_rank(spark, rows, descending, nulls_first):
+       descending=st.booleans(), nulls_first=st.booleans(), bucketed=st.booleans())
+def test_rank_within_equals_window_rank(spark, rows, descending, nulls_first, bucketed):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
@@ -70,5 +70,5 @@ def test_rank_within_equals_window_rank(spark, rows, descending, nulls_first):
              else (v.asc_nulls_first() if nulls_first else v.asc_nulls_last()))
     expected = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(order))).collect()}
     got = {r.id: r.r for r in rank_within(df, ["g"], v, "r", descending=descending, nulls_first=nulls_first,
-                                          buckets=4).collect()}
+                                          buckets=4, max_window_rows=None if bucketed else 10**6).collect()}
     assert got == expected
