@@ -23,16 +23,17 @@ from shelfscope.functions.joins import join_back
 
 def rank_within(df: DataFrame, groups: Sequence[str], order: Column, out: str, *,
                 descending: bool, nulls_first: bool, buckets: int = 64,
-                max_window_rows: int | None = 1_000_000) -> DataFrame:
+                max_window_rows: int | None = 1_000_000, largest: int | None = None) -> DataFrame:
     """Add ``out`` = RANK() over ``groups`` ordered by the numeric ``order`` expression.
 
     NULL group keys form one group (as in a window partition); NULL order values
     sort first or last as requested.  ``max_window_rows=None`` always uses the
-    bucketed path.
+    bucketed path; ``largest`` passes an already measured largest group size.
     """
     g = list(groups)
     if max_window_rows is not None:
-        largest = df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+        if largest is None:
+            largest = largest_group(df, g)
         if largest <= max_window_rows:
             o = (order.desc_nulls_first() if nulls_first else order.desc_nulls_last()) if descending else (
                 order.asc_nulls_first() if nulls_first else order.asc_nulls_last())
@@ -64,3 +65,8 @@ def rank_within(df: DataFrame, groups: Sequence[str], order: Column, out: str, *
         (F.lit(1) if nulls_first else F.lit(1) + F.coalesce(F.col("_nonnull"), F.lit(0))).cast("bigint").alias(out))
     ranks = value_rank.unionByName(null_rank)
     return join_back(keyed, ranks, [*g, "_rk_key"], "left", [*g, "_rk_key"]).drop("_rk_key")
+
+
+def largest_group(df: DataFrame, groups: Sequence[str]) -> int:
+    """Row count of the largest group (one small aggregate job)."""
+    return df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0

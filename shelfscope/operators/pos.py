@@ -12,7 +12,7 @@ from shelfscope.functions.columns import (
     growth_or_zero, hundred, is_filled, money, share_or_null, to_cents, typed_null,
 )
 from shelfscope.functions.joins import join_back
-from shelfscope.functions.ranking import rank_within
+from shelfscope.functions.ranking import largest_group, rank_within
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import (
     CATG_ALL, CATG_EVENT, COMPETITOR_EXCLUDED_CATG, EXCLUDED_POS_PLAN_TOS, EXTRA_PLAIN_CATG,
@@ -228,10 +228,11 @@ def pos_chain_rank(metrics: DataFrame, params: MartParams | None = None) -> Data
     if params is not None:
         per_store = materialize(per_store, params)
     groups = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
+    largest = largest_group(per_store, groups)
     ranked = rank_within(per_store, groups, F.col("store_sale_vs_yr_ago_val_pct"), "chain_store_sale_val_rank",
-                         descending=True, nulls_first=True)
+                         descending=True, nulls_first=True, largest=largest)
     ranked = rank_within(ranked, groups, F.col("store_sale_vs_yr_ago_qty_pct"), "chain_store_sale_qty_rank",
-                         descending=True, nulls_first=True)
+                         descending=True, nulls_first=True, largest=largest)
     return ranked.select(*RANK_KEYS, "chain_store_sale_val_rank", "chain_store_sale_qty_rank")
 
 
