@@ -68,6 +68,8 @@ class MartParams:
     # Densification broadcasts the product dimension only below this row count.
     max_broadcast_rows: int = 2_000_000
     # Materialise stages that several families read (Parquet under spark.checkpoint.dir).
+    # False is meant for unit tests of single operators: a whole-mart plan without
+    # stage boundaries inlines every shared stage many times over and does not finish.
     materialize: bool = True
     # Folder name of this run's stage tables (set by MartJob).
     run_id: str = "adhoc"

@@ -74,6 +74,8 @@ def broadcast_if_small(df: DataFrame, params: MartParams) -> DataFrame:
     """Materialise an aggregate expected to be small and broadcast it only when its
     row count is within ``params.max_broadcast_rows``; otherwise it stays a plain
     side (shuffle join, with AQE skew-join splitting)."""
+    if not params.materialize:
+        return df  # lazy mode: AQE decides from the measured size of the side at run time
     df = materialize(df, params)
     if bounded_count(df, params.max_broadcast_rows) <= params.max_broadcast_rows:
         return F.broadcast(df)
