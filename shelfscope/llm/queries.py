@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from shelfscope.llm import mixing, simhash
+from shelfscope.llm import lm, mixing, simhash, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op6_ball_tree_topk": topk.query,
     "op8_simhash_neardup": simhash.query,
+    "op10_lattice_score": lm.query,
 }
 
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
+    "op6_ball_tree_topk": topk.ORACLE,
 }
