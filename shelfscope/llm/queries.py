@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from shelfscope.llm import lm, mixing, simhash, topk
+from shelfscope.llm import html_text, lm, mixing, quality, simhash, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op3_ordinal_quality": quality.query,
+    "op4_html_text": html_text.query,
     "op6_ball_tree_topk": topk.query,
     "op8_simhash_neardup": simhash.query,
     "op10_lattice_score": lm.query,
