@@ -42,8 +42,10 @@ from shelfscope.llm.common import documents
 
 BUCKETS = 1 << 17
 MAX_RATINGS = 15_000
-ROUNDS = 120
+ROUNDS = 400
 L2 = 1e-5
+#: Share of the rated documents that a bucket must occur in to get a weight.
+MIN_SHARE = 0.002
 KEEP_PROBABILITY = 0.5
 #: Words a worker remembers the buckets of.
 CACHE_WORDS = 300_000
@@ -69,12 +71,13 @@ class Model:
 
 
 class Hasher:
-    """Buckets of a text's words: the bare word, and its shape (case, digits, punctuation)."""
+    """Buckets of a text's words: the bare word, its shape (case, digits, punctuation), its beginning, and whether it repeats the one before."""
 
     def __init__(self, buckets: int = BUCKETS):
         self.buckets, self.cache = buckets, {}
+        self.repeat = xxhash.xxh64_intdigest("word repeats the one before") % buckets
 
-    def _of(self, word: bytes) -> tuple[int, int]:
+    def _of(self, word: bytes) -> tuple[int, int, int]:
         if len(self.cache) >= CACHE_WORDS:
             self.cache.clear()
         text = word.decode("utf-8", "replace")
@@ -82,7 +85,7 @@ class Hasher:
         for pattern, to in _SHAPE:
             shape = pattern.sub(to, shape)
         core = text.lower().strip("\"'.,;:!?()[]{}<>#$%&*|-_/\\")
-        got = tuple(xxhash.xxh64_intdigest(x) % self.buckets for x in ("w " + core, "s " + shape[:32]))
+        got = tuple(xxhash.xxh64_intdigest(x) % self.buckets for x in ("w " + core, "s " + shape[:32], "b " + core[:4]))
         self.cache[word] = got
         return got
 
@@ -95,8 +98,10 @@ class Hasher:
         get = self.cache.get
         at = np.array([get(w) or self._of(w) for w in counts], np.int32)
         n = np.fromiter(counts.values(), np.float64, len(counts))
-        ids, back = np.unique(at.ravel(), return_inverse=True)
-        tf = np.bincount(back, np.repeat(n, 2), len(ids))
+        again = sum(map(bytes.__eq__, words, words[1:]))
+        flat, tf = np.append(at.ravel(), self.repeat), np.append(np.repeat(n, 3), again)
+        ids, back = np.unique(flat, return_inverse=True)
+        tf = np.bincount(back, tf, len(ids))
         return ids.astype(np.int32), np.sqrt(tf / len(words)).astype(np.float32)
 
 
@@ -106,8 +111,8 @@ def _train(ids: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
     start = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
     col = np.concatenate(ids).astype(np.int64)
     val = np.concatenate(values).astype(np.float64) * 8
-    # Buckets seen in fewer than three rated documents say nothing that carries over.
-    used = np.flatnonzero(np.bincount(col, minlength=buckets) >= 3)
+    # Buckets of few rated documents say nothing that carries over.
+    used = np.flatnonzero(np.bincount(col, minlength=buckets) >= max(3, MIN_SHARE * len(ids)))
     place = np.full(buckets, -1)
     place[used] = np.arange(len(used))
     row = np.repeat(np.arange(len(ids)), np.diff(start))
