@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from shelfscope.llm import html_text, lm, mixing, quality, simhash, topk
+from shelfscope.llm import html_text, lines, lm, mixing, quality, simhash, token_counts, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op2_fuzzy_lines": lines.query,
     "op3_ordinal_quality": quality.query,
     "op4_html_text": html_text.query,
     "op6_ball_tree_topk": topk.query,
     "op8_simhash_neardup": simhash.query,
+    "op9_token_rollup": token_counts.query,
     "op10_lattice_score": lm.query,
 }
 
