@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfscope.llm import html_text, lines, lm, mixing, quality, simhash, token_counts, topk
+from shelfscope.llm import decontam, html_text, lines, lm, mixing, quality, simhash, token_counts, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_ordinal_quality": quality.query,
     "op4_html_text": html_text.query,
     "op6_ball_tree_topk": topk.query,
+    "op7_latent_decontam": decontam.query,
     "op8_simhash_neardup": simhash.query,
     "op9_token_rollup": token_counts.query,
     "op10_lattice_score": lm.query,
