@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfscope.llm import decontam, html_text, lines, lm, mixing, quality, simhash, token_counts, topk
+from shelfscope.llm import decontam, html_text, lines, lm, mixing, quality, simhash, substring, token_counts, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
     "op2_fuzzy_lines": lines.query,
     "op3_ordinal_quality": quality.query,
     "op4_html_text": html_text.query,
+    "op5_fm_substrings": substring.query,
     "op6_ball_tree_topk": topk.query,
     "op7_latent_decontam": decontam.query,
     "op8_simhash_neardup": simhash.query,
