@@ -46,6 +46,8 @@ MAX_DISTANCE = 2
 SEED = 42
 #: Signatures with more members than this take the two-deletion signatures.
 CROWD = 64
+#: Most signature keys that a broadcast may hold.
+BROADCAST_KEYS = 500_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -95,11 +97,19 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, crowd: int = CROWD) -> D
     sig = F.shiftleft(F.col("p").cast("long"), 32).bitwiseOR(segment.bitwiseAND(keep))
     signed = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("p")).select(sig.alias("sig"), "fp")
     shared = stage(
-        signed.groupBy("sig").agg(F.count("fp").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"),
+        signed.groupBy("sig").agg(F.count("fp").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"), F.bit_xor("fp").alias("x")).where("n > 1"),
         "simhash-shared",
     )
-    pairs = shared.where("n = 2").select("a", "b")
-    many = stage(signed.join(shared.where("n > 2").select("sig", "n"), "sig"), "simhash-many")
+    # Two members are the extremes, a third is what is left of the exclusive or: only larger signatures meet their members again.
+    third = F.expr("x ^ a ^ b")
+    pairs = shared.where("n = 2").select("a", "b").unionByName(
+        shared.where("n = 3").select(F.explode(F.array(
+            F.struct("a", "b"), F.struct("a", third.alias("b")), F.struct(third.alias("a"), "b"))).alias("p")).select("p.a", "p.b")
+    )
+    larger = shared.where("n > 3").select("sig", "n")
+    # Counted before it is broadcast (12 bytes a key); beyond the bound the same join shuffles.
+    larger = F.broadcast(larger) if larger.count() <= BROADCAST_KEYS else larger
+    many = stage(signed.join(larger, "sig"), "simhash-many")
     few = many.where(F.col("n") <= crowd)
     pairs = pairs.unionByName(
         few.select("sig", F.col("fp").alias("a")).join(few.select("sig", F.col("fp").alias("b")), "sig").where("a < b").select("a", "b")
