@@ -23,16 +23,11 @@ def dbl(c: str | Column) -> Column:
     return col(c).cast("double")
 
 
-# Money and quantities are carried as exact integer hundredths (bigint) from the
-# fact roll-ups on: sums stay exact and order-independent, run on longs instead
-# of BigDecimal, and are stored as INT64.  ``money`` gives the double the mart
-# stores (the correctly rounded value of cents / 100, as a decimal cast gives).
-def to_cents(c: str | Column) -> Column:
-    return (col(c).cast("decimal(18,2)") * 100).cast("bigint")
-
-
+# Money and quantities stay in the source's own decimal type up to the mart: sums
+# are exact, independent of order and never rounded per row.  ``money`` gives the
+# double that the mart stores.
 def money(c: str | Column) -> Column:
-    return col(c).cast("double") / F.lit(100.0)
+    return col(c).cast("double")
 
 
 def blank_to(c: str | Column, default: str = "") -> Column:

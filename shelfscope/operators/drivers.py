@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscope.functions.columns import money, sorted_distinct_list, typed_null
+from shelfscope.functions.columns import sorted_distinct_list, typed_null
 from shelfscope.functions.joins import join_back
 from shelfscope.functions.ranking import rank_within
 from shelfscope.operators.calendar import FrameSet
@@ -25,11 +25,10 @@ METRICS = (METRIC_EVENTS, METRIC_OOS, METRIC_POS_PRFM)
 MATRIX_KEYS = ["metrc_nm", "tmfrm_cd", "sold_to_nbr", "chain_nbr", "catg_nm"]
 
 
-def individual_categories(covered_stores: DataFrame, products: DataFrame, frames: FrameSet,
-                          params: MartParams) -> DataFrame:
+def individual_categories(covered_stores: DataFrame, products: DataFrame, frames: FrameSet) -> DataFrame:
     """Covered store x category x visit frame x metric."""
     grid = densify(covered_stores.select("sold_to_nbr", "chain_nbr").distinct(),
-                   products.select("catg_nm").distinct(), params, spread_by=["sold_to_nbr"])
+                   products.select("catg_nm").distinct(), ["sold_to_nbr"])
     grid = frames.with_each_code(grid)
     return grid.withColumn("metrc_nm", F.explode(F.array(*[F.lit(m) for m in METRICS]))).select(*MATRIX_KEYS)
 
@@ -75,34 +74,42 @@ def store_category_lists(indiv: DataFrame, active: DataFrame, events_cats: DataF
     return tagged.withColumn("mult_catg_nm", listed)
 
 
-def driver_matrix(store_lists: DataFrame, active: DataFrame) -> DataFrame:
-    """Store rows plus chain rows.
-
-    Chain lists: the store lists (distinct in the chain) for individual and
+def chain_lists(store_lists: DataFrame) -> DataFrame:
+    """The category lists of a chain: its stores' lists (distinct) for individual and
     event rows and for EVENTS '(All)'; one list per chain for OOS/POS '(All)',
-    computed with a ``groupBy`` (partial aggregation of category sets) rather
-    than a window over every store of the chain.  Chain rows are attached to
-    each active store row of the chain and category (a NULL chain never matches).
-    """
+    by ``groupBy`` (partial aggregation of category sets)."""
     is_all = F.col("catg_type_cd") == CATG_ALL
     per_store = store_lists.filter(~is_all | (F.col("metrc_nm") == METRIC_EVENTS)).select(
         "catg_type_cd", "metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm",
         F.col("mult_catg_nm").alias("chain_mult_catg_nm"),
     ).distinct()
     all_rows = store_lists.filter(is_all & (F.col("metrc_nm") != METRIC_EVENTS))
-    chain_lists = all_rows.groupBy("metrc_nm", "tmfrm_cd", "chain_nbr").agg(
+    lists = all_rows.groupBy("metrc_nm", "tmfrm_cd", "chain_nbr").agg(
         sorted_distinct_list("catg_nm").alias("chain_mult_catg_nm"))
     per_chain = join_back(
         all_rows.select("catg_type_cd", "metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm").distinct(),
-        chain_lists, ["metrc_nm", "tmfrm_cd", "chain_nbr"], "inner", ["chain_nbr"],
+        lists, ["metrc_nm", "tmfrm_cd", "chain_nbr"], "inner", ["chain_nbr"],
     )
-    chain_side = per_store.unionByName(per_chain.select(*per_store.columns))
-    chain_rows = chain_side.join(active, ["metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm"])
-    cols = ["metrc_nm", "tmfrm_cd", "sold_to_nbr", "chain_nbr", "catg_nm", "mult_catg_nm", "catg_type_cd"]
+    return per_store.unionByName(per_chain.select(*per_store.columns))
+
+
+MATRIX_COLUMNS = ["metrc_nm", "tmfrm_cd", "sold_to_nbr", "chain_nbr", "catg_nm", "mult_catg_nm", "catg_type_cd"]
+#: Parts that a chain's active stores are dealt into when its lists are joined to them.
+CHAIN_SALTS = 8
+
+
+def driver_matrix(store_lists: DataFrame, lists: DataFrame, active: DataFrame) -> DataFrame:
+    """Store rows plus chain rows: the chain's lists on each active store row of the
+    chain and category (a NULL chain never matches). The join is salted: one chain may
+    hold most stores. The mart needs only the EVENTS part (see ``store_facts``)."""
+    keys = ["metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm", "_salt"]
+    dealt = active.withColumn("_salt", F.pmod(F.xxhash64("sold_to_nbr"), F.lit(CHAIN_SALTS)).cast("int"))
+    spread = lists.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(CHAIN_SALTS - 1))))
+    chain_rows = spread.join(dealt, keys)
     return (
-        store_lists.select(F.lit("store").alias("store_chain_ind"), *cols)
+        store_lists.select(F.lit("store").alias("store_chain_ind"), *MATRIX_COLUMNS)
         .unionByName(chain_rows.select(
-            F.lit("chain").alias("store_chain_ind"), *cols[:5],
+            F.lit("chain").alias("store_chain_ind"), *MATRIX_COLUMNS[:5],
             F.col("chain_mult_catg_nm").alias("mult_catg_nm"), "catg_type_cd"))
     )
 
@@ -135,10 +142,15 @@ POS_MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty", "s
                 "sale_yr_ago_vol_lb_val"]
 
 
-def store_facts(matrix: DataFrame, ev_facts: DataFrame, oos: DataFrame, pos_plain: DataFrame,
-                params: MartParams) -> DataFrame:
+def store_facts(store_lists: DataFrame, lists: DataFrame, active: DataFrame, ev_facts: DataFrame,
+                oos: DataFrame, pos_plain: DataFrame, params: MartParams) -> DataFrame:
     """EVENTS roll-up per matrix row, and OOS / POS sums per matrix row (chain rows
-    of OOS and POS_PRFM are summed over the chain with the store blanked)."""
+    of OOS and POS_PRFM are summed over the chain with the store blanked).
+
+    The chain rows of OOS and POS_PRFM never meet single stores: the facts of the
+    active stores are summed per chain and category first, and the chain's lists
+    are joined to those sums.
+    """
     ev = ev_facts.groupBy(*FACT_KEYS).agg(
         F.sum("up_in_store_val").alias("up_in_store_val"),
         F.sum("ans_in_store_val").alias("rollup_ans_in_store_val"),
@@ -149,27 +161,32 @@ def store_facts(matrix: DataFrame, ev_facts: DataFrame, oos: DataFrame, pos_plai
         F.when(F.col("rollup_ans_in_store_val").isNotNull() & F.col("rollup_visit_in_store_val").isNotNull(),
                F.greatest("rollup_ans_in_store_val", "rollup_visit_in_store_val")),
     )
-    m = matrix.filter(F.col("metrc_nm") != METRIC_EVENTS)
     keys = ["metrc_nm", "tmfrm_cd", "catg_nm", "sold_to_nbr"]
-    oos_k = oos.select(F.lit(METRIC_OOS).alias("metrc_nm"), "tmfrm_cd", "catg_nm", "sold_to_nbr",
-                       "oos_alert_cnt", "visit_cnt")
+    oos_k = oos.groupBy(F.lit(METRIC_OOS).alias("metrc_nm"), "tmfrm_cd", "catg_nm", "sold_to_nbr").agg(
+        F.sum("oos_alert_cnt").alias("oos_alert_cnt"), F.max("visit_cnt").alias("visit_cnt"))
     pos_k = pos_plain.filter(
         (F.col("corp_nm") == params.own_corp) & ~F.col("tmfrm_cd").startswith("WEEKLY")
-    ).select(F.lit(METRIC_POS_PRFM).alias("metrc_nm"), "tmfrm_cd", "catg_nm", "sold_to_nbr", *POS_MEASURES)
-    j = m.join(oos_k, keys, "left").join(pos_k, keys, "left")
-    other = j.groupBy(
-        "metrc_nm", "tmfrm_cd", "store_chain_ind",
-        F.when(F.col("store_chain_ind") == "store", F.col("sold_to_nbr"))
-        .when(F.col("store_chain_ind") == "chain", F.lit("")).alias("sold_to_nbr"),
-        "chain_nbr", _catg_key().alias("catg_nm"), "mult_catg_nm",
-    ).agg(*[F.sum(c).alias(c) for c in POS_MEASURES],
-          F.sum("oos_alert_cnt").alias("oos_alert_cnt"), F.max("visit_cnt").alias("visit_cnt"))
+    ).groupBy(F.lit(METRIC_POS_PRFM).alias("metrc_nm"), "tmfrm_cd", "catg_nm", "sold_to_nbr").agg(
+        *[F.sum(c).alias(c) for c in POS_MEASURES])
+    sums = [*[F.sum(c).alias(c) for c in POS_MEASURES], F.sum("oos_alert_cnt").alias("oos_alert_cnt"),
+            F.max("visit_cnt").alias("visit_cnt")]
+
+    def with_facts(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("metrc_nm") != METRIC_EVENTS).join(oos_k, keys, "left").join(pos_k, keys, "left")
+
+    stores = with_facts(store_lists).groupBy(
+        "metrc_nm", "tmfrm_cd", F.lit("store").alias("store_chain_ind"), "sold_to_nbr", "chain_nbr",
+        _catg_key().alias("_key"), "mult_catg_nm").agg(*sums)
+    per_chain = with_facts(active).groupBy("metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm").agg(*sums)
+    chains = lists.join(per_chain, ["metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm"]).groupBy(
+        "metrc_nm", "tmfrm_cd", F.lit("chain").alias("store_chain_ind"), F.lit("").alias("sold_to_nbr"), "chain_nbr",
+        _catg_key().alias("_key"), F.col("chain_mult_catg_nm").alias("mult_catg_nm")).agg(*sums)
+    other = stores.unionByName(chains).withColumnRenamed("_key", "catg_nm")
     return (
         ev.select(*FACT_KEYS, *[(F.col(c) if c in ev.columns else F.lit(None)).cast("double").alias(c)
                                 for c in FACT_MEASURES])
         .unionByName(other.select(*FACT_KEYS, *[
-            (money(c) if c in POS_MEASURES else F.col(c) if c in other.columns else F.lit(None))
-            .cast("double").alias(c) for c in FACT_MEASURES]))
+            (F.col(c) if c in other.columns else F.lit(None)).cast("double").alias(c) for c in FACT_MEASURES]))
     )
 
 

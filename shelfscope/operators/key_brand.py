@@ -9,7 +9,7 @@ from shelfscope.functions.columns import money, share_or_zero, typed_null
 from shelfscope.functions.joins import join_back
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, HIER_NON_COVERED, MartParams
-from shelfscope.plans.stages import broadcast_if_small, densify
+from shelfscope.plans.stages import densify, materialize
 
 MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty"]
 BASE_COLUMNS = ["type_cd", "sold_to_nbr", "chain_nbr", "catg_nm", "brand_nm", "corp_nm", "tmfrm_cd",
@@ -54,7 +54,7 @@ def key_brand_base(spr_stores: DataFrame, products: DataFrame, frames: FrameSet,
         F.max(kept.cast("int")).alias("_has_kept"),
     )
     key_grid = frames.with_each_code(
-        densify(stores, products.select("ic_catg_nm").distinct(), params, spread_by=["sold_to_nbr"]))
+        densify(stores, products.select("ic_catg_nm").distinct(), ["sold_to_nbr"]))
     keys = key_grid.join(status, ["sold_to_nbr", "ic_catg_nm", "tmfrm_cd"], "left").filter(
         F.col("_has_kept").isNull() | (F.col("_has_kept") == 1)
     ).withColumn("brand_nm", F.lit("KEY")).withColumn("type_cd", F.lit("Categories"))
@@ -103,7 +103,7 @@ def key_brand_metrics(base: DataFrame, params: MartParams) -> DataFrame:
     chain_tot = b.groupBy(*chain_keys).agg(
         F.sum("sale_val").alias("chain_brand_sale_val"),
         F.sum("sale_yr_ago_val").alias("chain_brand_sale_yr_ago_val"))
-    b = join_back(b, broadcast_if_small(chain_tot, params), chain_keys, "left", ["chain_nbr"])
+    b = join_back(b, materialize(chain_tot, params), chain_keys, "left", ["chain_nbr"])
     actual = base.filter(F.col("type_cd") == "Categories").groupBy("sold_to_nbr", "tmfrm_cd").agg(
         *[F.sum(m).alias(f"actl_store_{m}") for m in MEASURES])
     b = b.join(actual, ["sold_to_nbr", "tmfrm_cd"], "left")
@@ -133,7 +133,7 @@ def key_brand_chain_rank(metrics: DataFrame, params: MartParams) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(F.col("chain_brand_sale_val").desc(),
                                           F.col("chain_brand_sale_yr_ago_val").desc())
     ranks = values.select(*part, "brand_nm", F.dense_rank().over(w).cast("bigint").alias("chain_brand_sale_rank"))
-    return join_back(metrics, broadcast_if_small(ranks, params), [*part, "brand_nm"], "left", ["chain_nbr", "_ck"])
+    return join_back(metrics, materialize(ranks, params), [*part, "brand_nm"], "left", ["chain_nbr", "_ck"])
 
 
 def key_brand_emit(ranked: DataFrame, spr_stores: DataFrame) -> DataFrame:

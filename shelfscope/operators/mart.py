@@ -13,7 +13,7 @@ from shelfscope.params import (
     CURRENCY_CODE, DRIVER_SOURCE, HIER_COVERED, HIER_NON_COVERED, NON_COVERED_GEO_LABEL, QTY_UOM,
     MartParams,
 )
-from shelfscope.plans.stages import broadcast_if_small
+from shelfscope.plans.stages import materialize
 from shelfscope.sources.schemas import ENRICHED_COLUMNS, MART_COLUMNS, TS, to_mart_rows
 
 
@@ -28,11 +28,10 @@ def mart_union(families: list[DataFrame]) -> DataFrame:
 
 def empty_categories(rows: DataFrame) -> DataFrame:
     """Categories whose value, true-in-store and alert totals are all <= 0 across every family."""
-    totals = rows.groupBy("catg_nm").agg(
-        F.coalesce(F.sum("sale_val"), F.lit(0.0)).alias("_v"),
-        F.coalesce(F.sum("true_in_store_val"), F.lit(0.0)).alias("_t"),
-        F.coalesce(F.sum("oos_alert_cnt"), F.lit(0.0)).alias("_o"),
-    )
+    # Decimal sums: exact and independent of order where positives and negatives cancel.
+    totals = rows.groupBy("catg_nm").agg(*[
+        F.coalesce(F.sum(F.col(c).cast("decimal(28,6)")), F.lit(0)).alias(t)
+        for c, t in (("sale_val", "_v"), ("true_in_store_val", "_t"), ("oos_alert_cnt", "_o"))])
     return totals.filter(~((F.col("_v") > 0) | (F.col("_t") > 0) | (F.col("_o") > 0))).select("catg_nm")
 
 
@@ -90,19 +89,14 @@ def store_attributes(spr_stores: DataFrame) -> DataFrame:
         F.col("_rn") == 1).drop("_rn")
 
 
-def small_attributes(spr_stores: DataFrame, params: MartParams) -> DataFrame:
-    """Store attributes, materialised; broadcast only below the checked row limit."""
-    return broadcast_if_small(store_attributes(spr_stores), params)
-
-
 def enrich_with_store(rows: DataFrame, spr_stores: DataFrame, params: MartParams,
                       attrs: DataFrame | None = None) -> DataFrame:
     """Overwrite the 25 store columns on rows whose store is in the master.
 
-    The attribute side has one row per store, so the mart never fans out.  It is
-    broadcast only below the checked row limit; otherwise a shuffle join.
+    The attribute side has one row per store, so the mart never fans out.  It is a
+    stage table: Spark picks the join by its size in bytes.
     """
-    attrs = small_attributes(spr_stores, params) if attrs is None else attrs
+    attrs = materialize(store_attributes(spr_stores), params) if attrs is None else attrs
     a = attrs.select(F.col("sold_to_nbr").alias("_e_key"), F.lit(True).alias("_e_hit"),
                      *[F.col(c).alias(f"_e_{c}") for c in ENRICHED_COLUMNS])
     j = rows.join(a, F.col("sold_to_nbr") == F.col("_e_key"), "left")
@@ -159,20 +153,40 @@ def assemble(families: list[DataFrame], locations: DataFrame, spr_stores: DataFr
     """P49-P53 in one plan: prune, drop blank stores, enrich and project each family,
     then union.
 
-    Same result as applying the steps to the union, but each family keeps its
+    ``families`` are stage tables: each is computed once and read twice, here for
+    four columns of the category totals and for its rows. Each family keeps its
     own narrow plan, so the (mostly NULL) mart columns constant-fold per family
-    instead of being evaluated row by row on the 83-column union.  Category
-    totals are still global: they come from a narrow union of four columns.
+    instead of being evaluated row by row on the 83-column union.
     """
-    aligned = [to_mart_rows(f) for f in families]
-    narrow = reduce(lambda a, b: a.unionByName(b), [
-        a.select("catg_nm", "sale_val", "true_in_store_val", "oos_alert_cnt") for a in aligned])
-    empty = broadcast_if_small(empty_categories(narrow), params)
-    attrs = small_attributes(spr_stores, params)
+    totals = [to_mart_rows(f).select("catg_nm", "sale_val", "true_in_store_val", "oos_alert_cnt") for f in families]
+    empty = materialize(empty_categories(reduce(lambda a, b: a.unionByName(b), totals)), params)
+    attrs = materialize(store_attributes(spr_stores), params)
 
     def finish(rows: DataFrame) -> DataFrame:
         return final_projection(enrich_with_store(rows, spr_stores, params, attrs), pos_run_dt, params)
 
-    parts = [finish(drop_blank_store_rows(prune_empty_categories(a, empty))) for a in aligned]
+    parts = [finish(drop_blank_store_rows(prune_empty_categories(to_mart_rows(f), empty))) for f in families]
     parts.append(finish(to_mart_rows(locations)))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+#: The families that the original deletes and inserts one at a time, as row conditions.
+FAMILIES = {
+    "SHP": "metrc_nm = 'SHP'",
+    "KEY_BRAND": "metrc_nm = 'KEY_BRAND'",
+    "POS": "metrc_nm = 'POS' AND sub_metrc_nm = '' AND tmfrm_cd <> ''",
+    "POS_WEEKLY": "metrc_nm = 'POS' AND sub_metrc_nm <> ''",
+    "POS_LOCATION": "metrc_nm = 'POS' AND sub_metrc_nm = '' AND tmfrm_cd = ''",
+    "POS_CATG_AMPS": "metrc_nm = 'POS_CATG_AMPS'",
+    "DRIVERS": "metrc_nm IN ('EVENTS', 'OOS', 'POS_PRFM')",
+}
+
+
+def replace_family(stored: DataFrame, family: str, rows: DataFrame) -> DataFrame:
+    """P49 on a stored mart: its rows without those of ``family``, and ``rows`` of that family instead.
+
+    The three kinds of POS rows are told apart by sub-metric and time frame: the
+    metric's partition alone could not replace one of them.
+    """
+    mine = F.coalesce(F.expr(FAMILIES[family]), F.lit(False))
+    return stored.filter(~mine).unionByName(rows.filter(mine))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfscope.functions.columns import blank_to, is_filled, not_in_upper, not_like_upper
 from shelfscope.params import (
     BLOCKED_CHANNELS, EXCLUDED_CATG_CODES, HIER_COVERED, HIER_NON_COVERED, IC_LABEL,
-    RETAIL_ORDER_BLOCK, RETAIL_ORG_BLOCK, SALES_ORG, STORE_INACTIVE_PATTERN, WIP_CODE, MartParams,
+    RETAIL_ORDER_BLOCK, RETAIL_ORG_BLOCK, SALES_ORG, STORE_INACTIVE_PATTERN, WIP_CODE,
 )
 from shelfscope.plans.stages import densify
 
@@ -92,7 +92,7 @@ GRID_STORE_COLUMNS = [
 ]
 
 
-def store_product_grid(spr_stores: DataFrame, products: DataFrame, params: MartParams,
+def store_product_grid(spr_stores: DataFrame, products: DataFrame,
                        store_columns=None, product_columns=None) -> DataFrame:
     """Distinct store columns x distinct product columns.
 
@@ -101,8 +101,7 @@ def store_product_grid(spr_stores: DataFrame, products: DataFrame, params: MartP
     """
     sc = store_columns or [*GRID_STORE_COLUMNS, "src_nm"]
     pc = product_columns or ["catg_nm", "ic_catg_nm", "brand_nm"]
-    return densify(spr_stores.select(*sc).distinct(), products.select(*pc).distinct(), params,
-                   spread_by=["sold_to_nbr"])
+    return densify(spr_stores.select(*sc).distinct(), products.select(*pc).distinct(), ["sold_to_nbr"])
 
 
 def grid_categories(products: DataFrame) -> DataFrame:

@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions.columns import (
-    growth_or_zero, hundred, is_filled, money, share_or_null, to_cents, typed_null,
+    growth_or_zero, hundred, is_filled, money, share_or_null, typed_null,
 )
 from shelfscope.functions.joins import join_back
-from shelfscope.functions.ranking import largest_group, rank_within
+from shelfscope.functions.ranking import rank_within
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import (
     CATG_ALL, CATG_EVENT, COMPETITOR_EXCLUDED_CATG, EXCLUDED_POS_PLAN_TOS, EXTRA_PLAIN_CATG,
     FRAME_DESCRIPTIONS, HIER_COVERED, HIER_NON_COVERED, IC_LABEL, WEEKLY_LABELS, MartParams,
 )
-from shelfscope.plans.stages import broadcast_if_small, densify, materialize
+from shelfscope.plans.stages import chunked, materialize, with_chunks
 
 MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty"]
 ALL_MEASURES = MEASURES + ["sale_vol_lb_val", "sale_yr_ago_vol_lb_val"]
@@ -37,77 +37,132 @@ def _non_covered_stores(spr_stores: DataFrame) -> DataFrame:
     return spr_stores.filter(F.col("hier_type_cd") == HIER_NON_COVERED).select("sold_to_nbr", "chain_nbr")
 
 
-def _rollup_aggs():
-    return [
-        *[F.sum(to_cents(m)).alias(m) for m in ALL_MEASURES],
-        F.max("src_nm").alias("src_nm"),
-        F.max("kortex_upld_ts").alias("kortex_upld_ts"),
-        F.max("kortex_dprct_ts").alias("kortex_dprct_ts"),
-    ]
+def _sums():
+    return [F.sum(m).alias(m) for m in ALL_MEASURES] + [
+        F.max(c).alias(c) for c in ("kortex_upld_ts", "kortex_dprct_ts")]
 
 
-def pos_rollup_ic(pos: DataFrame, frames: FrameSet, spr_stores: DataFrame,
-                  grid_catgs: DataFrame, params: MartParams) -> DataFrame:
+BASE_KEYS = ["fisc_yr_wk", "sold_to_nbr", "chain_nbr", "catg_nm", "brand_nm", "corp_nm", "src_nm"]
+
+
+def pos_base(pos: DataFrame, frames: FrameSet, spr_stores: DataFrame) -> DataFrame:
+    """POS by week, non-covered store, category, brand, corporation, source and
+    immediate-consumption flag: the one scan of the weekly fact that both roll-ups start from."""
+    lo, hi = frames.week_bounds()
+    pos = pos.filter(F.col("fisc_yr_wk").between(F.lit(lo), F.lit(hi)) & ~F.col("plan_to_nbr").isin(*EXCLUDED_POS_PLAN_TOS))
+    ic = F.coalesce(is_filled("immed_cnsmptn_prod_type_cd"), F.lit(False)).alias("ic_ind")
+    return pos.join(_non_covered_stores(spr_stores), "sold_to_nbr").groupBy(*BASE_KEYS, ic).agg(*_sums())
+
+
+def _framed(kept: DataFrame, frames: FrameSet, keys: list) -> DataFrame:
+    """Sums per frame. The source is a key of the sums and reduced after them, on few rows,
+    so that every step is a hash aggregation."""
+    by_source = frames.by_week(kept, "fisc_yr_wk").groupBy(*ROLLUP_KEYS, *keys, "brand_nm", "corp_nm", "src_nm").agg(*_sums())
+    names = [k for k in by_source.columns if k not in ALL_MEASURES + ["src_nm", "kortex_upld_ts", "kortex_dprct_ts"]]
+    largest = F.array_max(F.collect_set("src_nm")).alias("src_nm")
+    return by_source.groupBy(*names).agg(*[F.sum(m).alias(m) for m in ALL_MEASURES], largest,
+                                         F.max("kortex_upld_ts").alias("kortex_upld_ts"),
+                                         F.max("kortex_dprct_ts").alias("kortex_dprct_ts"))
+
+
+def _flagged(base: DataFrame, grid_catgs: DataFrame) -> DataFrame:
+    """``_in_grid``: the ``IN (sub-query)`` under ``OR`` as a left join to the category list."""
+    j = base.join(grid_catgs.select("catg_nm", F.lit(True).alias("_in_grid")), "catg_nm", "left")
+    return j.withColumn("_in_grid", F.coalesce(F.col("_in_grid"), F.lit(False)))
+
+
+def pos_rollup_ic(base: DataFrame, frames: FrameSet, grid_catgs: DataFrame, params: MartParams) -> DataFrame:
     """POS by frame (rolling + weekly), store, IC category, brand and corporation.
 
     Competitors count only in the rolling frames; own rows only for grid
-    categories; competitor rows not in 'Others'.  The ``IN (sub-query)`` under
-    ``OR`` becomes a left join to the (tiny) distinct category list with a flag.
+    categories; competitor rows not in 'Others'.
     """
     own = F.col("corp_nm") == params.own_corp
-    flagged = pos.filter(~F.col("plan_to_nbr").isin(*EXCLUDED_POS_PLAN_TOS)).join(
-        grid_catgs.select("catg_nm", F.lit(True).alias("_in_grid")), "catg_nm", "left"
-    )
-    kept = flagged.filter(
-        (own & F.coalesce(F.col("_in_grid"), F.lit(False)))
-        | ((F.col("corp_nm") != params.own_corp) & (F.col("catg_nm") != COMPETITOR_EXCLUDED_CATG))
-    )
-    with_store = kept.join(_non_covered_stores(spr_stores), "sold_to_nbr")
-    framed = frames.by_week(with_store, "fisc_yr_wk").filter(own | ~F.col("tmfrm_cd").startswith("WEEKLY"))
-    ic = F.when(is_filled("immed_cnsmptn_prod_type_cd"), F.lit(IC_LABEL)).otherwise(F.col("catg_nm"))
-    return framed.groupBy(*ROLLUP_KEYS, ic.alias("ic_catg_nm"), "brand_nm", "corp_nm").agg(*_rollup_aggs())
+    kept = _flagged(base, grid_catgs).filter(
+        (own & F.col("_in_grid"))
+        | ((F.col("corp_nm") != params.own_corp) & (F.col("catg_nm") != COMPETITOR_EXCLUDED_CATG)))
+    kept = kept.withColumn("ic_catg_nm", F.when(F.col("ic_ind"), F.lit(IC_LABEL)).otherwise(F.col("catg_nm")))
+    # Weekly frames hold own rows only: one frame list per corporation, no row is made and dropped.
+    rolling = FrameSet(tuple(f for f in frames.frames if not f.tmfrm_cd.startswith("WEEKLY")))
+    return _framed(kept.filter(own), frames, ["ic_catg_nm"]).unionByName(
+        _framed(kept.filter(F.col("corp_nm") != params.own_corp), rolling, ["ic_catg_nm"]))
 
 
-def pos_rollup_plain(pos: DataFrame, frames: FrameSet, spr_stores: DataFrame,
-                     grid_catgs: DataFrame) -> DataFrame:
+def pos_rollup_plain(base: DataFrame, frames: FrameSet, grid_catgs: DataFrame) -> DataFrame:
     """POS by rolling frame, store, category, brand, corporation (all corporations)."""
-    flagged = pos.filter(~F.col("plan_to_nbr").isin(*EXCLUDED_POS_PLAN_TOS)).join(
-        grid_catgs.select("catg_nm", F.lit(True).alias("_in_grid")), "catg_nm", "left"
-    )
-    kept = flagged.filter(
-        F.coalesce(F.col("_in_grid"), F.lit(False)) | (F.col("catg_nm") == EXTRA_PLAIN_CATG)
-    )
-    with_store = kept.join(_non_covered_stores(spr_stores), "sold_to_nbr")
-    framed = frames.by_week(with_store, "fisc_yr_wk")
-    return framed.groupBy(*ROLLUP_KEYS, "catg_nm", "brand_nm", "corp_nm").agg(*_rollup_aggs())
+    kept = _flagged(base, grid_catgs).filter(F.col("_in_grid") | (F.col("catg_nm") == EXTRA_PLAIN_CATG))
+    return _framed(kept, frames, ["catg_nm"])
 
 
 FACT_COLUMNS = ["hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr", "ic_catg_nm", "brand_nm",
                 "tmfrm_cd", "pd_end_yr_wk", *MEASURES, "src_nm"]
 
 
-def pos_store_facts(spr_stores: DataFrame, products: DataFrame, frames: FrameSet,
-                    pos_ic: DataFrame, params: MartParams) -> DataFrame:
-    """Densified own rows (store x IC category x brand x frame) + competitor rows."""
+FRAME_KEYS = ["tmfrm_cd", "pd_end_yr_wk"]
+STORE_KEYS = ["hier_type_cd", "sold_to_nbr", "corp_nm", *FRAME_KEYS]
+CHAIN_KEYS = ["hier_type_cd", "chain_nbr", "corp_nm", *FRAME_KEYS]
+
+
+def pos_sparse_facts(spr_stores: DataFrame, products: DataFrame, frames: FrameSet,
+                     pos_ic: DataFrame, params: MartParams) -> DataFrame:
+    """The fact rows that have POS: own rows of grid products on every distinct store
+    key, competitor rows on every row of the store list."""
+    rolling = pos_ic.filter(F.col("tmfrm_cd").isin(*frames.codes()))
+    store_keys = spr_stores.select("hier_type_cd", "sold_to_nbr", "chain_nbr", "src_nm").distinct()
+    own = rolling.filter(F.col("corp_nm") == params.own_corp).join(
+        products.select("ic_catg_nm", "brand_nm").distinct(), ["ic_catg_nm", "brand_nm"], "left_semi")
+    own = own.drop("chain_nbr", "src_nm").join(store_keys, "sold_to_nbr")
+    own = own.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in MEASURES else F.col(c) for c in FACT_COLUMNS])
+    competitors = rolling.filter(F.col("corp_nm") != params.own_corp).join(
+        spr_stores.select("sold_to_nbr", "hier_type_cd"), "sold_to_nbr").select(*FACT_COLUMNS)
+    return own.unionByName(competitors)
+
+
+def pos_totals(sparse: DataFrame) -> dict[str, DataFrame]:
+    """Store and chain totals per corporation, and category totals, of the sparse rows:
+    the rows without POS are zeros and add nothing. All are hash aggregations."""
+    def total(keys, prefix, measures):
+        return sparse.groupBy(*keys).agg(*[F.sum(m).alias(f"{prefix}{m}") for m in measures])
+
+    return {
+        "store": total(STORE_KEYS, "store_", MEASURES),
+        "chain": total(CHAIN_KEYS, "chain_", MEASURES),
+        "catg": total(["hier_type_cd", "sold_to_nbr", "ic_catg_nm", *FRAME_KEYS], "total_catg_", MEASURES[:2]),
+    }
+
+
+def pos_store_level(spr_stores: DataFrame, products: DataFrame, frames: FrameSet, pos_ic: DataFrame,
+                    sparse: DataFrame, totals: dict[str, DataFrame], params: MartParams) -> DataFrame:
+    """One row per store key and rolling frame, for the own corporation: its totals, and
+    what the zero rows of its products need.
+
+    ``_present``: products with POS of any corporation, which have no zero row;
+    ``_catg``: totals by category. Both are bounded by one store's products.
+    ``_has_rows``: the store has own rows at all (POS rows or zero rows).
+    """
     store_keys = spr_stores.select("hier_type_cd", "sold_to_nbr", "chain_nbr", "src_nm").distinct()
-    grid = densify(store_keys, products.select("ic_catg_nm", "brand_nm").distinct(), params,
-                   spread_by=["sold_to_nbr"])
-    master = frames.with_each(grid).drop("pd_start_dt", "pd_start_yr_wk", "pd_end_dt")
-    keys = ["sold_to_nbr", "ic_catg_nm", "brand_nm", "tmfrm_cd", "pd_end_yr_wk"]
+    level = frames.with_each(store_keys).drop("pd_start_dt", "pd_start_yr_wk", "pd_end_dt").withColumn("corp_nm", F.lit(params.own_corp))
+    level = level.join(totals["store"], STORE_KEYS, "left")
+    level = join_back(level, totals["chain"], CHAIN_KEYS, "left", ["chain_nbr"])
     rolling = pos_ic.filter(F.col("tmfrm_cd").isin(*frames.codes()))
-    pos_side = rolling.select(*keys, F.col("corp_nm").alias("_corp"),
-                              *[F.col(m).alias(f"_{m}") for m in MEASURES])
-    own_rows = master.join(pos_side, keys, "left").filter(
-        (F.col("_corp") == params.own_corp) | F.col("_corp").isNull()
-    ).select(
-        "hier_type_cd", F.coalesce(F.col("_corp"), F.lit(params.own_corp)).alias("corp_nm"),
-        "sold_to_nbr", "chain_nbr", "ic_catg_nm", "brand_nm", "tmfrm_cd", "pd_end_yr_wk",
-        *[F.coalesce(F.col(f"_{m}"), F.lit(0)).alias(m) for m in MEASURES], "src_nm",
-    )
-    competitor_rows = rolling.filter(F.col("corp_nm") != params.own_corp).join(
-        spr_stores.select("sold_to_nbr", "hier_type_cd"), "sold_to_nbr"
-    ).select(*FACT_COLUMNS)
-    return own_rows.unionByName(competitor_rows)
+    pairs = products.select("ic_catg_nm", "brand_nm").distinct()
+    # Only products of the grid can be among its rows.
+    present = rolling.join(pairs, ["ic_catg_nm", "brand_nm"], "left_semi").groupBy("sold_to_nbr", *FRAME_KEYS).agg(
+        F.collect_set(F.struct("ic_catg_nm", "brand_nm")).alias("_present"),
+        F.max((F.col("corp_nm") == params.own_corp).cast("int")).alias("_own"))
+    catg = totals["catg"].groupBy("hier_type_cd", "sold_to_nbr", *FRAME_KEYS).agg(F.map_from_entries(
+        F.collect_list(F.struct("ic_catg_nm", F.struct("total_catg_sale_val", "total_catg_sale_yr_ago_val")))).alias("_catg"))
+    level = level.join(present, ["sold_to_nbr", *FRAME_KEYS], "left").join(
+        catg, ["hier_type_cd", "sold_to_nbr", *FRAME_KEYS], "left")
+    level = level.join(_competitor_stores(rolling, params), "sold_to_nbr", "left")
+    has_rows = (F.coalesce(F.size("_present"), F.lit(0)) < F.lit(pairs.count())) | (F.col("_own") == 1)
+    zero = [F.coalesce(F.col(f"{p}_{m}"), F.lit(0)).alias(f"{p}_{m}") for p in ("store", "chain") for m in MEASURES]
+    return level.select("hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr", *FRAME_KEYS, "src_nm", *zero,
+                        "_present", "_catg", "_has_cmp", has_rows.alias("_has_rows"))
+
+
+def _competitor_stores(rolling: DataFrame, params: MartParams) -> DataFrame:
+    return rolling.filter(F.col("corp_nm") != params.own_corp).select("sold_to_nbr").distinct().withColumn("_has_cmp", F.lit(True))
 
 
 METRIC_COLUMNS = [
@@ -121,38 +176,48 @@ CALC_COLUMNS = ["agg_type", "hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr
                 "brand_nm", "tmfrm_cd", "pd_end_yr_wk", *MEASURES, *METRIC_COLUMNS, "src_nm"]
 
 
-def pos_share_growth(facts: DataFrame, pos_ic: DataFrame, spr_stores: DataFrame, products: DataFrame,
-                     frames: FrameSet, params: MartParams) -> DataFrame:
-    """Category share, store and chain totals and growth per fact row.
+RANK_COLUMNS = ["chain_store_sale_val_rank", "chain_store_sale_qty_rank", "chain_store_cnt"]
+
 
-    * Store-level totals are windows over the facts partitioned by store (a
-      store's rows are bounded by the product grid); the grid is generated
-      partitioned by store, so with ``STORE_COPARTITION`` neither the POS join
-      nor the windows shuffle it.
-    * Chain totals are aggregated from the sparse POS rows joined to the store
-      keys (never from the dense grid, whose extra rows are zeros) and joined
-      back null-safely, so a chain holding a large share of all stores never
-      lands in a single window task.
-    * The competitor-store flag comes from the (small) POS roll-up.
+def pos_share_growth(spr_stores: DataFrame, products: DataFrame, frames: FrameSet, pos_ic: DataFrame,
+                     sparse: DataFrame, totals: dict[str, DataFrame], level: DataFrame,
+                     ranks: DataFrame, params: MartParams) -> DataFrame:
+    """The dense fact rows with category share, store and chain totals and growth.
+
+    Totals, ranks and counts are attached to the sparse rows and to one row per
+    store and frame. The zero rows of the store x product grid come last, as a
+    projection of those store rows (each times the product chunks, less the
+    products it has POS of), so no grid row is ever shuffled, sorted or windowed.
     """
+    level = pos_ranked_level(level, ranks, spr_stores)
+    extra = RANK_COLUMNS
     rolling = pos_ic.filter(F.col("tmfrm_cd").isin(*frames.codes()))
-    cmp = rolling.filter(F.col("corp_nm") != params.own_corp).select("sold_to_nbr").distinct()
-    f = facts.join(cmp.select("sold_to_nbr", F.lit(True).alias("_has_cmp")), "sold_to_nbr", "left")
-    w_catg = Window.partitionBy("hier_type_cd", "sold_to_nbr", "ic_catg_nm", "tmfrm_cd", "pd_end_yr_wk")
-    w_store = Window.partitionBy("hier_type_cd", "sold_to_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk")
-    f = f.select(
-        "*",
-        F.sum("sale_val").over(w_catg).alias("total_catg_sale_val"),
-        F.sum("sale_yr_ago_val").over(w_catg).alias("total_catg_sale_yr_ago_val"),
-        *[F.sum(m).over(w_store).alias(f"store_{m}") for m in MEASURES],
-    )
-    chain_keys = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
-    chain_tot = sparse_chain_totals(rolling, spr_stores, products, params)
-    f = join_back_small(f, chain_tot, chain_keys, ["chain_nbr"], params)
-    own_row = F.col("corp_nm") == params.own_corp
-    for m in MEASURES:  # an own chain group made only of zero-filled grid rows sums to 0
-        f = f.withColumn(f"chain_{m}", F.when(F.col(f"chain_{m}").isNull() & own_row, F.lit(0))
-                         .otherwise(F.col(f"chain_{m}")))
+    own = F.col("corp_nm") == params.own_corp
+    in_grid = products.select("ic_catg_nm").distinct().withColumn("_grid", F.lit(True))
+    rows = sparse.join(totals["store"], STORE_KEYS, "left")
+    rows = join_back(rows, totals["chain"], CHAIN_KEYS, "left", ["chain_nbr"])
+    rows = rows.join(totals["catg"], ["hier_type_cd", "sold_to_nbr", "ic_catg_nm", *FRAME_KEYS], "left")
+    rows = rows.join(in_grid, "ic_catg_nm", "left").join(_competitor_stores(rolling, params), "sold_to_nbr", "left")
+    # A total is 0, not NULL, where its group also has zero rows: own groups, and categories of the grid.
+    rows = rows.select(
+        *FACT_COLUMNS, "_has_cmp",
+        *[F.when(own, F.coalesce(F.col(c), F.lit(0))).otherwise(F.col(c)).alias(c) for p in ("store", "chain") for c in [f"{p}_{m}" for m in MEASURES]],
+        *[F.when(F.col("_grid"), F.coalesce(F.col(c), F.lit(0))).otherwise(F.col(c)).alias(c)
+          for c in ("total_catg_sale_val", "total_catg_sale_yr_ago_val")])
+    rows = rows.join(ranks, RANK_KEYS, "left").join(chain_store_count(spr_stores), ["hier_type_cd", "chain_nbr"], "left")
+
+    chunks = materialize(chunked(products.select("ic_catg_nm", "brand_nm").distinct()), params)
+    dense = with_chunks(level, chunks, ["sold_to_nbr"])
+    absent = F.array_except("_members", F.coalesce(F.col("_present"), F.array().cast("array<struct<ic_catg_nm:string,brand_nm:string>>")))
+    dense = dense.withColumn("_p", F.explode(absent))
+    catg = F.col("_catg")[F.col("_p.ic_catg_nm")]
+    measure_type = {f.name: f.dataType for f in sparse.schema.fields}
+    dense = dense.select(
+        "hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr", F.col("_p.ic_catg_nm").alias("ic_catg_nm"),
+        F.col("_p.brand_nm").alias("brand_nm"), *FRAME_KEYS, *[F.lit(0).cast(measure_type[m]).alias(m) for m in MEASURES],
+        "src_nm", "_has_cmp", *[f"{p}_{m}" for p in ("store", "chain") for m in MEASURES],
+        *[F.coalesce(catg[c], F.lit(0)).alias(c) for c in ("total_catg_sale_val", "total_catg_sale_yr_ago_val")], *extra)
+    f = rows.select(*dense.columns).unionByName(dense)
 
     def cat_share(v: str, t: str):
         return F.when(F.col("_has_cmp").isNull() | (F.col(t) == 0), F.lit(0.0)).otherwise(
@@ -160,45 +225,18 @@ def pos_share_growth(facts: DataFrame, pos_ic: DataFrame, spr_stores: DataFrame,
 
     return f.select(
         F.lit("facts").alias("agg_type"), "hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr",
-        "ic_catg_nm", "brand_nm", "tmfrm_cd", "pd_end_yr_wk", *MEASURES,
+        "ic_catg_nm", "brand_nm", *FRAME_KEYS, *MEASURES,
         "total_catg_sale_val", "total_catg_sale_yr_ago_val",
         cat_share("sale_val", "total_catg_sale_val").alias("sale_val_share_pct"),
         cat_share("sale_yr_ago_val", "total_catg_sale_yr_ago_val").alias("sale_yr_ago_val_share_pct"),
-        *[f"store_{m}" for m in MEASURES],
-        growth_or_zero(money("store_sale_val"), money("store_sale_yr_ago_val")).alias("store_sale_vs_yr_ago_val_pct"),
-        growth_or_zero(money("store_sale_qty"), money("store_sale_yr_ago_qty")).alias("store_sale_vs_yr_ago_qty_pct"),
-        *[f"chain_{m}" for m in MEASURES],
-        growth_or_zero(money("chain_sale_val"), money("chain_sale_yr_ago_val")).alias("chain_sale_vs_yr_ago_val_pct"),
-        growth_or_zero(money("chain_sale_qty"), money("chain_sale_yr_ago_qty")).alias("chain_sale_vs_yr_ago_qty_pct"),
-        "src_nm",
+        *[f"store_{m}" for m in MEASURES], *_growths("store"), *[f"chain_{m}" for m in MEASURES], *_growths("chain"),
+        "src_nm", *extra,
     )
 
 
-def sparse_chain_totals(rolling: DataFrame, spr_stores: DataFrame, products: DataFrame,
-                        params: MartParams) -> DataFrame:
-    """Chain totals of the fact rows of ``pos_store_facts`` without building the grid.
-
-    Own fact rows are (grid row, matching own POS row) pairs, i.e. POS rows of a
-    grid product joined to every distinct store key of their store; competitor
-    fact rows are competitor POS rows joined to every store-list row.
-    """
-    keys = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
-    own = rolling.filter(F.col("corp_nm") == params.own_corp).join(
-        products.select("ic_catg_nm", "brand_nm").distinct(), ["ic_catg_nm", "brand_nm"], "left_semi")
-    store_keys = spr_stores.select("hier_type_cd", "sold_to_nbr", "chain_nbr", "src_nm").distinct()
-    own_pairs = own.select("sold_to_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk",
-                           *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in MEASURES]).join(
-        store_keys.select("hier_type_cd", "sold_to_nbr", "chain_nbr"), "sold_to_nbr")
-    comp_pairs = rolling.filter(F.col("corp_nm") != params.own_corp).join(
-        spr_stores.select("sold_to_nbr", "hier_type_cd"), "sold_to_nbr")
-    cols = [*keys, *MEASURES]
-    return own_pairs.select(*cols).unionByName(comp_pairs.select(*cols)).groupBy(*keys).agg(
-        *[F.sum(m).alias(f"chain_{m}") for m in MEASURES])
-
-
-def join_back_small(df: DataFrame, totals: DataFrame, keys, null_safe, params: MartParams) -> DataFrame:
-    """``join_back`` whose aggregate side is broadcast when its checked size allows."""
-    return join_back(df, broadcast_if_small(totals, params), keys, "left", null_safe)
+def _growths(level: str):
+    return [growth_or_zero(money(f"{level}_sale_{m}"), money(f"{level}_sale_yr_ago_{m}")).alias(f"{level}_sale_vs_yr_ago_{m}_pct")
+            for m in ("val", "qty")]
 
 
 def pos_placeholder_rows(spr_stores: DataFrame, frames: FrameSet, params: MartParams) -> DataFrame:
@@ -216,24 +254,23 @@ def pos_placeholder_rows(spr_stores: DataFrame, frames: FrameSet, params: MartPa
 RANK_KEYS = ["hier_type_cd", "sold_to_nbr", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
 
 
-def pos_chain_rank(metrics: DataFrame, params: MartParams | None = None) -> DataFrame:
+def pos_chain_rank(level: DataFrame, sparse: DataFrame, totals: dict[str, DataFrame], params: MartParams) -> DataFrame:
     """P25: rank of each store's growth within its chain (NULL growth ranks first).
 
-    ``rank_within`` computes SQL RANK() without placing a whole chain in one task;
-    its store-level input is materialised once (it is read several times).
+    Ranked on one row per store, chain, corporation and frame, made from the
+    store level and the sparse competitor rows; ``rank_within`` never ranks a
+    whole chain in one task.
     """
-    per_store = metrics.filter(F.col("agg_type") == "facts").select(
-        *RANK_KEYS, "store_sale_vs_yr_ago_val_pct", "store_sale_vs_yr_ago_qty_pct"
-    ).distinct()
-    if params is not None:
-        per_store = materialize(per_store, params)
-    groups = ["hier_type_cd", "chain_nbr", "corp_nm", "tmfrm_cd", "pd_end_yr_wk"]
-    largest = largest_group(per_store, groups)
+    own = level.filter("_has_rows").select(*RANK_KEYS, *[f"store_{m}" for m in MEASURES])
+    others = sparse.filter(F.col("corp_nm") != params.own_corp).select(*RANK_KEYS).distinct().join(totals["store"], STORE_KEYS, "left")
+    per_store = own.unionByName(others.select(*own.columns)).distinct().select(*RANK_KEYS, *_growths("store"))
+    per_store = materialize(per_store, params)
+    groups = CHAIN_KEYS
     ranked = rank_within(per_store, groups, F.col("store_sale_vs_yr_ago_val_pct"), "chain_store_sale_val_rank",
-                         descending=True, nulls_first=True, largest=largest)
+                         descending=True, nulls_first=True)
     ranked = rank_within(ranked, groups, F.col("store_sale_vs_yr_ago_qty_pct"), "chain_store_sale_qty_rank",
-                         descending=True, nulls_first=True, largest=largest)
-    return ranked.select(*RANK_KEYS, "chain_store_sale_val_rank", "chain_store_sale_qty_rank")
+                         descending=True, nulls_first=True)
+    return materialize(ranked.select(*RANK_KEYS, "chain_store_sale_val_rank", "chain_store_sale_qty_rank"), params)
 
 
 def chain_store_count(spr_stores: DataFrame) -> DataFrame:
@@ -242,12 +279,16 @@ def chain_store_count(spr_stores: DataFrame) -> DataFrame:
         F.countDistinct("sold_to_nbr").cast("bigint").alias("chain_store_cnt"))
 
 
-def pos_summary_rows(metrics: DataFrame, placeholders: DataFrame, spr_stores: DataFrame,
-                     params: MartParams) -> DataFrame:
-    """P25-P26 joined onto facts + placeholder rows (``pos_tmfrm_sumry_final``)."""
-    calc = metrics.select(*CALC_COLUMNS).unionByName(placeholders.select(*CALC_COLUMNS))
-    ranked = calc.join(broadcast_if_small(pos_chain_rank(metrics, params), params), RANK_KEYS, "left")
-    return ranked.join(broadcast_if_small(chain_store_count(spr_stores), params), ["hier_type_cd", "chain_nbr"], "left")
+def pos_ranked_level(level: DataFrame, ranks: DataFrame, spr_stores: DataFrame) -> DataFrame:
+    """The store level with P25's ranks and P26's counts (a NULL chain has neither)."""
+    return level.join(ranks, RANK_KEYS, "left").join(chain_store_count(spr_stores), ["hier_type_cd", "chain_nbr"], "left")
+
+
+def pos_summary_rows(metrics: DataFrame, placeholders: DataFrame, ranks: DataFrame, spr_stores: DataFrame) -> DataFrame:
+    """Fact rows (ranks attached) and placeholder rows with ranks and counts (``pos_tmfrm_sumry_final``)."""
+    p = placeholders.select(*CALC_COLUMNS).join(ranks, RANK_KEYS, "left").join(
+        chain_store_count(spr_stores), ["hier_type_cd", "chain_nbr"], "left")
+    return metrics.select(*CALC_COLUMNS, *RANK_COLUMNS).unionByName(p.select(*CALC_COLUMNS, *RANK_COLUMNS))
 
 
 def pos_summary_emit(final: DataFrame) -> DataFrame:
@@ -312,7 +353,7 @@ def category_share(pos_plain: DataFrame, spr_stores: DataFrame, frames: FrameSet
     )
     agg = base.groupBy("tmfrm_cd", "sold_to_nbr", "catg_nm", "corp_nm").agg(
         F.sum("sale_val").alias("sale_val"), F.sum("sale_yr_ago_val").alias("sale_yr_ago_val"),
-        F.max("src_nm").alias("src_nm"),
+        F.array_max(F.collect_set("src_nm")).alias("src_nm"),
     )
     w = Window.partitionBy("sold_to_nbr", "catg_nm", "tmfrm_cd")
     out = agg.select(

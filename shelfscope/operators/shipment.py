@@ -13,10 +13,11 @@ from shelfscope.params import (
     BLOCKED_CHANNELS, EXCLUDED_CATG_CODES, SALES_ORG, SHIPMENT_INACTIVE_PATTERN, WIP_CODE,
     YEAR_AGO_DAYS, MartParams,
 )
-from shelfscope.plans.stages import broadcast_if_small, densify, grid_partitions
+from shelfscope.plans.stages import densify, grid_partitions, materialize
 
+#: Parts that the stores of one plan-to are dealt into.
+FAN_OUT_SALTS = 8
 KEYS = ["plan_to_nbr", "catg_nm", "brand_nm", "tmfrm_cd"]
-MAX_YEARS = 8  # the frames plus the 52-week look-back span at most three fiscal years
 
 
 def material_hierarchy(prod_matrl: DataFrame) -> DataFrame:
@@ -58,11 +59,9 @@ def shipment_detail(shipments: DataFrame, cal_wk: DataFrame, cust_hier: DataFram
     else:
         weeks = weeks.filter(F.lit(False))
     s = shipments.filter(F.col("sales_org_cd") == SALES_ORG)
-    # The fiscal years of those weeks (a handful) as a literal filter on the fact, so a
-    # fact partitioned by fiscal year is pruned; the join below stays the exact test.
-    years = [r["_yr"] for r in weeks.select("_yr").distinct().limit(MAX_YEARS + 1).collect()]
-    if 0 < len(years) <= MAX_YEARS:
-        s = s.filter(F.col("fisc_yr").cast("int").isin(*years))
+    # The fiscal years of those weeks (as many as the date range has) as a literal filter on
+    # the fact, so a fact partitioned by fiscal year is pruned; the join stays the exact test.
+    s = s.filter(F.col("fisc_yr").cast("int").isin([r["_yr"] for r in weeks.select("_yr").distinct().collect()]))
     j = (
         s.join(weeks, (F.col("fisc_yr").cast("int") == F.col("_yr"))
                & (F.col("fisc_wk").cast("int") == F.col("_wk")))
@@ -102,20 +101,22 @@ def shipment_summary(covered_stores: DataFrame, matrl_hier: DataFrame, current:
     with current and year-ago value of the store's plan-to (0 when absent).
 
     The facts are keyed by plan-to, so the grid is first built and joined at
-    plan-to level, and only then fanned out to the stores of each plan-to; the
-    store-level grid is never shuffled.
+    plan-to level, and only then fanned out to the stores of each plan-to. A plan-to
+    may hold most stores: the fan-out joins on (plan-to, salt), with the stores
+    dealt over the salts and the plan-to rows repeated for each.
     """
     stores = covered_stores.select("sold_to_nbr", "plan_to_nbr", "chain_nbr", "src_nm")
     plan_tos = stores.select("plan_to_nbr").distinct()
     pairs = matrl_hier.select("catg_nm", "brand_nm").distinct()
     seen = current.select("tmfrm_cd").distinct()
-    grid = frames.with_each_code(densify(plan_tos, pairs, params, spread_by=["plan_to_nbr"])).join(seen, "tmfrm_cd", "left_semi")
+    grid = frames.with_each_code(densify(plan_tos, pairs, ["plan_to_nbr"])).join(seen, "tmfrm_cd", "left_semi")
     cur = current.select(*KEYS, "gsv", F.col("src_nm").alias("_cur_src"), "kortex_upld_ts",
                          "kortex_dprct_ts")
-    plan_level = broadcast_if_small(grid.join(cur, KEYS, "left").join(year_ago, KEYS, "left"), params)
-    # Spread the (small) store list so every task fans its stores out to the plan-to rows.
-    stores = stores.repartition(grid_partitions(stores.sparkSession), "sold_to_nbr")
-    return stores.join(plan_level, "plan_to_nbr").select(
+    plan_level = materialize(grid.join(cur, KEYS, "left").join(year_ago, KEYS, "left"), params)
+    salt = F.pmod(F.xxhash64("sold_to_nbr"), F.lit(FAN_OUT_SALTS)).cast("int")
+    stores = stores.repartition(grid_partitions(stores.sparkSession), "sold_to_nbr").withColumn("_salt", salt)
+    plan_level = plan_level.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(FAN_OUT_SALTS - 1))))
+    return stores.join(plan_level, ["plan_to_nbr", "_salt"]).select(
         "sold_to_nbr", "plan_to_nbr", "chain_nbr", "tmfrm_cd", "catg_nm", "brand_nm",
         F.coalesce("gsv", F.lit(0)).alias("gsv"),
         F.coalesce("gsv_yr_ago", F.lit(0)).alias("gsv_yr_ago"),

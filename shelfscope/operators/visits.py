@@ -12,7 +12,7 @@ from shelfscope.operators.calendar import FrameSet
 from shelfscope.sources.schemas import TS
 from shelfscope.params import (
     EXCLUDED_CATG_CODES, OOS_ALERT_VALUES, PRIORITY_BLOCKED, PRIORITY_BLOCKED_PATTERN,
-    PRIORITY_MAX_PARTS, PRIORITY_SOURCE,
+    PRIORITY_SOURCE,
 )
 
 AUDIT_COLUMNS = [
@@ -158,10 +158,13 @@ def priority_rollup(weeks: DataFrame) -> DataFrame:
     return per_list.join(per_store, ["tmfrm_cd", "sold_to_nbr"])
 
 
-def events_split(rollup: DataFrame) -> DataFrame:
-    """One row per category of the list: first 7 comma parts, trimmed; blank and
-    block-listed parts dropped (a repeated category repeats the row)."""
-    parts = F.slice(F.split(F.col("mult_catg_nm"), ","), 1, PRIORITY_MAX_PARTS)
+def events_split(rollup: DataFrame, max_parts: int | None = 7) -> DataFrame:
+    """One row per category of the list: the first ``max_parts`` comma parts (the
+    original's rule; None takes all), trimmed; blank and block-listed parts dropped
+    (a repeated category repeats the row)."""
+    parts = F.split(F.col("mult_catg_nm"), ",")
+    if max_parts is not None:
+        parts = F.slice(parts, 1, max_parts)
     exploded = rollup.select("*", F.posexplode(parts).alias("_pos", "_part"))
     catg = F.trim(F.col("_part"))
     return exploded.select(

@@ -132,8 +132,7 @@ cte("src_shipments", f"""
     CASE WHEN l_orderkey % 5 = 0 THEN 'kna_bw' ELSE 'kna_ecc' END AS src_nm,
     CAST(l_shipdate AS TIMESTAMP) AS kortex_upld_ts,
     CAST(NULL AS TIMESTAMP) AS kortex_dprct_ts
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_suppkey % 2 = 0""")
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 cte("src_pos_lines", f"""
   SELECT

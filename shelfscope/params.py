@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- Fixed values (must equal the original job's literals for identical results) ---
 OWN_CORP = "KELLANOVA"
@@ -37,7 +37,6 @@ PRIORITY_BLOCKED = (
     "FEATURE & DISPLAY", "WINCO ORDER CODE", "OTHER", "#REF!", "NULL",
 )
 PRIORITY_BLOCKED_PATTERN = "%CEREAL%"
-PRIORITY_MAX_PARTS = 7
 DRIVER_SOURCE = "kna_ecc"
 CURRENCY_CODE = "dol"
 QTY_UOM = "each"
@@ -54,22 +53,17 @@ class MartParams:
 
     ``pos_run_date``/``visit_run_date`` are the procedure argument; when unset
     they resolve to the fiscal week end of ``today - 14 days``.  ``load_ts`` is
-    the load timestamp written to the audit columns (pass the job start time so
-    a rerun of the same job repeats its output).
+    the load timestamp written to the audit columns; unset, it is the job's start.
     """
 
     pos_run_date: dt.date | None = None
     visit_run_date: dt.date | None = None
     today: dt.date | None = None
-    load_ts: dt.datetime = field(default_factory=lambda: dt.datetime(2000, 1, 1))
+    load_ts: dt.datetime | None = None
     own_corp: str = OWN_CORP
     strict_hash_key: bool = False
     merge_sources: bool = False
-    # Densification broadcasts the product dimension only below this row count.
-    max_broadcast_rows: int = 2_000_000
-    # Materialise stages that several families read (Parquet under spark.checkpoint.dir).
-    # False is meant for unit tests of single operators: a whole-mart plan without
-    # stage boundaries inlines every shared stage many times over and does not finish.
-    materialize: bool = True
+    # Parts of a priority's category list that count, as in the original job; None: all.
+    priority_max_parts: int | None = 7
     # Folder name of this run's stage tables (set by MartJob).
     run_id: str = "adhoc"

@@ -1,13 +1,14 @@
 """The mart build: wires the operators into one DAG and materialises shared stages.
 
 ``MartJob`` holds the source tables and parameters; each stage is a cached
-property, so a stage read by several metric families is defined (and, when
-``params.materialize`` is set, checkpointed) exactly once.
+property, so a stage read by several metric families is defined and written
+exactly once.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import uuid
 from functools import cached_property
 
@@ -17,8 +18,18 @@ from pyspark.sql import functions as F
 from shelfscope.operators import calendar, drivers, key_brand, mart, masters, pos, shipment, visits
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
-from shelfscope.plans.stages import STORE_COPARTITION, drop_stages, materialize, session_conf
-from shelfscope.sources.tables import SourceTables, write_mart
+from shelfscope.plans.stages import drop_stages, materialize
+from shelfscope.sources.tables import SourceTables, publish_mart, read_mart, read_sources
+
+
+def run_mart(spark: SparkSession, run_date: dt.date, source_root: str, target: str, **params) -> None:
+    """The production entry: one run date for POS and visits, sources and target by name.
+
+    ``source_root`` is a folder of Parquet tables or a catalog database
+    (``catalog:<database>``); ``target`` a folder or a table (``catalog:<table>``).
+    """
+    p = MartParams(pos_run_date=run_date, visit_run_date=run_date, **params)
+    MartJob(spark, read_sources(spark, source_root), p).run(target)
 
 
 class MartJob:
@@ -27,12 +38,23 @@ class MartJob:
         self.src = sources
         if params.run_id == "adhoc":
             params = dataclasses.replace(params, run_id=uuid.uuid4().hex)
+        if params.load_ts is None:
+            params = dataclasses.replace(params, load_ts=dt.datetime.now().replace(microsecond=0))
         self.params = params
 
-    def run(self, path: str, partition_by_metric: bool = True) -> None:
-        """Build the mart, publish it with a full-refresh overwrite, drop the stage tables."""
-        write_mart(self.mart_final, path, partition_by_metric)
-        drop_stages(self.spark, self.params)
+    def run(self, target: str) -> None:
+        """Build the mart and publish it; the stage tables go, also when it fails."""
+        try:
+            publish_mart(self.mart_final, target)
+        finally:
+            self.drop_stages()
+
+    def refresh_family(self, target: str, family: str) -> None:
+        """Recompute one metric family and replace it in the stored mart."""
+        try:
+            publish_mart(mart.replace_family(read_mart(self.spark, target), family, self.mart_final), target)
+        finally:
+            self.drop_stages()
 
     def drop_stages(self) -> None:
         drop_stages(self.spark, self.params)
@@ -98,33 +120,53 @@ class MartJob:
 
     @cached_property
     def store_product_grid(self) -> DataFrame:
-        return masters.store_product_grid(self.spr_stores, self.products, self.params)
+        return masters.store_product_grid(self.spr_stores, self.products)
 
     @cached_property
     def grid_catgs(self) -> DataFrame:
         return masters.grid_categories(self.products)
 
     # ---- POS ------------------------------------------------------------------------
+    @cached_property
+    def pos_base(self) -> DataFrame:
+        frames = self.pos_frames + self.pos_weekly_frames
+        return materialize(pos.pos_base(self.src.pos_weekly, frames, self.spr_stores), self.params)
+
     @cached_property
     def pos_ic(self) -> DataFrame:
         frames = self.pos_frames + self.pos_weekly_frames
-        return materialize(pos.pos_rollup_ic(
-            self.src.pos_weekly, frames, self.spr_stores, self.grid_catgs, self.params), self.params)
+        return materialize(pos.pos_rollup_ic(self.pos_base, frames, self.grid_catgs, self.params), self.params)
 
     @cached_property
     def pos_plain(self) -> DataFrame:
-        return materialize(pos.pos_rollup_plain(
-            self.src.pos_weekly, self.pos_frames, self.spr_stores, self.grid_catgs), self.params)
+        return materialize(pos.pos_rollup_plain(self.pos_base, self.pos_frames, self.grid_catgs), self.params)
 
     @cached_property
-    def pos_facts(self) -> DataFrame:
-        return pos.pos_store_facts(self.spr_stores, self.products, self.pos_frames, self.pos_ic, self.params)
+    def pos_sparse(self) -> DataFrame:
+        return materialize(pos.pos_sparse_facts(self.spr_stores, self.products, self.pos_frames, self.pos_ic,
+                                                self.params), self.params)
+
+    @cached_property
+    def pos_totals(self) -> dict[str, DataFrame]:
+        return {k: materialize(v, self.params) for k, v in pos.pos_totals(self.pos_sparse).items()}
+
+    @cached_property
+    def pos_store_level(self) -> DataFrame:
+        return materialize(pos.pos_store_level(self.spr_stores, self.products, self.pos_frames, self.pos_ic,
+                                               self.pos_sparse, self.pos_totals, self.params), self.params)
+
+    @cached_property
+    def pos_ranks(self) -> DataFrame:
+        return pos.pos_chain_rank(self.pos_store_level, self.pos_sparse, self.pos_totals, self.params)
 
     @cached_property
     def pos_metrics(self) -> DataFrame:
-        with session_conf(self.spark, STORE_COPARTITION):
-            return materialize(pos.pos_share_growth(self.pos_facts, self.pos_ic, self.spr_stores,
-                                                    self.products, self.pos_frames, self.params), self.params)
+        return pos.pos_share_growth(self.spr_stores, self.products, self.pos_frames, self.pos_ic, self.pos_sparse,
+                                    self.pos_totals, self.pos_store_level, self.pos_ranks, self.params)
+
+    @cached_property
+    def pos_facts(self) -> DataFrame:
+        return self.pos_metrics.select(*pos.FACT_COLUMNS)
 
     @cached_property
     def pos_placeholders(self) -> DataFrame:
@@ -132,7 +174,7 @@ class MartJob:
 
     @cached_property
     def pos_final(self) -> DataFrame:
-        return pos.pos_summary_rows(self.pos_metrics, self.pos_placeholders, self.spr_stores, self.params)
+        return pos.pos_summary_rows(self.pos_metrics, self.pos_placeholders, self.pos_ranks, self.spr_stores)
 
     @cached_property
     def pos_rows(self) -> DataFrame:
@@ -231,12 +273,12 @@ class MartJob:
 
     @cached_property
     def events(self) -> DataFrame:
-        return materialize(visits.events_split(self.priority_rollup), self.params)
+        return materialize(visits.events_split(self.priority_rollup, self.params.priority_max_parts), self.params)
 
     # ---- drivers --------------------------------------------------------------------
     @cached_property
     def drv_individual(self) -> DataFrame:
-        return drivers.individual_categories(self.covered_stores, self.products, self.psd_frames, self.params)
+        return drivers.individual_categories(self.covered_stores, self.products, self.psd_frames)
 
     @cached_property
     def drv_active(self) -> DataFrame:
@@ -252,18 +294,25 @@ class MartJob:
         return materialize(drivers.store_category_lists(self.drv_individual, self.drv_active,
                                                         self.drv_event_cats), self.params)
 
+    @cached_property
+    def drv_chain_lists(self) -> DataFrame:
+        return materialize(drivers.chain_lists(self.drv_store_lists), self.params)
+
     @cached_property
     def drv_matrix(self) -> DataFrame:
-        return materialize(drivers.driver_matrix(self.drv_store_lists, self.drv_active), self.params)
+        """The whole matrix (P41); the mart needs its EVENTS rows only."""
+        return drivers.driver_matrix(self.drv_store_lists, self.drv_chain_lists, self.drv_active)
 
     @cached_property
     def drv_event_facts(self) -> DataFrame:
+        # The matrix is not materialised: the EVENTS filter reaches its three inputs.
         return drivers.event_facts(self.drv_matrix, self.events)
 
     @cached_property
     def drv_store_facts(self) -> DataFrame:
         return materialize(drivers.store_facts(
-            self.drv_matrix, self.drv_event_facts, self.oos, self.pos_plain, self.params), self.params)
+            self.drv_store_lists, self.drv_chain_lists, self.drv_active, self.drv_event_facts, self.oos,
+            self.pos_plain, self.params), self.params)
 
     @cached_property
     def drv_chain_facts(self) -> DataFrame:
@@ -289,13 +338,13 @@ class MartJob:
     # ---- mart -----------------------------------------------------------------------
     @cached_property
     def families(self) -> list[DataFrame]:
-        return [self.shipment_rows, self.key_brand_rows, self.pos_rows, self.pos_weekly_rows,
-                self.category_share_rows, self.driver_rows]
+        """Each family once: the category totals and the assembly both read the stage tables."""
+        return [materialize(f, self.params) for f in (
+            self.shipment_rows, self.key_brand_rows, self.pos_rows, self.pos_weekly_rows,
+            self.category_share_rows, self.driver_rows)]
 
     @cached_property
     def mart_union(self) -> DataFrame:
-        # Not materialised: every family reads materialised stages, and the prune step's
-        # totals only need four columns, which Catalyst prunes through each family's plan.
         return mart.mart_union(self.families)
 
     @cached_property

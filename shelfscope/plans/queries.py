@@ -8,29 +8,39 @@ returned as doubles.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from shelfscope.functions.columns import money
-from shelfscope.operators import calendar, pos, visits
+from shelfscope.operators import calendar, mart, pos, shipment, visits
 from shelfscope.plans.job import MartJob
+from shelfscope.plans.stages import stage_root
+from shelfscope.sources.schemas import empty_mart, mart_struct, to_mart_rows
+from shelfscope.sources.tables import publish_mart, read_mart, write_mart
 from shelfscope.sources.testviews import build_sources, adapter_params
 
 _JOBS: dict[tuple, MartJob] = {}
 
 
 def job_for(spark: SparkSession, sf_dir: str, **overrides) -> MartJob:
-    """One ``MartJob`` per session, data folder and parameters (stages are reused)."""
+    """One ``MartJob`` per session, data folder and parameters (stages are reused until ``release_jobs``)."""
     key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(overrides.items())))
     if key not in _JOBS:
         _JOBS[key] = MartJob(spark, build_sources(spark, sf_dir), adapter_params(**overrides))
     return _JOBS[key]
 
 
+def release_jobs() -> None:
+    """Forget all jobs of this process and drop their stage tables."""
+    while _JOBS:
+        _JOBS.popitem()[1].drop_stages()
+
+
 def doubles(df: DataFrame) -> DataFrame:
     """Cast decimal columns to double (the mart's measure type)."""
     return df.select(*[
@@ -39,22 +49,44 @@ def doubles(df: DataFrame) -> DataFrame:
     ])
 
 
-CENT_COLUMNS = {
-    "sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty", "sale_vol_lb_val",
-    "sale_yr_ago_vol_lb_val", "total_catg_sale_val", "total_catg_sale_yr_ago_val", "store_sale_val",
-    "store_sale_yr_ago_val", "store_sale_qty", "store_sale_yr_ago_qty", "chain_sale_val",
-    "chain_sale_yr_ago_val", "chain_sale_qty", "chain_sale_yr_ago_qty", "chain_brand_sale_val",
-    "chain_brand_sale_yr_ago_val", "sale_vs_yr_ago_val", "sale_vs_yr_ago_qty", "actl_store_sale_val",
-    "actl_store_sale_yr_ago_val", "actl_store_sale_qty", "actl_store_sale_yr_ago_qty",
-}
+def q_schema_clone(spark, sf_dir):
+    """An empty mart beside the published one, written and read back."""
+    j = job_for(spark, sf_dir)
+    target = f"{stage_root(spark, j.params)}/clone-{uuid.uuid4().hex}"
+    write_mart(empty_mart(spark).unionByName(j.mart_final.limit(0)), target)
+    return spark.read.schema(mart_struct()).parquet(target)
 
 
-def cents_out(df: DataFrame) -> DataFrame:
-    """Stages that carry money as integer cents, shown as doubles."""
-    return df.select(*[
-        money(f.name).alias(f.name) if f.name in CENT_COLUMNS and f.dataType.simpleString() == "bigint"
-        else F.col(f.name) for f in df.schema.fields
-    ])
+def q_publish(spark, sf_dir):
+    """The mart published and read back."""
+    j = job_for(spark, sf_dir)
+    target = f"{stage_root(spark, j.params)}/publish-{uuid.uuid4().hex}"
+    publish_mart(j.mart_final, target)
+    return read_mart(spark, target)
+
+
+def q_replace_family(spark, sf_dir):
+    """A stored mart whose weekly POS rows are stale, after that one family is replaced."""
+    j = job_for(spark, sf_dir)
+    target = f"{stage_root(spark, j.params)}/replace-{uuid.uuid4().hex}"
+    stale = mart.FAMILIES["POS_WEEKLY"]
+    publish_mart(j.mart_final.withColumn("sale_val", F.when(F.expr(stale), F.lit(-1.0)).otherwise(F.col("sale_val"))), target)
+    publish_mart(mart.replace_family(read_mart(spark, target), "POS_WEEKLY", j.mart_final), target)
+    return read_mart(spark, target)
+
+
+def q_strict_key(spark, sf_dir):
+    """P53 with the hash key as written: NULL wherever a raw part is."""
+    j = job_for(spark, sf_dir)
+    params = dataclasses.replace(j.params, strict_hash_key=True)
+    rows = mart.enrich_with_store(to_mart_rows(j.pos_weekly_rows), j.spr_stores, params)
+    return mart.final_projection(rows, j.pos_run_dt, params)
+
+
+def q_merged_year_ago(spark, sf_dir):
+    """P13 with one row per key instead of one per source."""
+    j = job_for(spark, sf_dir)
+    return doubles(shipment.shipment_year_ago(j.shipment_detail, j.pos_frames, dataclasses.replace(j.params, merge_sources=True)))
 
 
 def q_run_date(spark, sf_dir):
@@ -71,13 +103,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_hierarchy": lambda s, d: job_for(s, d).spr_stores,
     "product_master": lambda s, d: job_for(s, d).products,
     "store_product_grid": lambda s, d: job_for(s, d).store_product_grid,
-    "pos_rollup_ic": lambda s, d: cents_out(job_for(s, d).pos_ic),
-    "pos_rollup_plain": lambda s, d: cents_out(job_for(s, d).pos_plain),
+    "pos_rollup_ic": lambda s, d: doubles(job_for(s, d).pos_ic),
+    "pos_rollup_plain": lambda s, d: doubles(job_for(s, d).pos_plain),
     "category_share": lambda s, d: job_for(s, d).category_share,
-    "pos_store_facts": lambda s, d: cents_out(job_for(s, d).pos_facts),
-    "pos_share_growth": lambda s, d: cents_out(job_for(s, d).pos_metrics),
+    "pos_store_facts": lambda s, d: doubles(job_for(s, d).pos_facts),
+    "pos_share_growth": lambda s, d: doubles(job_for(s, d).pos_metrics.select(*pos.CALC_COLUMNS)),
     "pos_placeholder_rows": lambda s, d: job_for(s, d).pos_placeholders,
-    "pos_chain_rank": lambda s, d: pos.pos_chain_rank(job_for(s, d).pos_metrics),
+    "pos_chain_rank": lambda s, d: job_for(s, d).pos_ranks,
     "chain_store_count": lambda s, d: pos.chain_store_count(job_for(s, d).spr_stores),
     "pos_summary": lambda s, d: doubles(job_for(s, d).pos_rows),
     "pos_weekly": lambda s, d: doubles(job_for(s, d).pos_weekly_rows),
@@ -85,9 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shipment_current": lambda s, d: doubles(job_for(s, d).shipment_current),
     "shipment_year_ago": lambda s, d: doubles(job_for(s, d).shipment_year_ago),
     "shipment_summary": lambda s, d: doubles(job_for(s, d).shipment_summary),
-    "key_brand_base": lambda s, d: cents_out(job_for(s, d).key_brand_base),
-    "key_brand_metrics": lambda s, d: cents_out(job_for(s, d).key_brand_metrics.drop("_ck")),
-    "key_brand_chain_rank": lambda s, d: cents_out(job_for(s, d).key_brand_ranked.drop("_ck")),
+    "key_brand_base": lambda s, d: doubles(job_for(s, d).key_brand_base),
+    "key_brand_metrics": lambda s, d: doubles(job_for(s, d).key_brand_metrics.drop("_ck")),
+    "key_brand_chain_rank": lambda s, d: doubles(job_for(s, d).key_brand_ranked.drop("_ck")),
     "key_brand_emit": lambda s, d: doubles(job_for(s, d).key_brand_rows),
     "visit_audit": lambda s, d: visits.with_visit_rank(job_for(s, d).visit_detail),
     "oos_summary": lambda s, d: job_for(s, d).oos,
@@ -110,4 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_master": lambda s, d: job_for(s, d).location_rows,
     "enrich_store": lambda s, d: job_for(s, d).mart_enriched,
     "mart_final": lambda s, d: job_for(s, d).mart_final,
+    "mart_schema_clone": q_schema_clone,
+    "mart_publish": q_publish,
+    "mart_replace_family": q_replace_family,
+    "mart_strict_hash_key": q_strict_key,
+    "shipment_year_ago_merged": q_merged_year_ago,
 }

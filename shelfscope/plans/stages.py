@@ -1,39 +1,36 @@
-"""Stage boundaries: materialisation and size-checked dimension products.
-
-* ``materialize`` cuts lineage by writing the stage as a Parquet table under
-  the cluster's ``spark.checkpoint.dir`` (the shared folder, never a
-  machine-local one) and reading it back.  A lost executor then does not force
-  a recompute of every upstream fact join, stages read by several metric
-  families are computed once, and later readers get column pruning and
-  predicate pushdown on the stage.
-* ``densify`` builds the store x product grids the mart is defined over.  The
-  product side is a hierarchy dimension; its row count is checked before it is
-  broadcast, and above the limit Spark's distributed cartesian product is used
-  instead.
+"""Stage boundaries: stage tables and dense grids.
+
+* ``materialize`` cuts lineage by writing the stage as a Parquet table under the
+  cluster's ``spark.checkpoint.dir`` (the shared folder, never a machine-local
+  one) and reading it back.  A lost executor then does not force a recompute of
+  every upstream fact join, stages read by several metric families are computed
+  once, and Spark knows the stage's size in bytes when it picks a join.
+* ``densify`` builds the grids that the mart is defined over as an equi-join, so
+  that Spark may broadcast, hash or sort-merge it by measured size.
 """
 
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.params import MartParams
-from shelfscope.session import ensure_checkpoint_dir
+from shelfscope.session import checkpoint_dir
+
+#: Rows of a dimension that share a chunk of a grid.
+GRID_CHUNK_ROWS = 256
 
 
 def stage_root(spark, params: MartParams) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{params.run_id}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/stages/{params.run_id}"
 
 
 def materialize(df: DataFrame, params: MartParams) -> DataFrame:
-    if not params.materialize:
-        return df
     spark = df.sparkSession
     path = f"{stage_root(spark, params)}/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,59 +43,36 @@ def drop_stages(spark, params: MartParams) -> None:
         fs.delete(path, True)
 
 
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """Row count, stopping once it exceeds ``limit`` (returns ``limit + 1`` then)."""
-    return df.limit(limit + 1).count()
-
-
 def grid_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def densify(left: DataFrame, dim: DataFrame, params: MartParams, spread_by=None) -> DataFrame:
-    """``left x dim`` where ``dim`` is a small dimension (size checked).
+def chunked(dim: DataFrame) -> DataFrame:
+    """``dim`` in rows of about ``GRID_CHUNK_ROWS`` members each: _chunk, _members (array of structs)."""
+    chunks = max(1, -(-dim.count() // GRID_CHUNK_ROWS))
+    member = F.struct(*dim.columns)
+    return dim.groupBy(F.pmod(F.xxhash64(*dim.columns), F.lit(chunks)).cast("int").alias("_chunk")).agg(
+        F.collect_list(member).alias("_members"))
+
+
+def with_chunks(left: DataFrame, chunks: DataFrame, spread_by) -> DataFrame:
+    """Every row of ``left`` with every chunk, as an equi-join on (chunk, salt).
 
-    ``spread_by`` hash-partitions the (small) left side into the shuffle
-    partition count first, so the grid is generated by every task instead of
-    the one or two partitions the small left side would otherwise coalesce
-    into, and comes out partitioned by that key.
+    The left side carries the chunk numbers, the chunk side is repeated for each
+    salt, so neither a hot chunk nor a large left side meets in one task.
     """
-    if spread_by:
-        left = left.repartition(grid_partitions(left.sparkSession), *spread_by)
-    if bounded_count(dim, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        return left.join(F.broadcast(dim), how="cross")
-    return left.join(dim, how="cross")
-
-
-def broadcast_if_small(df: DataFrame, params: MartParams) -> DataFrame:
-    """Materialise an aggregate expected to be small and broadcast it only when its
-    row count is within ``params.max_broadcast_rows``; otherwise it stays a plain
-    side (shuffle join, with AQE skew-join splitting)."""
-    if not params.materialize:
-        return df  # lazy mode: AQE decides from the measured size of the side at run time
-    df = materialize(df, params)
-    if bounded_count(df, params.max_broadcast_rows) <= params.max_broadcast_rows:
-        return F.broadcast(df)
-    return df
-
-
-@contextmanager
-def session_conf(spark, settings: dict[str, str]):
-    """Apply SQL settings for the stages materialised inside the block, then restore."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-# The store x product grid is generated already hash-partitioned by store.  Letting
-# joins and windows whose keys include the store reuse that partitioning means the
-# grid (the largest intermediate) is never shuffled; only the sparse sides are.
-STORE_COPARTITION = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    spark = left.sparkSession
+    salts = grid_partitions(spark)
+    n = chunks.agg(F.max("_chunk")).first()[0]
+    if n is None:
+        return left.withColumn("_members", F.lit(None)).where(F.lit(False))
+    left = left.repartition(salts, *spread_by).withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    left = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n))))
+    right = chunks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, ["_chunk", "_salt"]).drop("_chunk", "_salt")
+
+
+def densify(left: DataFrame, dim: DataFrame, spread_by) -> DataFrame:
+    """Every row of ``left`` with every row of the dimension ``dim``."""
+    grid = with_chunks(left, chunked(dim), spread_by)
+    return grid.withColumn("_m", F.explode("_members")).select(*left.columns, *[F.col(f"_m.{c}").alias(c) for c in dim.columns])

@@ -29,23 +29,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8) -> SparkSe
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only set one when it is unset.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``; raises where it is unset.
 
-    A job on a cluster must checkpoint to the shared folder the cluster names;
-    the local fallback exists for tests on a single machine.
+    Stage tables written to a machine-local folder could not be read by other
+    executors, so the library never picks one itself.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="shelfscope-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
+    return folder
+
+
+def use_local_checkpoint_dir(spark: SparkSession) -> str:
+    """For tests, the bench and smoke runs on one machine: name a local folder if none is set."""
+    try:
+        return checkpoint_dir(spark)
+    except RuntimeError:
+        folder = tempfile.mkdtemp(prefix="shelfscope-ckpt-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", folder)
+        return folder

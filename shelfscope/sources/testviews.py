@@ -172,8 +172,7 @@ def product_by_material(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def shipments(t: dict[str, DataFrame]) -> DataFrame:
-    li = t["lineitem"].filter(F.col("l_suppkey") % 2 == 0)
-    j = li.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    j = t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
     d = F.to_date("l_shipdate")
     return j.select(
         _s(fiscal.fiscal_year(d)).alias("fisc_yr"),

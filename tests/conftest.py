@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from shelfscope.session import ensure_checkpoint_dir
+    from shelfscope.session import use_local_checkpoint_dir
 
     s = (
         SparkSession.builder.master("local[4]")
@@ -24,7 +24,7 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
+    use_local_checkpoint_dir(s)
     yield s
 
 
