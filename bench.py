@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfscope.plans.job import MartJob  # noqa: E402
-from shelfscope.session import get_spark  # noqa: E402
+from shelfscope.session import get_spark, use_local_checkpoint_dir  # noqa: E402
 from shelfscope.sources.testviews import build_sources, adapter_params  # noqa: E402
 
 FAMILIES = {
@@ -45,6 +45,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
+    use_local_checkpoint_dir(spark)
     run(spark, sf_dir, "category_share_rows")  # warm-up: JVM, code paths, file listing
     times = {k: run(spark, sf_dir, attr) for k, attr in FAMILIES.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)

@@ -134,7 +134,7 @@ def final_projection(rows: DataFrame, pos_run_dt: dt.date, params: MartParams) -
                  "catg_nm", "mult_catg_nm", "brand_nm", "corp_nm"]
     source = {c: F.col(c) for c in key_parts} if params.strict_hash_key else defaulted
     hash_key = F.md5(F.concat(*[source[c].cast("string") for c in key_parts]))
-    load_ts = F.lit(params.load_ts.isoformat(sep=" ")).cast(TS)
+    load_ts = (F.lit(params.load_ts.isoformat(sep=" ")) if params.load_ts else F.current_timestamp()).cast(TS)
     defaulted.update({
         "val_curr_cd": F.lit(CURRENCY_CODE),
         "qty_uom": F.lit(QTY_UOM),

