@@ -51,7 +51,7 @@ EM_ROUNDS = 2
 #: Added to every expected piece count.
 PIECE_PRIOR = 0.1
 #: Different words after which a chunk is closed.
-CHUNK_WORDS = 150_000
+CHUNK_WORDS = 500_000
 #: Bytes beyond which a word's lattice is run alone.
 LONG_WORD = 192
 
@@ -79,8 +79,9 @@ def read_vocabulary(path: str = VOCABULARY) -> tuple[list[bytes], np.ndarray]:
 class Lattice:
     """Forward and backward recursions over many words at once.
 
-    Words are byte strings. Spans are looked up by a polynomial hash in a
-    direct-address table; a hit is confirmed by the full 64-bit hash.
+    Words are byte strings of equal length in a block. From each start, the spans
+    that still begin a piece are grown byte by byte; they are looked up by a
+    polynomial hash in a direct-address table, confirmed by the full 64 bits.
     """
 
     START = "▁".encode()
@@ -89,25 +90,23 @@ class Lattice:
         self.pieces = {p: i for i, p in enumerate(pieces)}
         self.lp = np.asarray(log_weights, float)
         self.longest = max(map(len, pieces))
-        self.lengths = sorted({len(p) for p in pieces})
-        base = np.uint64(_MULTIPLIER)
-        self.power = np.ones(self.longest + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            for i in range(self.longest):
-                self.power[i + 1] = self.power[i] * base
-            h = np.zeros(len(pieces), np.uint64)
-            for i, p in enumerate(pieces):
-                x = np.uint64(0)
-                for b in p:
-                    x = x * base + np.uint64(b + 1)
-                h[i] = x
-            slot = self._slot(h)
-        # Two tables hold up to two pieces a slot; the few beyond go to a dictionary.
-        self.tables = [np.full(1 << 20, -1, np.int32) for _ in range(2)]
-        self.hash, self.more = h, {}
+        prefixes = list(dict.fromkeys(p[:n] for p in pieces for n in range(1, len(p) + 1)))
+        # The piece that each prefix is, -1 if it only begins one; the last entry stands for "no prefix".
+        self.piece = np.array([self.pieces.get(p, -1) for p in prefixes] + [-1], np.int32)
+        h = np.zeros(len(prefixes) + 1, np.uint64)
+        for i, p in enumerate(prefixes):
+            x = 0
+            for b in p:
+                x = (x * _MULTIPLIER + b + 1) & 0xFFFFFFFFFFFFFFFF
+            h[i] = x
+        self.hash, none = h, len(prefixes)
+        slot = self._slot(h[:-1])
+        # Two tables hold up to two prefixes a slot; the few beyond go to a dictionary.
+        self.tables = [np.full(1 << 20, none, np.int32) for _ in range(2)]
+        self.none, self.more = none, {}
         for i, s in enumerate(slot.tolist()):
             for t in self.tables:
-                if t[s] < 0:
+                if t[s] == none:
                     t[s] = i
                     break
             else:
@@ -115,37 +114,38 @@ class Lattice:
 
     @staticmethod
     def _slot(h: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(44)).astype(np.int64)
+        return ((h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(44)).astype(np.int64)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
-        """Piece of each hash, -1 where there is none."""
+        """Prefix of each hash, ``none`` where there is none."""
         slot = self._slot(h)
-        out = np.full(len(h), -1, np.int32)
-        for t in self.tables:
-            got = t[slot]
-            ok = (got >= 0) & (self.hash[got] == h)
-            out[ok] = got[ok]
+        out = self.tables[0][slot]
+        miss = np.flatnonzero(self.hash[out] != h)
+        if len(miss):
+            second = self.tables[1][slot[miss]]
+            out[miss] = np.where(self.hash[second] == h[miss], second, self.none)
         for key, i in self.more.items():
             out[h == np.uint64(key)] = i
         return out
 
     def _edges(self, words: list[bytes], width: int):
-        """(start, end, rows, pieces) of all edges, ends ascending; words have the same length ``width``."""
-        m = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), width)
-        prefix = np.zeros((width + 1, len(words)), np.uint64)
+        """(start, end, rows, pieces) of all edges, starts ascending; words have the same length ``width``."""
+        m = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), width).T.astype(np.uint64) + np.uint64(1)
         base = np.uint64(_MULTIPLIER)
-        with np.errstate(over="ignore"):
-            for j in range(width):
-                prefix[j + 1] = prefix[j] * base + (m[:, j].astype(np.uint64) + np.uint64(1))
-            for j in range(1, width + 1):
-                for n in self.lengths:
-                    if n > j:
-                        break
-                    got = self._find(prefix[j] - prefix[j - n] * self.power[n])
-                    rows = np.flatnonzero(got >= 0)
-                    if len(rows):
-                        yield j - n, j, rows, got[rows]
+        for i in range(width):
+            alive, h = np.arange(len(words)), np.zeros(len(words), np.uint64)
+            for j in range(i + 1, min(width, i + self.longest) + 1):
+                h = h * base + m[j - 1, alive]
+                got = self._find(h)
+                ok = got != self.none
+                if not ok.all():
+                    alive, h, got = alive[ok], h[ok], got[ok]
+                if not len(alive):
+                    break
+                piece = self.piece[got]
+                is_piece = np.flatnonzero(piece >= 0)
+                if len(is_piece):
+                    yield i, j, alive[is_piece], piece[is_piece]
 
     def _groups(self, words: list[bytes], cells: int = 400_000):
         """Indices of words of equal length, in blocks of bounded size."""
@@ -173,6 +173,7 @@ class Lattice:
             edges = list(self._edges(block, width))
             a = np.full((width + 1, len(block)), -np.inf)
             a[0] = 0.0
+            # Starts ascend, so a[i] is complete before an edge leaves from it.
             for i, j, at, piece in edges:
                 a[j, at] = np.logaddexp(a[j, at], a[i, at] + self.lp[piece])
             out[rows] = a[width]
@@ -180,7 +181,7 @@ class Lattice:
                 b = np.full((width + 1, len(block)), -np.inf)
                 b[width] = 0.0
                 w = np.ones(len(block)) if weights is None else weights[rows]
-                for i, j, at, piece in sorted(edges, key=lambda e: -e[0]):
+                for i, j, at, piece in reversed(edges):
                     through = self.lp[piece] + b[j, at]
                     b[i, at] = np.logaddexp(b[i, at], through)
                     counts += np.bincount(piece, w[at] * np.exp(a[i, at] + through - a[width, at]), len(counts))
@@ -212,12 +213,23 @@ def _vocabulary(path: str):
     return read_vocabulary(path)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Small non-negative integers in as few bytes each as the largest needs; the first byte tells how many."""
+    top = int(values.max(initial=0))
+    kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"u{raw[0]}", offset=1).astype(np.int64)
+
+
 def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
 def chunk_table(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Rows of two kinds: a chunk's dictionary (word, idx, n_train) and its documents (ids and counts as int32 bytes)."""
+    """Rows of two kinds: a chunk's dictionary (word, idx, n_train) and its documents (gaps of positions, and counts, packed)."""
     text = F.col("text").cast("string")
     held = F.crc32(F.encode(text_or_empty("doc_id"), "utf-8")) % MODULUS == HELD_OUT
     rows = docs.select("doc_id", held.alias("held_out"), text.alias("text"))
@@ -261,7 +273,7 @@ def chunk_table(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
                 if not is_held:
                     for x, c in zip(ids.tolist(), tf.tolist()):
                         train[x] += c
-                out.append((b.column(0)[i].as_py(), is_held, len(words) + 1, ids.tobytes(), tf.astype(np.int32).tobytes()))
+                out.append((b.column(0)[i].as_py(), is_held, len(words) + 1, _pack(np.diff(ids, prepend=0)), _pack(tf)))
                 if len(seen) >= chunk_words:
                     yield from flush()
         yield from flush()
@@ -341,7 +353,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, discount: float = DISCO
         end = np.log10(max(ends - discount, 1e-300) / n) if n and ends else 0.0
         known, bases, scores = [], [], []
         for ids, tfs in zip(left["ids"], left["tfs"]):
-            at, tf = np.frombuffer(ids, np.int32), np.frombuffer(tfs, np.int32)
+            at, tf = np.cumsum(_unpack(ids)), _unpack(tfs)
             known.append(int(tf[c[at] > 0].sum()) + int(end_c[0] > 0))
             bases.append(float((tf * base[at]).sum() + end_base))
             scores.append(float((tf * full[at]).sum() + end))
