@@ -19,5 +19,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
+    "op5_fm_substrings": substring.ORACLE,
     "op6_ball_tree_topk": topk.ORACLE,
 }

@@ -395,3 +395,21 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     out = dedup_substrings(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT rid, i, list_aggregate(ws[i:i + 34], 'string_agg', ' ') AS words FROM (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)
+), again AS (
+  SELECT words FROM win GROUP BY words HAVING count(*) > 1
+), gone AS (
+  SELECT rid, list(DISTINCT p) AS ps FROM (SELECT rid, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN again USING (words)) GROUP BY rid
+), kept AS (
+  SELECT doc_id, ws, [x for x, i in ws if NOT list_contains(coalesce(ps, []), i)] AS stay FROM w LEFT JOIN gone USING (rid)
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - len(stay))::BIGINT AS n_removed,
+       sha256(coalesce(list_aggregate(stay, 'string_agg', ' '), '')) AS kept_sha256
+FROM kept
+"""
