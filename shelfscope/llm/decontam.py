@@ -53,6 +53,8 @@ SPREAD = 1.25
 MAX_BENCHMARK_BYTES = 64 << 20
 #: Words whose vectors are worked on at once.
 BLOCK_WORDS = 200_000
+#: Items that a block's windows are compared with at once.
+BLOCK_ITEMS = 1024
 SALTS = 64
 TERM_BLOCK = 1024
 
@@ -277,13 +279,15 @@ def search(index: Index, texts: list[list[str]]) -> Iterator[tuple[int, int, flo
         tried: dict[tuple[int, int], tuple[float, list[int]]] = {}
         for a in range(0, len(lo), 65_536):
             s = sums[np.minimum(lo[a:a + 65_536] + span, end[text[a:a + 65_536]])] - sums[lo[a:a + 65_536]]
-            dot = s @ latent.T
             own = np.sqrt((s**2).sum(1))[:, None]
-            cosine = dot / np.maximum(own * np.sqrt(norm)[None, :], 1e-12)
-            for i, j in zip(*np.nonzero((cosine >= COSINE) & (dot >= PROJECTION * norm[None, :]))):
-                near = tried.setdefault((int(text[a + i]), int(which[j])), [0.0, []])
-                near[0] = max(near[0], float(cosine[i, j]))
-                near[1].append(int(lo[a + i]))
+            for k in range(0, len(which), BLOCK_ITEMS):
+                size = norm[None, k:k + BLOCK_ITEMS]
+                dot = s @ latent[k:k + BLOCK_ITEMS].T
+                cosine = dot / np.maximum(own * np.sqrt(size), 1e-12)
+                for i, j in zip(*np.nonzero((cosine >= COSINE) & (dot >= PROJECTION * size))):
+                    near = tried.setdefault((int(text[a + i]), int(which[k + j])), [0.0, []])
+                    near[0] = max(near[0], float(cosine[i, j]))
+                    near[1].append(int(lo[a + i]))
         for (d, item), (cosine, places) in tried.items():
             best = None
             for p in places:
