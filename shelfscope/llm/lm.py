@@ -364,11 +364,13 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, discount: float = DISCO
 
     # Renamed: both sides come from the chunk table, and a cogroup needs them told apart.
     values = values.withColumnRenamed("chunk", "value_chunk")
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return (
-        texts.select("chunk", "doc_id", "held_out", "n_tokens", "ids", "tfs").groupBy("chunk")
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    # The id travels as a string: a null among 64-bit ids would turn them into doubles in pandas.
+    scored_texts = (
+        texts.select("chunk", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "n_tokens", "ids", "tfs").groupBy("chunk")
         .cogroup(values.groupBy("value_chunk")).applyInPandas(run, schema)
     )
+    return scored_texts.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

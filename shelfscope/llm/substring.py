@@ -333,23 +333,25 @@ def repeated_windows(docs: DataFrame, found: DataFrame) -> DataFrame:
     # A repeated row cuts its pieces again: one copy of each counts, its weight has them all.
     cuts = stage(cuts.dropDuplicates(["route", "pid", "offset"]), "substring-cuts")
     hot = cuts.where("offset >= 0")
-    indexed = cuts.where("offset < 0").select("spread", "route", "pid", "weight", "words")
+    # No nulls among the 64-bit keys: pandas would turn the column into doubles.
+    indexed = cuts.where("offset < 0").select(F.lit(False).alias("hot"), "spread", "route", "pid", "weight", "words")
     hot_windows = hot.groupBy("spread").agg(F.sum("weight").alias("weight"), F.min("words").alias("words"))
-    indexed = indexed.unionByName(hot_windows.select("spread", F.lit(None).cast("long").alias("route"), F.lit(None).cast("long").alias("pid"), "weight", "words"))
+    zero = F.lit(0).cast("long")
+    indexed = indexed.unionByName(hot_windows.select(F.lit(True).alias("hot"), "spread", zero.alias("route"), zero.alias("pid"), "weight", "words"))
 
     def search(part: pd.DataFrame) -> pd.DataFrame:
         by_byte = Hashes(_BYTE_BASE)
         part = part.sort_values("words", kind="stable")
         got = covered([split_words(x, by_byte)[2] for x in part["words"]], part["weight"].to_numpy(np.int64))
         some = np.fromiter(map(len, got), np.int64, len(got)) > 0
-        out = part.loc[some, ["spread", "route", "pid"]].reset_index(drop=True)
+        out = part.loc[some, ["hot", "spread", "route", "pid"]].reset_index(drop=True)
         out["offsets"] = [x.tolist() for x, s in zip(got, some) if s]
-        return out.astype({"route": "Int64", "pid": "Int64"})
+        return out
 
     shard = F.pmod(F.xxhash64("spread"), F.lit(shards)).cast("int").alias("shard")
-    reported = stage(indexed.groupBy(shard).applyInPandas(search, "spread long, route long, pid long, offsets array<int>"), "substring-reported")
-    plain = reported.where("route is not null").select("route", "pid", "offsets")
-    hot_hit = reported.where("route is null").select("spread")
+    reported = stage(indexed.groupBy(shard).applyInPandas(search, "hot boolean, spread long, route long, pid long, offsets array<int>"), "substring-reported")
+    plain = reported.where("not hot").select("route", "pid", "offsets")
+    hot_hit = reported.where("hot").select("spread")
     again = hot.select("spread", "route", "pid", "offset").join(hot_hit, "spread").groupBy("route", "pid").agg(F.collect_set("offset").alias("offsets"))
     return plain.unionByName(again)
 

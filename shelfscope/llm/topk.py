@@ -38,7 +38,8 @@ SCALE = 64.0
 SHARD_ROWS = 8192
 BLOCK_QUERIES = 2048
 LEAF = 256
-NO_ID = np.iinfo(np.int64).max
+#: Stands for a null vec_id (a null would turn 64-bit ids into doubles in pandas); ordered last.
+NO_ID = 2**63 - 1
 
 
 def build_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, list[tuple]]:
@@ -132,7 +133,7 @@ def top_k(vectors: DataFrame, k: int = TOP_K, query_every: int = QUERY_EVERY, sc
     sound = e.isNotNull() & ~F.exists(e, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     x = F.transform(e, lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("double"))
     rows = stage(
-        vectors.where(sound).select(F.col("vec_id").cast("long").alias("vec_id"), F.monotonically_increasing_id().alias("uid"), x.alias("x")).withColumn("dim", F.size("x")),
+        vectors.where(sound).select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"), F.monotonically_increasing_id().alias("uid"), x.alias("x")).withColumn("dim", F.size("x")),
         "topk-rows",
     )
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("vec_id") % query_every == 0, 1))).first()
@@ -142,8 +143,7 @@ def top_k(vectors: DataFrame, k: int = TOP_K, query_every: int = QUERY_EVERY, sc
     def build(part: pd.DataFrame) -> pd.DataFrame:
         m = _vectors(part["x"].to_list())
         order, nodes = build_tree(m)
-        ids = np.array([NO_ID if i is None or pd.isna(i) else i for i in part["vec_id"].astype(object)], np.int64)
-        tree = {"x": m[order], "vec_id": ids[order], "uid": part["uid"].to_numpy(np.int64)[order], "nodes": nodes}
+        tree = {"x": m[order], "vec_id": part["vec_id"].to_numpy(np.int64)[order], "uid": part["uid"].to_numpy(np.int64)[order], "nodes": nodes}
         return pd.DataFrame({"dim": [part["dim"].iloc[0]], "shard": [part["shard"].iloc[0]], "tree": [pickle.dumps(tree)]})
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int"))
@@ -161,7 +161,7 @@ def top_k(vectors: DataFrame, k: int = TOP_K, query_every: int = QUERY_EVERY, sc
         vec = tree["vec_id"][at[i, j]]
         return pd.DataFrame({
             "query_id": right["vec_id"].to_numpy(np.int64)[i], "uid": right["uid"].to_numpy(np.int64)[i], "block": right["block"].to_numpy()[i],
-            "dim": right["dim"].to_numpy()[i], "vec_id": pd.Series(vec).astype("Int64").mask(vec == NO_ID), "score": best[i, j],
+            "dim": right["dim"].to_numpy()[i], "vec_id": vec, "score": best[i, j],
         })
 
     def visit(jobs: DataFrame) -> DataFrame:
@@ -181,8 +181,9 @@ def top_k(vectors: DataFrame, k: int = TOP_K, query_every: int = QUERY_EVERY, sc
         .where("shard <> done").drop("done")
     )
     found = first.unionByName(visit(rest)) if shards > 1 else first
-    rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last()))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("vec_id")))
+    found = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return found.select("query_id", "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
