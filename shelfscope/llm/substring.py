@@ -173,37 +173,40 @@ class FMIndex:
             bit = (seq >> level & 1).astype(np.uint8)
             packed = np.packbits(np.concatenate([bit, np.zeros(-n % 64 + 64, np.uint8)]), bitorder="little").view(np.uint64)
             self.bits.append(packed)
-            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed))]).astype(np.int64))
+            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed))]).astype(np.int32))
             self.zeros.append(n - int(bit.sum()))
             seq = np.concatenate([seq[bit == 0], seq[bit == 1]])
+        # Where each symbol's run begins on the last level: a rank is a position there less this.
+        every = np.arange(len(self.first) - 1)
+        self.begin = self._follow(every, np.zeros(len(every), np.int64))
 
-    def _rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How many times each symbol stands before position ``at`` of the transform."""
-        lo, hi = np.zeros(len(at), np.int64), at
+    def _follow(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Position on the last level that position ``at`` of the transform leads to by the symbol's bits."""
         for k, level in enumerate(range(self.levels - 1, -1, -1)):
-            one = (symbol >> level & 1).astype(bool)
-            both = np.concatenate([lo, hi])
-            word = both >> 6
-            mask = (np.uint64(1) << (both & 63).astype(np.uint64)) - np.uint64(1)
-            ones = self.counts[k][word] + np.bitwise_count(self.bits[k][word] & mask)
-            ones_lo, ones_hi = ones[:len(lo)], ones[len(lo):]
-            lo = np.where(one, self.zeros[k] + ones_lo, lo - ones_lo)
-            hi = np.where(one, self.zeros[k] + ones_hi, hi - ones_hi)
-        return hi - lo
+            word = at >> 6
+            mask = np.left_shift(np.uint64(1), (at & 63).view(np.uint64))
+            mask -= np.uint64(1)
+            mask &= self.bits[k].take(word)
+            ones = self.counts[k].take(word) + np.bitwise_count(mask)
+            at = np.where(symbol >> level & 1, ones + self.zeros[k], at - ones)
+        return at
 
     def step(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Interval of the pattern with ``symbol`` put before it."""
-        got = self._rank(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
-        base = self.first[symbol]
+        got = self._follow(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
+        base = self.first[symbol] - self.begin[symbol]
         return base + got[:len(lo)], base + got[len(lo):]
 
     def reach(self, text: np.ndarray, end: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Longest match (weight two or more) that ends before ``end``, going back ``most`` symbols at most."""
         length = np.zeros(len(end), np.int64)
         act = np.flatnonzero(most > 0)
-        lo, hi = np.zeros(len(act), np.int64), np.full(len(act), self.n)
+        last = text[end[act] - 1]
+        lo, hi, first = self.first[last], self.first[last + 1], True  # one symbol: its run of the suffix order
         while len(act):
-            lo, hi = self.step(text[end[act] - length[act] - 1], lo, hi)
+            if not first:
+                lo, hi = self.step(text[end[act] - length[act] - 1], lo, hi)
+            first = False
             ok = self.weight[hi] - self.weight[lo] >= 2
             act, lo, hi = act[ok], lo[ok], hi[ok]
             length[act] += 1
