@@ -157,7 +157,8 @@ def query(spark, sf_dir: str) -> DataFrame:
     store.apply("load", inserts, VERSIONS)
     clean = F.regexp_replace(F.trim("text"), r"[\x20\x09-\x0D]+", " ")
     store.apply("clean", docs.withColumn("was", F.col("text")).withColumn("text", clean).where("text <> was").withColumn("op", F.lit("revise")), VERSIONS)
-    first = stage(docs.groupBy(F.md5(F.col("text").cast("binary")).alias("h")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "rollup-first")
-    copies = docs.withColumn("h", F.md5(F.col("text").cast("binary"))).select("doc_id", "source", "lang", "h").join(first, "h").where("doc_id > first")
+    hashes = stage(docs.select("doc_id", "source", "lang", F.md5(F.col("text").cast("binary")).alias("h")), "rollup-hashes")
+    first = stage(hashes.groupBy("h").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "rollup-first")
+    copies = hashes.join(first, "h").where("doc_id > first")
     store.apply("dedup", copies.select("doc_id", "source", "lang", F.lit("").alias("text"), F.lit("delete").alias("op")), VERSIONS)
     return store.totals()
