@@ -33,6 +33,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -127,12 +128,11 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[n
     given = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = given.value.get
+        get, known = given.value.get, set(given.value)
         df, n = np.zeros(len(given.value) + 1, np.int64), 0
         for b in batches:
             for x in b.column(0):
-                ids = np.fromiter({get(w, -1) for w in words_of(x.as_py())}, np.int64)
-                df[ids[ids >= 0]] += 1
+                df[[get(w) for w in known.intersection(words_of(x.as_py()))]] += 1
                 n += 1
         df[-1] = n
         at = np.flatnonzero(df)
@@ -188,7 +188,7 @@ def singular_vectors(docs: DataFrame, items: list[Item], vocabulary: dict[str, i
                 words = words_of(x.as_py())
                 for lo in range(0, len(words), BLOCK_WORDS - BLOCK_WORDS % PASSAGE):
                     part = words[lo:lo + BLOCK_WORDS - BLOCK_WORDS % PASSAGE]
-                    own = np.fromiter((get(w, -1) for w in part), np.int64, len(part))
+                    own = np.fromiter(map(get, part, repeat(-1)), np.int64, len(part))
                     hit = np.flatnonzero(own >= 0)
                     ids.append(own[hit])
                     at.append(hit // PASSAGE + passages)
@@ -255,7 +255,7 @@ def search(index: Index, texts: list[list[str]]) -> Iterator[tuple[int, int, flo
     get = index.vocabulary.get
     cells, first, at, ids = 0, [], [], []
     for words in texts:
-        own = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        own = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
         hit = np.flatnonzero(own >= 0)
         first.append(cells)
         at.append(hit // CELL + cells)
