@@ -161,6 +161,49 @@ def test_long_lines_are_compared_by_words_and_counted_in_chunks(spark, monkeypat
         assert [r["text"] for r in lines.dedup_lines(docs).orderBy("doc_id").collect()][1] == ""
 
 
+def test_line_candidates_reach_edited_lines(spark):
+    """One changed word in twelve, one typing error in a short line, a line without spaces: compared and linked."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+
+    def word():
+        return "".join(rng.choice(letters, int(rng.integers(4, 9))))
+
+    base, edited = [], []
+    for i in range(150):
+        words = [word() for _ in range((12, 5, 40)[i % 3])]
+        if i % 10 == 9:
+            words = ["".join(words)]
+        base.append(" ".join(words))
+        at = int(rng.integers(len(words)))
+        if i % 3 == 1 or len(words) == 1:
+            words[at] = words[at][:2] + "#" + words[at][3:]
+        else:
+            words[at] = word()
+        edited.append(" ".join(words))
+    docs = docs_of(spark, base + edited)
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs, distance=None).collect()}
+    assert [got[i] for i in range(150)] == base
+    assert sum(got[150 + i] == "" for i in range(150)) >= 143
+    out = spark.createDataFrame([(0, base[0]), (1, edited[0])], "doc_id long, text string")
+    assert [r["text"] for r in lines.dedup_lines(out, distance=None).orderBy("doc_id").collect()] == [base[0], ""]
+
+
+def test_line_query_recall_on_the_test_pages(spark):
+    """Of all pairs of short lines with that edit similarity, found without any gate, the query's candidates hold 0.9."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    table = lines.sketch_table(docs).cache()
+    keys = table.select("key").distinct()
+    texts = lines._texts(docs, table, keys).where("length(line) <= 300").cache()
+    a, b = texts.selectExpr("key a", "line x"), texts.selectExpr("key b", "line y")
+    close = "a < b and least(length(x), length(y)) >= 0.8 * greatest(length(x), length(y)) - 1"
+    pairs = a.join(b, on=a.a < b.b).where(close).where("levenshtein(x, y, cast(floor(greatest(length(x), length(y)) * 0.2 + 1e-9) as int)) >= 0")
+    want = [(r["a"], r["b"]) for r in pairs.select("a", "b").collect()]
+    group = {r["node"]: r["root"] for r in lines.line_groups(docs, table, distance=None).collect()}
+    found = sum(a in group and group[a] == group.get(b) for a, b in want)
+    assert len(want) > 10 and found >= 0.9 * len(want), (found, len(want))
+
+
 def test_quality_finds_planted_grades(spark):
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(500)]
