@@ -4,9 +4,12 @@ A page becomes a tree of elements. Elements that never hold article text
 (scripts, menus, forms, adverts, notices, comments, ...) are cut off by tag,
 role, class or id. Of what is left, each node gets a density: its characters
 per tag, adjusted for the share of link characters and link tags. The sum of its
-children's densities is the node's score. The node of the highest score is the
-content; the smallest density on the path from the body to it is the threshold
-that tells which neighbours belong to it.
+children's densities is the node's score. The container (not a paragraph, a list or
+an inline tag) of the highest score is the content, whatever its tag. The smallest
+density on the path from the body to it is the threshold: the path's other children
+belong to the content if they, or mostly unlinked ones with a part, reach it, and
+headings always do. Inside the article or main element around the content, half the
+threshold is enough; these tags have no other say in the choice.
 
 Defined results
 ---------------
@@ -60,6 +63,11 @@ CUT_WORDS = frozenset(
 #: These name page furniture outside an article, and may hold its title inside.
 CUT_OUTSIDE = frozenset("header headers head top".split())
 WHOLE = frozenset(("html", "body", "main", "article"))
+#: Never the content by themselves: they stand in a container.
+TEXT_TAGS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 li dt dd ul ol dl pre blockquote figure figcaption caption summary a b i em strong span font u s small big sub sup code kbd q cite "
+    "mark abbr time ins del".split()
+)
 
 
 class _Tree(HTMLParser):
@@ -136,8 +144,8 @@ class _Tree(HTMLParser):
         self.texts.append((self.stack[-1], data))
 
 
-def densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
-    """Density, sum of the children's densities, and characters of every node that is not cut."""
+def densities(tree: _Tree) -> tuple[list[float], list[float], list[int], list[int]]:
+    """Density, sum of the children's densities, characters and link characters of every node that is not cut."""
     n = len(tree.tag)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -167,34 +175,34 @@ def densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
         density[i] = c / t * (math.log(inner) / math.log(base) if base > 1 and inner > 1 else (1.0 if inner > 1 else 0.0))
         if i:
             total[tree.parent[i]] += density[i]
-    return density, total, chars
+    return density, total, chars, links
 
 
 def content_nodes(tree: _Tree) -> set[int]:
     """Roots of the content: the subtree of the highest density sum and the neighbours that reach the path's threshold."""
-    density, total, chars = densities(tree)
+    density, total, chars, links = densities(tree)
     n = len(tree.tag)
     if not chars[0]:
         return set()
-    best = max(range(n), key=lambda i: (total[i], -i))
+    best = max((i for i in range(n) if tree.tag[i] not in TEXT_TAGS), key=lambda i: (total[i], -i))
     path = [best]
     while tree.parent[path[-1]] >= 0:
         path.append(tree.parent[path[-1]])
-    # The article or main element around the best node holds its title and side paragraphs.
-    for i in reversed(path):
-        if tree.role_main[i] and tree.tag[i] != "main":
-            return {i}
-    for i in reversed(path):
-        if tree.role_main[i]:
-            return {i}
     threshold = min((density[i] for i in path if tree.tag[i] not in ("#root", "html")), default=0.0)
+    densest = density[:]
+    for i in range(n - 1, 0, -1):
+        densest[tree.parent[i]] = max(densest[tree.parent[i]], densest[i])
     found = {best}
     on_path = set(path)
+    # The path's nodes from the outermost article or main element on.
+    around = next((set(path[:k + 1]) for k in range(len(path) - 1, -1, -1) if tree.role_main[path[k]]), set())
     for i in range(1, n):
-        if not tree.cut[i] and i not in on_path and tree.parent[i] in on_path and tree.parent[i] != best:
-            heading = re.fullmatch(r"h[1-6]", tree.tag[i]) and chars[i]
-            if chars[i] and (density[i] >= threshold or heading):
-                found.add(i)
+        up = tree.parent[i]
+        if tree.cut[i] or not chars[i] or i in on_path or up not in on_path or up == best:
+            continue
+        least = threshold / 2 if up in around else threshold
+        if density[i] >= least or densest[i] >= least and 2 * links[i] <= chars[i] or re.fullmatch(r"h[1-6]", tree.tag[i]):
+            found.add(i)
     return found
 
 

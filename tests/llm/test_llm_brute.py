@@ -248,6 +248,21 @@ def test_html_main_text():
     assert html_text.extract(deep) == "deep text"
 
 
+LONG = ["A long paragraph of the story, which goes on for quite some time before it ends with the number " + x + "." for x in ("one", "two", "three", "four", "five", "six")]
+
+
+def test_html_content_is_not_the_article_tag():
+    parts = [f"<article><p>{a}</p><p>{b}</p></article>" for a, b in zip(LONG[::2], LONG[1::2])]
+    page = "<html><body><nav><a href=x>menu</a></nav><main><h1>The title</h1>" + "".join(parts) + "</main><footer>foot</footer></body></html>"
+    assert html_text.extract(page) == "\n".join(["The title"] + LONG)
+    # One part is larger than all others together; the last has one long paragraph and a short one.
+    page = page.replace("<article>", "<article>" + "".join(f"<p>{x}</p>" for x in LONG), 1).replace("</article></main>", "<p>Short end.</p></article></main>")
+    assert html_text.extract(page) == "\n".join(["The title"] + LONG + LONG + ["Short end."])
+    # The article element is a teaser of a few words: the text stands elsewhere.
+    page = "<body><div><article><p>Teaser.</p></article></div><div>" + "".join(f"<p>{x}</p>" for x in LONG) + "</div></body>"
+    assert html_text.extract(page) == "\n".join(LONG)
+
+
 def test_html_articles_of_the_test_pages(spark):
     import html
     import re
