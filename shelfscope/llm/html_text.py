@@ -1,8 +1,10 @@
 """Main text of HTML pages by composite text density.
 
 A page becomes a tree of elements. Elements that never hold article text
-(scripts, menus, forms, adverts, notices, comments, ...) are cut off by tag,
-role, class or id. Of what is left, each node gets a density: its characters
+(scripts, menus, forms, adverts, notices, comments, ...) are cut off by tag or
+role. A word of a class or id (has-, no- and with- words aside) only makes an element
+suspect: it is cut unless it holds the article, that is the largest article or main
+element, or where there is none, the container of the highest score (below). Of what is left, each node gets a density: its characters
 per tag, adjusted for the share of link characters and link tags. The sum of its
 children's densities is the node's score. The container (not a paragraph, a list or
 an inline tag) of the highest score is the content, whatever its tag. The smallest
@@ -62,6 +64,9 @@ CUT_WORDS = frozenset(
 )
 #: These name page furniture outside an article, and may hold its title inside.
 CUT_OUTSIDE = frozenset("header headers head top".split())
+#: "has-sidebar", "comment-enabled": what the page has, not what the element is.
+MODIFIERS = frozenset("has no not with without hide show is".split())
+STATES = frozenset("enabled disabled on off open closed visible hidden".split())
 WHOLE = frozenset(("html", "body", "main", "article"))
 #: Never the content by themselves: they stand in a container.
 TEXT_TAGS = frozenset(
@@ -76,7 +81,7 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.cut, self.inside = ["#root"], [-1], [False], [False]
-        self.role_main = [False]
+        self.role_main, self.suspect = [False], [False]
         self.texts: list[tuple[int, str]] = []
         self.stack = [0]
 
@@ -101,6 +106,7 @@ class _Tree(HTMLParser):
         self.tag.append(tag)
         self.parent.append(up)
         self.cut.append(self.cut[up] or self._is_cut(tag, attrs, self.inside[up]))
+        self.suspect.append(self._is_suspect(tag, attrs, self.inside[up]))
         self.inside.append(inside)
         self.role_main.append(tag in ("article", "main") or any(k == "role" and v in ("main", "article") or k == "itemprop" and v == "articleBody" for k, v in attrs))
         if tag not in VOID:
@@ -115,16 +121,20 @@ class _Tree(HTMLParser):
     def _is_cut(tag, attrs, inside) -> bool:
         if tag in CUT_TAGS or tag == "header" and not inside:
             return True
-        if tag in WHOLE or not attrs:
+        return tag not in WHOLE and any(k == "role" and v and v.strip().lower() in CUT_ROLES for k, v in attrs)
+
+    @staticmethod
+    def _is_suspect(tag, attrs, inside) -> bool:
+        if tag in WHOLE:
             return False
         for k, v in attrs:
-            if not v:
+            if not v or k not in ("class", "id"):
                 continue
-            if k == "role" and v.strip().lower() in CUT_ROLES:
-                return True
-            if k in ("class", "id"):
-                words = set(re.split(r"[\s_\-:./]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", v).lower()))
-                if words & CUT_WORDS or not inside and words & CUT_OUTSIDE:
+            for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", v).lower().split():
+                words = [w for w in re.split(r"[_\-:./]+", name) if w]
+                if words and (words[-1] in STATES or any(w in MODIFIERS for w in words[:-1])):
+                    continue
+                if any(w in CUT_WORDS or not inside and w in CUT_OUTSIDE for w in words):
                     return True
         return False
 
@@ -178,13 +188,34 @@ def densities(tree: _Tree) -> tuple[list[float], list[float], list[int], list[in
     return density, total, chars, links
 
 
+def _best(tree: _Tree, total: list[float]) -> int:
+    """The container of the highest density sum."""
+    return max((i for i in range(len(total)) if tree.tag[i] not in TEXT_TAGS), key=lambda i: (total[i], -i))
+
+
+def cut_suspects(tree: _Tree) -> None:
+    """Cut the suspect elements off, but none that holds the article."""
+    n = len(tree.tag)
+    if not any(tree.suspect):
+        return
+    _, total, chars, _ = densities(tree)
+    articles = [i for i in range(n) if tree.role_main[i] and not tree.cut[i] and chars[i]]
+    at = max(articles, key=lambda i: (chars[i], -i)) if articles else _best(tree, total)
+    spared = set()
+    while at >= 0:
+        spared.add(at)
+        at = tree.parent[at]
+    for i in range(1, n):
+        tree.cut[i] = tree.cut[i] or tree.cut[tree.parent[i]] or tree.suspect[i] and i not in spared
+
+
 def content_nodes(tree: _Tree) -> set[int]:
     """Roots of the content: the subtree of the highest density sum and the neighbours that reach the path's threshold."""
     density, total, chars, links = densities(tree)
     n = len(tree.tag)
     if not chars[0]:
         return set()
-    best = max((i for i in range(n) if tree.tag[i] not in TEXT_TAGS), key=lambda i: (total[i], -i))
+    best = _best(tree, total)
     path = [best]
     while tree.parent[path[-1]] >= 0:
         path.append(tree.parent[path[-1]])
@@ -213,6 +244,7 @@ def extract(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    cut_suspects(tree)
     roots = content_nodes(tree)
     n = len(tree.tag)
     inside = [False] * n

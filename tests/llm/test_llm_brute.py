@@ -263,6 +263,18 @@ def test_html_content_is_not_the_article_tag():
     assert html_text.extract(page) == "\n".join(LONG)
 
 
+@pytest.mark.parametrize("opening", [
+    '<div id="top">', '<div class="content has-sidebar">', '<div class="layout no-sidebar">', '<section class="post comment-enabled">', '<div class="post with_comments">',
+    '<div class="page-header-menu">', '<div class="overlay">',
+])
+@pytest.mark.parametrize("article", ["article", "div"])
+def test_html_layout_classes_do_not_cut_the_article(opening, article):
+    body = "".join(f"<p>{x}</p>" for x in LONG)
+    aside = '<div class="sidebar"><p>Side text that is not the story.</p></div><div id="comments"><p>First! What a long comment this is, it never ends.</p></div>'
+    page = f"<body>{opening}<{article}><h1>The title</h1>{body}<div class=ad><p>Buy this thing now, it is cheap.</p></div></{article}>{aside}</{opening.split()[0][1:]}></body>"
+    assert html_text.extract(page) == "\n".join(["The title"] + LONG)
+
+
 def test_html_articles_of_the_test_pages(spark):
     import html
     import re
