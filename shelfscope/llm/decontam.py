@@ -4,9 +4,11 @@
 2. Randomised SVD of the TF-IDF matrix of all passages (documents and items):
    every task adds up its share of A'(A G) for a fixed random G; the sum gives
    the leading right singular vectors by a single-view (Nystrom) decomposition.
-3. Every text is searched in overlapping windows of the items' lengths: a window
-   whose latent vector has enough cosine and enough projection on an item's is a
-   candidate.
+3. Every text is searched in windows of the items' lengths, a quarter window
+   apart: a window whose latent vector has enough cosine and enough projection on
+   an item's is a candidate. So is a place where an item's answer stands, which
+   needs no latent vector: a copy with its answer is never missed by the gate. The
+   rank grows with the square root of the number of items.
 4. A candidate counts if a window little longer than the item has a longest
    common subsequence of ``LCS`` of the item's words, or of ``LCS_ANSWER`` with
    the item's answer (its last ``ANSWER_WORDS`` words) in one piece.
@@ -44,7 +46,8 @@ from pyspark.sql import functions as F
 
 from shelfscope.llm.common import documents
 
-RANK, EXTRA = 64, 8
+#: The rank up to RANK_ITEMS items; it grows with the square root of their number beyond.
+RANK, RANK_ITEMS, EXTRA = 64, 400, 8
 PASSAGE = 64
 CELL = 8
 COSINE, PROJECTION = 0.45, 0.45
@@ -96,7 +99,7 @@ class Item:
         if lcs_length(masks, n, region) < LCS_ANSWER * n:
             return None
         width = math.ceil(n * SPREAD)
-        answer = self.words[-min(ANSWER_WORDS, n):]
+        answer = answer_of(self)
         k = len(answer)
         best, answered = 0.0, False
         for at in range(max(1, len(region) - n // 2)):
@@ -226,6 +229,10 @@ def singular_vectors(docs: DataFrame, items: list[Item], vocabulary: dict[str, i
     return u[:, :rank].astype(np.float32)
 
 
+def answer_of(item: Item) -> list[str]:
+    return item.words[-ANSWER_WORDS:]
+
+
 @dataclass(frozen=True)
 class Index:
     """What a search needs: items by window length, words' weighted latent vectors."""
@@ -234,12 +241,19 @@ class Index:
     vocabulary: dict[str, int]
     vectors: np.ndarray
     classes: list[tuple[int, np.ndarray, np.ndarray]]
+    #: Items by their answers.
+    answers: dict[tuple[str, ...], list[int]]
+
+
+def rank_of(n_items: int) -> int:
+    return max(RANK, math.ceil(RANK * math.sqrt(n_items / RANK_ITEMS)))
 
 
-def build_index(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Index | None:
+def build_index(docs: DataFrame, benchmark: DataFrame, rank: int | None = None) -> Index | None:
     items = read_items(benchmark)
     if not items:
         return None
+    rank = rank_of(len(items)) if rank is None else rank
     vocabulary = {w: i for i, w in enumerate(sorted({w for x in items for w in x.words}))}
     df, n = document_frequencies(docs, vocabulary)
     idf = np.log((1.0 + n) / (1.0 + df)) + 0.05
@@ -247,7 +261,10 @@ def build_index(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Inde
     latent = np.stack([vectors[[vocabulary[w] for w in x.words]].sum(0) for x in items])
     length = [max(2 * CELL, 1 << (len(x.words) - 1).bit_length()) for x in items]
     classes = [(c, np.flatnonzero(np.array(length) == c), latent[np.array(length) == c]) for c in sorted(set(length))]
-    return Index(items, vocabulary, vectors, classes)
+    answers: dict[tuple[str, ...], list[int]] = {}
+    for i, x in enumerate(items):
+        answers.setdefault(tuple(answer_of(x)), []).append(i)
+    return Index(items, vocabulary, vectors, classes, answers)
 
 
 def search(index: Index, texts: list[list[str]]) -> Iterator[tuple[int, int, float, float, bool]]:
@@ -270,8 +287,14 @@ def search(index: Index, texts: list[list[str]]) -> Iterator[tuple[int, int, flo
     sums[at[start] + 1] = np.add.reduceat(index.vectors[ids], start, axis=0)
     np.cumsum(sums, axis=0, out=sums)
     begin, end = np.array(first[:-1]), np.array(first[1:])
+    said: dict[tuple[int, int], list[int]] = {}
+    for k in sorted({len(x) for x in index.answers}):
+        for d, words in enumerate(texts):
+            for p, gram in enumerate(zip(*(words[i:] for i in range(k)))):
+                for item in index.answers.get(gram, ()):
+                    said.setdefault((d, item), []).append(p + k)
     for width, which, latent in index.classes:
-        span, step = width // CELL, max(1, width // CELL // 2)
+        span, step = width // CELL, max(1, width // CELL // 4)
         count = np.maximum(0, -(-(end - begin) // step))
         text = np.repeat(np.arange(len(texts)), count)
         lo = begin[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * step
@@ -288,8 +311,22 @@ def search(index: Index, texts: list[list[str]]) -> Iterator[tuple[int, int, flo
                     near = tried.setdefault((int(text[a + i]), int(which[k + j])), [0.0, []])
                     near[0] = max(near[0], float(cosine[i, j]))
                     near[1].append(int(lo[a + i]))
+        own_items = set(which.tolist())
+        for pair in said:
+            if pair[1] in own_items:
+                tried.setdefault(pair, [0.0, []])
         for (d, item), (cosine, places) in tried.items():
             best = None
+            # Up to the end of the answer, by the match's widest spread: nothing of a copy lies outside.
+            n = math.ceil(len(index.items[item].words) * SPREAD)
+            for p in said.get((d, item), ()):
+                got = index.items[item].matches(texts[d][max(0, p - n):p + n])
+                if got and (best is None or got > best):
+                    best = got
+                if best and best[0] == 1.0:
+                    break
+            if best and best[0] == 1.0:
+                places = []
             for p in places:
                 w = (p - first[d]) * CELL
                 got = index.items[item].matches(texts[d][max(0, w - width):w + 2 * width])
@@ -314,7 +351,7 @@ def _blocks(column) -> Iterator[tuple[int, list[list[str]]]]:
         yield lo, out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int | None = None) -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer: one row for each item that a document holds."""
     index = build_index(docs, benchmark, rank)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -338,7 +375,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Dat
     return rows.mapInArrow(run, schema)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, rank: int | None = None) -> DataFrame:
     """The rows of ``docs`` that hold no item, all columns as they are."""
     index = build_index(docs, benchmark, rank)
     if index is None:

@@ -384,6 +384,26 @@ def test_decontamination_finds_copies_and_paraphrases(spark):
     assert {r["doc_id"] for r in decontam.clean_documents(docs, bench).collect()} == set(range(80)) - {d for d, _ in want}
 
 
+def test_copies_with_their_answer_need_no_latent_gate(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "COSINE", 2.0)
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(2000)]
+    items = [list(rng.choice(words, n)) for n in (3, 6, 17, 30, 61)]
+    texts = []
+    for i in range(40):
+        copy = list(items[i % 5])
+        for at in range(0, len(copy) - decontam.ANSWER_WORDS, 3):
+            copy[at] = "other"
+        t = list(rng.choice(words, 300))
+        t[7 * i:7 * i] = copy
+        texts.append(" ".join(t))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    docs = docs_of(spark, texts + ["nothing"])
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()}
+    assert got >= {(i, i % 5) for i in range(40)}
+    assert decontam.rank_of(12) == decontam.rank_of(400) == decontam.RANK < decontam.rank_of(4000) < decontam.rank_of(40_000)
+
+
 def test_lcs_and_singular_vectors(spark):
     def slow(a, b):
         row = [0] * (len(b) + 1)
