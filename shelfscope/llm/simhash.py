@@ -127,27 +127,29 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, crowd: int = CROWD) -> D
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
-    """doc_id, text_hash, fp, component_id for every row; component_id is the smallest doc_id reachable."""
+    """doc_id, text_hash, fp, component_id, root for every row; component_id is the smallest
+    doc_id reachable, root the smallest fingerprint: it names the component also where
+    ids are null or stand for several texts."""
     rows = stage(fingerprints(docs, shingle), "simhash-rows")
     ids = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-ids")
     comp = connected_components(links(ids.select("fp"), distance))
     rooted = ids.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = stage(rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "simhash-components")
-    return rows.join(by_fp, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    by_fp = stage(rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id", "root"), "simhash-components")
+    return rows.join(by_fp, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
     """The input's rows with one row of each component: the one of the smallest doc_id.
 
-    A component without any doc_id, and rows that repeat a doc_id, are told
-    apart by the text's hash; exact repeats of the kept row go.
+    Components are told apart by their root, so a doc_id that occurs with several
+    texts, or is null, joins no groups; its rows are told apart by the text's hash.
+    Exact repeats of the kept row go.
     """
     found = near_duplicates(docs, shingle, distance)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "fp")
-    # A component is known by its id, or by its fingerprint where it has none.
     kept = stage(
-        found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("own")).agg(F.min(first).alias("k"))
+        found.groupBy("root").agg(F.min(first).alias("k"))
         .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash")),
         "simhash-kept",
     )

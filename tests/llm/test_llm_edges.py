@@ -116,3 +116,11 @@ def test_stages_on_odd_and_empty_tables(spark, odd, none, scratch):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == docs.columns
             out.collect()
+
+
+def test_representatives_of_ids_with_several_texts(spark):
+    rows = [(1, "alpha beta gamma delta epsilon zeta"), (1, "one two three four five six seven"), (2, "one two three four five six seven"),
+            (None, "no id in this group at all"), (None, "no id in this group at all"), (None, None)]
+    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept) == sorted([
+        ("1", rows[0][1]), ("1", rows[1][1]), ("None", rows[3][1]), ("None", "None")])
