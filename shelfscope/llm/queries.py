@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfscope.llm import decontam, html_text, lines, lm, mixing, packing, quality, simhash, substring, token_counts, topk
+from shelfscope.llm import decontam, html_text, lexical, lines, lm, mixing, packing, quality, simhash, substring, token_counts, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash_neardup": simhash.query,
     "op9_token_rollup": token_counts.query,
     "op10_lattice_score": lm.query,
+    "op11_block_max_search": lexical.query,
     "op13_pattern_packing": packing.query,
 }
 
@@ -22,4 +23,5 @@ ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
     "op5_fm_substrings": substring.ORACLE,
     "op6_ball_tree_topk": topk.ORACLE,
+    "op11_block_max_search": lexical.ORACLE,
 }
