@@ -81,7 +81,8 @@ def test_blocks_that_cannot_matter_stay_compressed(small):
     truth = np.array([3 * impact(1, lengths[i]) + 4000 * impact(1, lengths[i]) * (i % 100 == 0) for i in range(n)])
     least = np.sort(truth)[-10]
     assert sorted(got) == np.flatnonzero(truth >= least).tolist() and (truth[got] == scores).all()
-    assert len(lists[0].open) < 0.3 * len(lists[0].last)
+    # Ten rare documents are known after 900 documents; from then on the common term's blocks are only bounds.
+    assert len(lists[0].open) < 0.35 * len(lists[0].last)
 
 
 def test_lists_round_trip_in_every_width():
