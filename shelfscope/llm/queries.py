@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfscope.llm import decontam, html_text, lexical, lines, lm, mixing, packing, quality, simhash, substring, token_counts, topk
+from shelfscope.llm import conversations, decontam, html_text, lexical, lines, lm, mixing, packing, quality, simhash, substring, token_counts, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_token_rollup": token_counts.query,
     "op10_lattice_score": lm.query,
     "op11_block_max_search": lexical.query,
+    "op12_conversation_repair": conversations.query,
     "op13_pattern_packing": packing.query,
 }
 
