@@ -436,3 +436,82 @@ def repair_summary(rows: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return repair_summary(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def _oracle() -> str:
+    """DuckDB SQL of ``query``: a recursion over rows. A state is its cost in eight digits followed by its edits,
+    so that the least string is the cheapest way and, at equal cost, the least edits."""
+
+    def add(way: str, cost, letters: str) -> str:
+        return f"(lpad((left({way}, 8)::INTEGER + {cost})::VARCHAR, 8, '0') || substr({way}, 9) || '{letters}')"
+
+    def when(test: str, *ways: str) -> str:
+        return ", ".join(f"CASE WHEN {test} THEN {w} END" for w in ways)
+
+    opened = f"""b0, b1,
+        least(b2, {add('b0', INSERT, 'I')}, {add('b1', INSERT, 'I')}, {add('b3', INSERT, 'I')}) AS b2,
+        least(b3, {add('b2', INSERT, 'I')}, {add('b0', 2 * INSERT, 'II')}, {add('b1', 2 * INSERT, 'II')}) AS b3"""
+    stays = "f IN ('', 't')"
+    rerole = f"{REROLE} + more"
+    user = [add(b, rerole, "R") for b in ("b0", "b1", "b3")]
+    kept = [add(b, "more", "K") for b in ("b0", "b1", "b3")]
+    return rf"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, row_number() OVER () AS place,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (
+    SELECT keyed.*, xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed CROSS JOIN crc),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, place,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM kinds WHERE kind <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), place, copy) AS i,
+        trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+rows AS (
+    SELECT conv_id, turn, role, text, i, left(role, 1) AS r,
+        CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+             WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS f,
+        left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS before
+    FROM placed),
+ways AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, '00000000' AS b0, NULL::VARCHAR AS b1, '00000002I' AS b2, '00000004II' AS b3 FROM rows
+    UNION ALL
+    SELECT conv_id, i, {opened} FROM (
+        SELECT w.conv_id, r.i, {add('b0', DELETE, 'D')} AS b0,
+            least({add('b1', DELETE, 'D')}, {when(stays + " AND r = 's'", add('b0', 'more', 'K'))}) AS b1,
+            least({add('b2', DELETE, 'D')}, {when(stays, *user)}, {when(stays + " AND r = 'u'", *kept)}) AS b2,
+            least({add('b3', DELETE, 'D')}, {when(stays, add('b2', rerole, 'R'))}, {when(stays + " AND r = 'a'", add('b2', 'more', 'K'))}) AS b3
+        FROM ways w JOIN (SELECT *, (f = 't')::INTEGER AS more FROM rows) r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1)),
+ended AS (
+    SELECT conv_id, least(b0, b3) AS best FROM ways QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+edits AS (
+    SELECT conv_id, unnest(string_split(substr(best, 9), '')) AS e, generate_subscripts(string_split(substr(best, 9), ''), 1) AS p FROM ended WHERE length(best) > 8),
+steps AS (
+    SELECT conv_id, e, p, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e <> 'D') OVER w AS o
+    FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+made AS (
+    SELECT s.conv_id, s.o, s.e, CASE WHEN s.e = 'I' THEN '' ELSE r.text END AS text, r.role,
+        coalesce(max(CASE WHEN s.o = 1 AND s.e = 'K' AND r.r = 's' THEN 1 END) OVER (PARTITION BY s.conv_id), 0) AS system
+    FROM steps s LEFT JOIN rows r ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND s.i = r.i WHERE s.e <> 'D'),
+texts AS (
+    SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (o - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY o) AS t
+    FROM made GROUP BY conv_id),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate,
+        count(*) FILTER (f = 't') AS truncated, count(*) FILTER (i > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(left(best, 8)::BIGINT, 0) AS cost,
+    coalesce(substr(best, 9), '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM every LEFT JOIN counts ON every.conv_id IS NOT DISTINCT FROM counts.conv_id
+    LEFT JOIN ended ON every.conv_id IS NOT DISTINCT FROM ended.conv_id LEFT JOIN texts ON every.conv_id IS NOT DISTINCT FROM texts.conv_id
+"""
+
+
+ORACLE = _oracle()

@@ -25,4 +25,5 @@ ORACLES = {
     "op5_fm_substrings": substring.ORACLE,
     "op6_ball_tree_topk": topk.ORACLE,
     "op11_block_max_search": lexical.ORACLE,
+    "op12_conversation_repair": conversations.ORACLE,
 }
