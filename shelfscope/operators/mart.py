@@ -26,18 +26,38 @@ def mart_union(families: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [to_mart_rows(f) for f in families])
 
 
-def empty_categories(rows: DataFrame) -> DataFrame:
-    """Categories whose value, true-in-store and alert totals are all <= 0 across every family."""
-    # Decimal sums: exact and independent of order where positives and negatives cancel.
-    totals = rows.groupBy("catg_nm").agg(*[
-        F.coalesce(F.sum(F.col(c).cast("decimal(28,6)")), F.lit(0)).alias(t)
-        for c, t in (("sale_val", "_v"), ("true_in_store_val", "_t"), ("oos_alert_cnt", "_o"))])
-    return totals.filter(~((F.col("_v") > 0) | (F.col("_t") > 0) | (F.col("_o") > 0))).select("catg_nm")
+#: Exact totals by category that decide whether a category is empty, and the measures they add up.
+TOTALS = {"_v": "sale_val", "_t": "true_in_store_val", "_o": "oos_alert_cnt"}
+#: In stored family rows: the category before its default, by which empty categories are left out.
+PRUNE_KEY = "prune_catg_nm"
+
+
+def category_totals(rows: DataFrame) -> DataFrame:
+    """Exact additive totals by category of rows that have some of the measures.
+
+    Decimal sums: independent of order, and exact where positives and negatives cancel.
+    """
+    def measure(c: str):
+        value = F.col(c).cast("double").cast("decimal(28,6)") if c in rows.columns else F.lit(None).cast("decimal(28,6)")
+        return F.coalesce(F.sum(value), F.lit(0)).cast("decimal(38,6)")
+
+    return rows.groupBy("catg_nm").agg(*[measure(c).alias(t) for t, c in TOTALS.items()])
+
+
+def zero_totals(catgs: DataFrame) -> DataFrame:
+    """Totals of categories (catg_nm) that have rows, but no values."""
+    return catgs.select("catg_nm", *[F.lit(0).cast("decimal(38,6)").alias(t) for t in TOTALS]).distinct()
+
+
+def empty_of_totals(totals: DataFrame) -> DataFrame:
+    """Categories whose value, true-in-store and alert totals are all <= 0 across every family's totals."""
+    sums = totals.groupBy("catg_nm").agg(*[F.sum(t).alias(t) for t in TOTALS])
+    return sums.filter(~((F.col("_v") > 0) | (F.col("_t") > 0) | (F.col("_o") > 0))).select("catg_nm")
 
 
 def prune_empty_categories(rows: DataFrame, empty: DataFrame | None = None) -> DataFrame:
     """P50: drop rows of empty categories (an anti join, so a NULL category stays)."""
-    empty = empty_categories(rows) if empty is None else empty
+    empty = empty_of_totals(category_totals(rows)) if empty is None else empty
     return rows.join(empty, "catg_nm", "left_anti")
 
 
@@ -90,7 +110,7 @@ def store_attributes(spr_stores: DataFrame) -> DataFrame:
 
 
 def enrich_with_store(rows: DataFrame, spr_stores: DataFrame, params: MartParams,
-                      attrs: DataFrame | None = None) -> DataFrame:
+                      attrs: DataFrame | None = None, extra: list[str] = ()) -> DataFrame:
     """Overwrite the 25 store columns on rows whose store is in the master.
 
     The attribute side has one row per store, so the mart never fans out.  It is a
@@ -104,10 +124,10 @@ def enrich_with_store(rows: DataFrame, spr_stores: DataFrame, params: MartParams
     return j.select(*[
         F.when(hit, F.col(f"_e_{c}")).otherwise(F.col(c)).alias(c) if c in ENRICHED_COLUMNS else F.col(c)
         for c, _ in MART_COLUMNS
-    ])
+    ], *extra)
 
 
-def final_projection(rows: DataFrame, pos_run_dt: dt.date, params: MartParams) -> DataFrame:
+def final_projection(rows: DataFrame, pos_run_dt: dt.date, params: MartParams, extra: list[str] = ()) -> DataFrame:
     """Defaults, non-covered geography label, constants, run date, hash key, load time."""
     own = params.own_corp
     geo_blank = (F.col("hier_type_cd") == HIER_NON_COVERED) & (blank_to("terr_nbr") == "")
@@ -145,32 +165,30 @@ def final_projection(rows: DataFrame, pos_run_dt: dt.date, params: MartParams) -
     })
     return rows.select(*[
         defaulted.get(c, F.col(c)).cast(t).alias(c) for c, t in MART_COLUMNS
-    ])
+    ], *extra)
 
 
-def assemble(families: list[DataFrame], locations: DataFrame, spr_stores: DataFrame,
-             pos_run_dt: dt.date, params: MartParams) -> DataFrame:
-    """P49-P53 in one plan: prune, drop blank stores, enrich and project each family,
-    then union.
+def finish_family(rows: DataFrame, spr_stores: DataFrame, attrs: DataFrame, pos_run_dt: dt.date, params: MartParams,
+                  empty: DataFrame | None = None) -> DataFrame:
+    """P50-P53 on one family's rows: prune (where ``empty`` is given), drop blank stores, enrich, project.
 
-    ``families`` are stage tables: each is computed once and read twice, here for
-    four columns of the category totals and for its rows. Each family keeps its
-    own narrow plan, so the (mostly NULL) mart columns constant-fold per family
-    instead of being evaluated row by row on the 83-column union.
+    Each family keeps its own narrow plan, so the (mostly NULL) mart columns
+    constant-fold per family instead of being evaluated on the 83-column union.
     """
-    totals = [to_mart_rows(f).select("catg_nm", "sale_val", "true_in_store_val", "oos_alert_cnt") for f in families]
-    empty = materialize(empty_categories(reduce(lambda a, b: a.unionByName(b), totals)), params)
-    attrs = materialize(store_attributes(spr_stores), params)
+    rows = to_mart_rows(rows)
+    if empty is not None:
+        rows = prune_empty_categories(rows, empty)
+    return final_projection(enrich_with_store(rows, spr_stores, params, attrs), pos_run_dt, params)
 
-    def finish(rows: DataFrame) -> DataFrame:
-        return final_projection(enrich_with_store(rows, spr_stores, params, attrs), pos_run_dt, params)
 
-    parts = [finish(drop_blank_store_rows(prune_empty_categories(to_mart_rows(f), empty))) for f in families]
-    parts.append(finish(to_mart_rows(locations)))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def stored_family(rows: DataFrame, spr_stores: DataFrame, attrs: DataFrame, pos_run_dt: dt.date, params: MartParams) -> DataFrame:
+    """A family as it is stored: finished but not pruned, with the category that pruning goes by."""
+    rows = to_mart_rows(rows)
+    enriched = enrich_with_store(rows.withColumn(PRUNE_KEY, F.col("catg_nm")), spr_stores, params, attrs, [PRUNE_KEY])
+    return final_projection(enriched, pos_run_dt, params, [PRUNE_KEY])
 
 
-#: The families that the original deletes and inserts one at a time, as row conditions.
+#: The families that the original deletes and inserts one at a time, as conditions on the mart's rows.
 FAMILIES = {
     "SHP": "metrc_nm = 'SHP'",
     "KEY_BRAND": "metrc_nm = 'KEY_BRAND'",
@@ -180,13 +198,3 @@ FAMILIES = {
     "POS_CATG_AMPS": "metrc_nm = 'POS_CATG_AMPS'",
     "DRIVERS": "metrc_nm IN ('EVENTS', 'OOS', 'POS_PRFM')",
 }
-
-
-def replace_family(stored: DataFrame, family: str, rows: DataFrame) -> DataFrame:
-    """P49 on a stored mart: its rows without those of ``family``, and ``rows`` of that family instead.
-
-    The three kinds of POS rows are told apart by sub-metric and time frame: the
-    metric's partition alone could not replace one of them.
-    """
-    mine = F.coalesce(F.expr(FAMILIES[family]), F.lit(False))
-    return stored.filter(~mine).unionByName(rows.filter(mine))

@@ -14,6 +14,7 @@ from shelfscope.functions.columns import (
 from shelfscope.functions.joins import join_back
 from shelfscope.functions.ranking import rank_within
 from shelfscope.operators.calendar import FrameSet
+from shelfscope.operators.mart import category_totals, zero_totals
 from shelfscope.params import (
     CATG_ALL, CATG_EVENT, COMPETITOR_EXCLUDED_CATG, EXCLUDED_POS_PLAN_TOS, EXTRA_PLAIN_CATG,
     FRAME_DESCRIPTIONS, HIER_COVERED, HIER_NON_COVERED, IC_LABEL, WEEKLY_LABELS, MartParams,
@@ -291,6 +292,16 @@ def pos_summary_rows(metrics: DataFrame, placeholders: DataFrame, ranks: DataFra
     return metrics.select(*CALC_COLUMNS, *RANK_COLUMNS).unionByName(p.select(*CALC_COLUMNS, *RANK_COLUMNS))
 
 
+def pos_category_totals(sparse: DataFrame, products: DataFrame) -> DataFrame:
+    """The POS family's category totals without its zero rows: the rows that have POS, and every
+    category of the grid and of the placeholder rows at zero."""
+    held = category_totals(sparse.select(F.col("ic_catg_nm").alias("catg_nm"), money("sale_val").alias("sale_val")))
+    named = products.select(F.col("ic_catg_nm").alias("catg_nm")).distinct()
+    for label in (CATG_ALL, CATG_EVENT):
+        named = named.unionByName(products.limit(1).select(F.lit(label).alias("catg_nm")))
+    return held.unionByName(zero_totals(named))
+
+
 def pos_summary_emit(final: DataFrame) -> DataFrame:
     """Time-frame POS rows of the mart."""
     return final.select(

@@ -13,10 +13,8 @@ from shelfscope.params import (
     BLOCKED_CHANNELS, EXCLUDED_CATG_CODES, SALES_ORG, SHIPMENT_INACTIVE_PATTERN, WIP_CODE,
     YEAR_AGO_DAYS, MartParams,
 )
-from shelfscope.plans.stages import densify, grid_partitions, materialize
+from shelfscope.plans.stages import densify, salted_join
 
-#: Parts that the stores of one plan-to are dealt into.
-FAN_OUT_SALTS = 8
 KEYS = ["plan_to_nbr", "catg_nm", "brand_nm", "tmfrm_cd"]
 
 
@@ -95,28 +93,27 @@ def shipment_year_ago(detail: DataFrame, frames: FrameSet, params: MartParams) -
         *KEYS, "gsv_yr_ago")
 
 
-def shipment_summary(covered_stores: DataFrame, matrl_hier: DataFrame, current: DataFrame,
-                     year_ago: DataFrame, frames: FrameSet, params: MartParams) -> DataFrame:
-    """Covered stores x (category, brand) x frames seen in the current roll-up,
-    with current and year-ago value of the store's plan-to (0 when absent).
-
-    The facts are keyed by plan-to, so the grid is first built and joined at
-    plan-to level, and only then fanned out to the stores of each plan-to. A plan-to
-    may hold most stores: the fan-out joins on (plan-to, salt), with the stores
-    dealt over the salts and the plan-to rows repeated for each.
-    """
-    stores = covered_stores.select("sold_to_nbr", "plan_to_nbr", "chain_nbr", "src_nm")
-    plan_tos = stores.select("plan_to_nbr").distinct()
+def shipment_plan_level(covered_stores: DataFrame, matrl_hier: DataFrame, current: DataFrame,
+                        year_ago: DataFrame, frames: FrameSet) -> DataFrame:
+    """P14 at plan-to level: covered plan-tos x (category, brand) x frames seen in the current
+    roll-up, with current and year-ago value (NULL when absent)."""
+    plan_tos = covered_stores.select("plan_to_nbr").distinct()
     pairs = matrl_hier.select("catg_nm", "brand_nm").distinct()
     seen = current.select("tmfrm_cd").distinct()
     grid = frames.with_each_code(densify(plan_tos, pairs, ["plan_to_nbr"])).join(seen, "tmfrm_cd", "left_semi")
     cur = current.select(*KEYS, "gsv", F.col("src_nm").alias("_cur_src"), "kortex_upld_ts",
                          "kortex_dprct_ts")
-    plan_level = materialize(grid.join(cur, KEYS, "left").join(year_ago, KEYS, "left"), params)
-    salt = F.pmod(F.xxhash64("sold_to_nbr"), F.lit(FAN_OUT_SALTS)).cast("int")
-    stores = stores.repartition(grid_partitions(stores.sparkSession), "sold_to_nbr").withColumn("_salt", salt)
-    plan_level = plan_level.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(FAN_OUT_SALTS - 1))))
-    return stores.join(plan_level, ["plan_to_nbr", "_salt"]).select(
+    return grid.join(cur, KEYS, "left").join(year_ago, KEYS, "left")
+
+
+def shipment_summary(covered_stores: DataFrame, plan_level: DataFrame, params: MartParams) -> DataFrame:
+    """Every covered store with the rows of its plan-to (value 0 when absent).
+
+    A plan-to may hold most stores: its stores are dealt over as many salts as its
+    own number of stores asks for, and its rows are repeated for each.
+    """
+    stores = covered_stores.select("sold_to_nbr", "plan_to_nbr", "chain_nbr", "src_nm")
+    return salted_join(stores, plan_level, ["plan_to_nbr"], ["sold_to_nbr"], params).select(
         "sold_to_nbr", "plan_to_nbr", "chain_nbr", "tmfrm_cd", "catg_nm", "brand_nm",
         F.coalesce("gsv", F.lit(0)).alias("gsv"),
         F.coalesce("gsv_yr_ago", F.lit(0)).alias("gsv_yr_ago"),
@@ -125,6 +122,14 @@ def shipment_summary(covered_stores: DataFrame, matrl_hier: DataFrame, current:
     )
 
 
+def shipment_totals(covered_stores: DataFrame, plan_level: DataFrame) -> DataFrame:
+    """The SHP family's category totals without its store rows: a plan-to's values times its store rows."""
+    stores = covered_stores.groupBy("plan_to_nbr").agg(F.count(F.lit(1)).alias("_n"))
+    value = F.col("gsv").cast("double").cast("decimal(28,6)") * F.col("_n").cast("decimal(10,0)")
+    sums = plan_level.join(stores, "plan_to_nbr").groupBy("catg_nm").agg(F.coalesce(F.sum(value), F.lit(0)).cast("decimal(38,6)").alias("_v"))
+    return sums.select("catg_nm", "_v", *[F.lit(0).cast("decimal(38,6)").alias(t) for t in ("_t", "_o")])
+
+
 def shipment_emit(summary: DataFrame) -> DataFrame:
     return summary.select(
         F.lit("SHP").alias("metrc_nm"), "tmfrm_cd", "sold_to_nbr", "plan_to_nbr", "chain_nbr",

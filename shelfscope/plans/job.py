@@ -10,7 +10,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import uuid
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,9 @@ from shelfscope.operators import calendar, drivers, key_brand, mart, masters, po
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
 from shelfscope.plans.stages import drop_stages, materialize
-from shelfscope.sources.tables import SourceTables, publish_mart, read_mart, read_sources
+from shelfscope.sources.martstore import Manifest, latest, publish_families, publish_family
+from shelfscope.sources.schemas import to_mart_rows
+from shelfscope.sources.tables import SourceTables, read_sources
 
 
 def run_mart(spark: SparkSession, run_date: dt.date, source_root: str, target: str, **params) -> None:
@@ -43,16 +45,25 @@ class MartJob:
         self.params = params
 
     def run(self, target: str) -> None:
-        """Build the mart and publish it; the stage tables go, also when it fails."""
+        """Build the mart and publish it; the stage tables go, also when it fails.
+
+        Raises ``PublishConflict`` if another run publishes meanwhile.
+        """
+        base = latest(self.spark, target)
         try:
-            publish_mart(self.mart_final, target)
+            self.publish(target, base)
         finally:
             self.drop_stages()
 
-    def refresh_family(self, target: str, family: str) -> None:
-        """Recompute one metric family and replace it in the stored mart."""
+    def publish(self, target: str, base: Manifest | None = None) -> Manifest:
+        """Write every family once, with its category totals, and publish them together."""
+        return publish_families(self.spark, target, {k: self.stored(k) for k in mart.FAMILIES},
+                                {k: self.family_totals(k) for k in mart.FAMILIES}, base)
+
+    def refresh_family(self, target: str, family: str) -> Manifest:
+        """Build, write and replace one metric family of the stored mart; the others are neither built nor touched."""
         try:
-            publish_mart(mart.replace_family(read_mart(self.spark, target), family, self.mart_final), target)
+            return publish_family(self.spark, target, family, self.stored(family), self.family_totals(family))
         finally:
             self.drop_stages()
 
@@ -216,10 +227,15 @@ class MartJob:
     def shipment_year_ago(self) -> DataFrame:
         return shipment.shipment_year_ago(self.shipment_detail, self.pos_frames, self.params)
 
+    @cached_property
+    def shipment_plan_level(self) -> DataFrame:
+        return materialize(shipment.shipment_plan_level(
+            self.covered_stores, self.matrl_hier, self.shipment_current, self.shipment_year_ago,
+            self.pos_frames), self.params)
+
     @cached_property
     def shipment_summary(self) -> DataFrame:
-        return shipment.shipment_summary(self.covered_stores, self.matrl_hier, self.shipment_current,
-                                         self.shipment_year_ago, self.pos_frames, self.params)
+        return shipment.shipment_summary(self.covered_stores, self.shipment_plan_level, self.params)
 
     @cached_property
     def shipment_rows(self) -> DataFrame:
@@ -337,19 +353,59 @@ class MartJob:
 
     # ---- mart -----------------------------------------------------------------------
     @cached_property
-    def families(self) -> list[DataFrame]:
-        """Each family once: the category totals and the assembly both read the stage tables."""
-        return [materialize(f, self.params) for f in (
-            self.shipment_rows, self.key_brand_rows, self.pos_rows, self.pos_weekly_rows,
-            self.category_share_rows, self.driver_rows)]
+    def sparse_families(self) -> dict[str, DataFrame]:
+        """The families that have rows where there is activity only: stage tables, read for
+        their rows and for their totals."""
+        return _Stages(self, {"KEY_BRAND": "key_brand_rows", "POS_WEEKLY": "pos_weekly_rows",
+                              "POS_CATG_AMPS": "category_share_rows", "DRIVERS": "driver_rows"})
+
+    def family_rows(self, family: str) -> DataFrame:
+        """One family's rows. The dense families (SHP, POS) are never staged: they are computed where they are written."""
+        if family == "SHP":
+            return self.shipment_rows
+        if family == "POS":
+            return self.pos_rows
+        if family == "POS_LOCATION":
+            return self.location_rows
+        return self.sparse_families[family]
+
+    def family_totals(self, family: str) -> DataFrame:
+        """Exact category totals of one family; those of the dense families come from their sparse inputs."""
+        if family == "SHP":
+            return shipment.shipment_totals(self.covered_stores, self.shipment_plan_level)
+        if family == "POS":
+            return pos.pos_category_totals(self.pos_sparse, self.products)
+        if family == "POS_LOCATION":
+            return mart.zero_totals(self.location_rows.select(F.lit(None).cast("string").alias("catg_nm")).limit(0))
+        return mart.category_totals(self.sparse_families[family])
+
+    @cached_property
+    def store_attributes(self) -> DataFrame:
+        return materialize(mart.store_attributes(self.spr_stores), self.params)
+
+    def stored(self, family: str) -> DataFrame:
+        """One family as the published mart stores it."""
+        rows = self.family_rows(family)
+        if family != "POS_LOCATION":
+            rows = mart.drop_blank_store_rows(rows)
+        return mart.stored_family(rows, self.spr_stores, self.store_attributes, self.pos_run_dt, self.params)
+
+    @property
+    def metric_families(self) -> list[str]:
+        return [f for f in mart.FAMILIES if f != "POS_LOCATION"]
+
+    @cached_property
+    def empty_categories(self) -> DataFrame:
+        totals = reduce(lambda a, b: a.unionByName(b), [self.family_totals(f) for f in self.metric_families])
+        return materialize(mart.empty_of_totals(totals), self.params)
 
     @cached_property
     def mart_union(self) -> DataFrame:
-        return mart.mart_union(self.families)
+        return mart.mart_union([self.family_rows(f) for f in self.metric_families])
 
     @cached_property
     def mart_pruned(self) -> DataFrame:
-        return mart.prune_empty_categories(self.mart_union)
+        return mart.prune_empty_categories(self.mart_union, self.empty_categories)
 
     @cached_property
     def location_rows(self) -> DataFrame:
@@ -357,11 +413,25 @@ class MartJob:
 
     @cached_property
     def mart_enriched(self) -> DataFrame:
-        from shelfscope.sources.schemas import to_mart_rows
-
         rows = mart.drop_blank_store_rows(self.mart_pruned).unionByName(to_mart_rows(self.location_rows))
-        return mart.enrich_with_store(rows, self.spr_stores, self.params)
+        return mart.enrich_with_store(rows, self.spr_stores, self.params, self.store_attributes)
 
     @cached_property
     def mart_final(self) -> DataFrame:
-        return mart.assemble(self.families, self.location_rows, self.spr_stores, self.pos_run_dt, self.params)
+        """The whole mart in one plan: every family finished on its own, then the union."""
+        parts = [mart.finish_family(mart.drop_blank_store_rows(self.family_rows(f)), self.spr_stores, self.store_attributes,
+                                    self.pos_run_dt, self.params, self.empty_categories) for f in self.metric_families]
+        parts.append(mart.finish_family(self.location_rows, self.spr_stores, self.store_attributes, self.pos_run_dt, self.params))
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+class _Stages(dict):
+    """Stage tables made when they are first asked for."""
+
+    def __init__(self, job: MartJob, attributes: dict[str, str]):
+        super().__init__()
+        self.job, self.attributes = job, attributes
+
+    def __missing__(self, family: str) -> DataFrame:
+        self[family] = materialize(getattr(self.job, self.attributes[family]), self.job.params)
+        return self[family]

@@ -20,8 +20,8 @@ from pyspark.sql.types import DecimalType
 from shelfscope.operators import calendar, mart, pos, shipment, visits
 from shelfscope.plans.job import MartJob
 from shelfscope.plans.stages import stage_root
-from shelfscope.sources.schemas import empty_mart, mart_struct, to_mart_rows
-from shelfscope.sources.tables import publish_mart, read_mart, write_mart
+from shelfscope.sources.martstore import clone_schema, publish_family, read_mart
+from shelfscope.sources.schemas import to_mart_rows
 from shelfscope.sources.testviews import build_sources, adapter_params
 
 _JOBS: dict[tuple, MartJob] = {}
@@ -51,17 +51,14 @@ def doubles(df: DataFrame) -> DataFrame:
 
 def q_schema_clone(spark, sf_dir):
     """An empty mart beside the published one, written and read back."""
-    j = job_for(spark, sf_dir)
-    target = f"{stage_root(spark, j.params)}/clone-{uuid.uuid4().hex}"
-    write_mart(empty_mart(spark).unionByName(j.mart_final.limit(0)), target)
-    return spark.read.schema(mart_struct()).parquet(target)
+    return clone_schema(spark, f"{stage_root(spark, job_for(spark, sf_dir).params)}/clone-{uuid.uuid4().hex}")
 
 
 def q_publish(spark, sf_dir):
-    """The mart published and read back."""
+    """The mart published by families and read back."""
     j = job_for(spark, sf_dir)
     target = f"{stage_root(spark, j.params)}/publish-{uuid.uuid4().hex}"
-    publish_mart(j.mart_final, target)
+    j.publish(target)
     return read_mart(spark, target)
 
 
@@ -69,9 +66,11 @@ def q_replace_family(spark, sf_dir):
     """A stored mart whose weekly POS rows are stale, after that one family is replaced."""
     j = job_for(spark, sf_dir)
     target = f"{stage_root(spark, j.params)}/replace-{uuid.uuid4().hex}"
-    stale = mart.FAMILIES["POS_WEEKLY"]
-    publish_mart(j.mart_final.withColumn("sale_val", F.when(F.expr(stale), F.lit(-1.0)).otherwise(F.col("sale_val"))), target)
-    publish_mart(mart.replace_family(read_mart(spark, target), "POS_WEEKLY", j.mart_final), target)
+    base = j.publish(target)
+    stale = j.stored("POS_WEEKLY").withColumn("sale_val", F.lit(-1.0))
+    publish_family(spark, target, "POS_WEEKLY", stale, mart.category_totals(stale.withColumn("catg_nm", F.col(mart.PRUNE_KEY))))
+    now = publish_family(spark, target, "POS_WEEKLY", j.stored("POS_WEEKLY"), j.family_totals("POS_WEEKLY"))
+    assert all(now.families[f] == base.families[f] for f in base.families if f != "POS_WEEKLY")
     return read_mart(spark, target)
 
 

@@ -43,6 +43,34 @@ def drop_stages(spark, params: MartParams) -> None:
         fs.delete(path, True)
 
 
+#: Rows of one key that share a salt; keys with fewer are not split.
+ROWS_PER_SALT = 20_000
+
+
+def key_salts(rows: DataFrame, keys: list[str], rows_per_salt: int) -> DataFrame:
+    """keys, _salts: the heavy keys of ``rows`` with the number of salts that their own number of rows asks for.
+
+    The counts are one partial aggregation; at most rows / ``rows_per_salt`` keys are heavy.
+    """
+    n = F.ceil(F.count(F.lit(1)) / F.lit(rows_per_salt)).cast("int")
+    return rows.groupBy(*keys).agg(n.alias("_salts")).where("_salts > 1")
+
+
+def salted_join(many: DataFrame, few: DataFrame, keys: list[str], spread_by: list[str], params: MartParams,
+                rows_per_salt: int | None = None) -> DataFrame:
+    """``many`` joined with ``few`` on ``keys`` where a key of ``many`` may hold most of its rows.
+
+    A histogram of the heavy keys gives each its own number of salts: the rows of
+    ``many`` are dealt over them by ``spread_by``, the rows of ``few`` repeated for
+    them. Other keys keep one salt, so nothing is repeated for them.
+    """
+    heavy = materialize(key_salts(many, keys, rows_per_salt or ROWS_PER_SALT), params)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    dealt = many.join(heavy, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")).drop("_salts")
+    repeated = few.join(heavy, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return dealt.join(repeated, [*keys, "_salt"]).drop("_salt")
+
+
 def grid_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

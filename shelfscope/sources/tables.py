@@ -1,14 +1,10 @@
-"""The source tables the mart is built from, and the published mart: Parquet folders or catalog tables."""
+"""The source tables the mart is built from: Parquet folders or catalog tables."""
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from shelfscope.sources.schemas import MART_COLUMNS, empty_mart, mart_struct
 
 SOURCE_NAMES = (
     "cal_day",        # fiscal day calendar
@@ -46,70 +42,3 @@ def read_sources(spark: SparkSession, root: str) -> SourceTables:
     if root.startswith(CATALOG):
         return SourceTables(**{n: spark.table(f"{root[len(CATALOG):]}.{n}") for n in SOURCE_NAMES})
     return SourceTables(**{n: spark.read.parquet(f"{root}/{n}") for n in SOURCE_NAMES})
-
-
-#: Tasks that write one metric's partition: as many files.
-FILES_PER_METRIC = 8
-
-
-def write_mart(df: DataFrame, path: str) -> None:
-    """Write the mart's rows to a folder that does not exist yet, partitioned by ``metrc_nm``.
-
-    Rows are dealt by metric and a spread of the store, so a metric has a few
-    files instead of one from every task.
-    """
-    spread = F.pmod(F.xxhash64("sold_to_nbr", "catg_nm"), F.lit(FILES_PER_METRIC))
-    df.repartition("metrc_nm", spread).write.partitionBy("metrc_nm").parquet(path)
-
-
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def current_version(spark: SparkSession, target: str) -> str | None:
-    """Folder of the published mart: the last committed version, by its marker's number."""
-    jvm, fs = _hadoop(spark, target)
-    log = jvm.org.apache.hadoop.fs.Path(f"{target}/_versions")
-    if not fs.exists(log):
-        return None
-    names = sorted((s.getPath().getName() for s in fs.listStatus(log)), key=lambda n: int(n.split("~")[0]))
-    return f"{target}/{names[-1].split('~')[1]}" if names else None
-
-
-def publish_mart(df: DataFrame, target: str) -> None:
-    """Full refresh: write a new version beside the old one, then publish it in one step.
-
-    A folder target gets an (atomic, create-if-absent) marker file naming the new
-    version; a ``catalog:<table>`` target a new table location behind a view. A
-    run that fails, or loses the race, leaves the published mart as it was.
-    """
-    spark = df.sparkSession
-    version = f"mart-{uuid.uuid4().hex}"
-    if target.startswith(CATALOG):
-        name = target[len(CATALOG):]
-        spread = F.pmod(F.xxhash64("sold_to_nbr", "catg_nm"), F.lit(FILES_PER_METRIC))
-        data = f"{name}_{version.replace('-', '_')}"
-        df.repartition("metrc_nm", spread).write.partitionBy("metrc_nm").saveAsTable(data, format="parquet")
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {data}")
-        return
-    write_mart(df, f"{target}/{version}")
-    jvm, fs = _hadoop(spark, target)
-    log = f"{target}/_versions"
-    path = jvm.org.apache.hadoop.fs.Path
-    number = 1 + max([int(s.getPath().getName().split("~")[0]) for s in fs.listStatus(path(log))] if fs.exists(path(log)) else [0])
-    if not fs.createNewFile(path(f"{log}/{number}~{version}")):
-        raise RuntimeError("another run published this version of the mart")
-
-
-def read_mart(spark: SparkSession, target: str) -> DataFrame:
-    """The published mart, in the mart's column order and types."""
-    if target.startswith(CATALOG):
-        df = spark.table(target[len(CATALOG):])
-    else:
-        folder = current_version(spark, target)
-        if folder is None:
-            return empty_mart(spark)
-        df = spark.read.schema(mart_struct()).parquet(folder)
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in MART_COLUMNS])

@@ -7,7 +7,8 @@ import pytest
 
 from shelfscope.plans.job import MartJob
 from shelfscope.sources.schemas import MART_COLUMNS, empty_mart
-from shelfscope.sources.tables import SOURCE_NAMES, current_version, publish_mart, read_mart, read_sources
+from shelfscope.sources.martstore import latest, publish_mart, read_mart
+from shelfscope.sources.tables import SOURCE_NAMES, read_sources
 from shelfscope.sources.testviews import build_sources, adapter_params
 
 SF = "/root/testdata/sf0.001"
@@ -102,10 +103,10 @@ def test_publish_replaces_and_a_failed_run_leaves_the_old_mart(spark, scratch):
     back = read_mart(spark, out)
     assert back.columns == [c for c, _ in MART_COLUMNS] and back.count() == mart.count()
     assert {r.metrc_nm for r in back.select("metrc_nm").distinct().collect()} >= {"SHP", "POS", "KEY_BRAND"}
-    before = current_version(spark, out)
+    before = latest(spark, out)
     with pytest.raises(Exception):
         publish_mart(mart.withColumn("sale_val", F.raise_error(F.lit("boom")).cast("double")), out)
-    assert current_version(spark, out) == before and read_mart(spark, out).count() == mart.count()
+    assert latest(spark, out) == before and read_mart(spark, out).count() == mart.count()
 
 
 def test_catalog_source_and_target(spark):
@@ -142,7 +143,7 @@ def test_run_publishes_and_drops_stage_tables_also_on_failure(spark, scratch, mo
     def fail(*_):
         raise OSError("no space")
 
-    monkeypatch.setattr(job_module, "publish_mart", fail)
+    monkeypatch.setattr(job_module, "publish_families", fail)
     with pytest.raises(OSError):
         job.run(out)
     assert not os.path.exists(stage_root(spark, job.params).replace("file:", ""))

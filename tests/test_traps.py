@@ -229,16 +229,16 @@ def test_all_parts_of_a_category_list(spark):
     assert visits.events_split(r).count() == 7 and visits.events_split(r, None).count() == 9
 
 
-def test_replace_family_touches_only_its_rows(spark):
-    schema = "metrc_nm string, sub_metrc_nm string, tmfrm_cd string, v int"
-    old = [("POS", "", "L4W", 1), ("POS", "Last 13 Weeks", "30", 1), ("POS", "", "", 1), ("SHP", "", "L4W", 1), ("OOS", "", "L4W", 1)]
-    new = spark.createDataFrame([(*r[:3], 2) for r in old], schema)
-    for family, n in (("POS", 1), ("POS_WEEKLY", 1), ("POS_LOCATION", 1), ("SHP", 1), ("DRIVERS", 1), ("KEY_BRAND", 0)):
-        got = mart.replace_family(spark.createDataFrame(old, schema), family, new).collect()
-        assert len(got) == len(old) and sum(r.v == 2 for r in got) == n
+def test_families_have_only_their_rows(spark):
+    """The conditions that tell families apart hold on the rows that each family makes."""
+    from shelfscope.plans.queries import job_for
+
+    job = job_for(spark, "/root/testdata/sf0.001")
+    for name in mart.FAMILIES:
+        rows = mart.final_projection(to_mart_rows(job.family_rows(name)), job.pos_run_dt, job.params)
+        assert rows.filter(~F.coalesce(F.expr(mart.FAMILIES[name]), F.lit(False))).count() == 0
 
 
-# ---- T9 / T17 split of the category list ----------------------------------------------------
 def test_t9_t17_split_first_seven_parts(spark):
     r = spark.createDataFrame([("L4W", "S1", "CH", "a, b,,a,c,d,e,f", 1, 1, 1, 1, 1, 1)],
                               "tmfrm_cd string, sold_to_nbr string, chain_nbr string, mult_catg_nm string, "
