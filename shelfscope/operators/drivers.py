@@ -8,7 +8,7 @@ chain rows re-use store lists (or one list per chain for OOS/POS '(All)').
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.functions.columns import sorted_distinct_list, typed_null
@@ -19,7 +19,7 @@ from shelfscope.params import (
     CATG_ALL, CATG_EVENT, CATG_INDIVIDUAL, DRIVER_SOURCE, METRIC_EVENTS, METRIC_OOS, METRIC_POS_PRFM,
     MartParams,
 )
-from shelfscope.plans.stages import densify
+from shelfscope.plans.stages import densify, salted_join
 
 METRICS = (METRIC_EVENTS, METRIC_OOS, METRIC_POS_PRFM)
 MATRIX_KEYS = ["metrc_nm", "tmfrm_cd", "sold_to_nbr", "chain_nbr", "catg_nm"]
@@ -55,23 +55,21 @@ def event_categories(active: DataFrame) -> DataFrame:
     return active.join(evt, ["tmfrm_cd", "sold_to_nbr", "catg_nm"], "left_semi")
 
 
-def _list_key():
-    return F.when(F.col("catg_type_cd") == CATG_INDIVIDUAL, F.col("catg_nm")).otherwise(F.col("catg_type_cd"))
-
-
 def store_category_lists(indiv: DataFrame, active: DataFrame, events_cats: DataFrame) -> DataFrame:
     """The three category sets tagged, each row with its store's ordered distinct list.
 
-    The list partition is one store's categories (bounded by the category dimension).
+    An individual row's list is its own category, so the dense rows take no part in
+    any grouping; the active and event sets are aggregated by store and joined back.
     """
-    tagged = (
-        indiv.select(F.lit(CATG_INDIVIDUAL).alias("catg_type_cd"), *MATRIX_KEYS)
-        .unionByName(active.select(F.lit(CATG_ALL).alias("catg_type_cd"), *MATRIX_KEYS))
-        .unionByName(events_cats.select(F.lit(CATG_EVENT).alias("catg_type_cd"), *MATRIX_KEYS))
-    )
-    w = Window.partitionBy(_list_key(), "metrc_nm", "tmfrm_cd", "sold_to_nbr")
-    listed = F.array_join(F.array_sort(F.collect_set("catg_nm").over(w)), ", ")
-    return tagged.withColumn("mult_catg_nm", listed)
+    keys = ["metrc_nm", "tmfrm_cd", "sold_to_nbr"]
+
+    def listed(rows: DataFrame, label: str) -> DataFrame:
+        lists = rows.groupBy(*keys).agg(sorted_distinct_list("catg_nm").alias("mult_catg_nm"))
+        back = join_back(rows, lists, keys, "inner", ["sold_to_nbr"])
+        return back.select(F.lit(label).alias("catg_type_cd"), *MATRIX_KEYS, "mult_catg_nm")
+
+    own = indiv.select(F.lit(CATG_INDIVIDUAL).alias("catg_type_cd"), *MATRIX_KEYS, F.coalesce("catg_nm", F.lit("")).alias("mult_catg_nm"))
+    return own.unionByName(listed(active, CATG_ALL)).unionByName(listed(events_cats, CATG_EVENT))
 
 
 def chain_lists(store_lists: DataFrame) -> DataFrame:
@@ -94,18 +92,12 @@ def chain_lists(store_lists: DataFrame) -> DataFrame:
 
 
 MATRIX_COLUMNS = ["metrc_nm", "tmfrm_cd", "sold_to_nbr", "chain_nbr", "catg_nm", "mult_catg_nm", "catg_type_cd"]
-#: Parts that a chain's active stores are dealt into when its lists are joined to them.
-CHAIN_SALTS = 8
-
-
-def driver_matrix(store_lists: DataFrame, lists: DataFrame, active: DataFrame) -> DataFrame:
+def driver_matrix(store_lists: DataFrame, lists: DataFrame, active: DataFrame, params: MartParams) -> DataFrame:
     """Store rows plus chain rows: the chain's lists on each active store row of the
-    chain and category (a NULL chain never matches). The join is salted: one chain may
-    hold most stores. The mart needs only the EVENTS part (see ``store_facts``)."""
-    keys = ["metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm", "_salt"]
-    dealt = active.withColumn("_salt", F.pmod(F.xxhash64("sold_to_nbr"), F.lit(CHAIN_SALTS)).cast("int"))
-    spread = lists.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(CHAIN_SALTS - 1))))
-    chain_rows = spread.join(dealt, keys)
+    chain and category (a NULL chain never matches). One chain may hold most stores: its
+    rows are dealt over as many salts as their number asks for. The mart needs only the
+    EVENTS part (see ``store_facts``)."""
+    chain_rows = salted_join(active, lists, ["metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm"], ["sold_to_nbr"], params)
     return (
         store_lists.select(F.lit("store").alias("store_chain_ind"), *MATRIX_COLUMNS)
         .unionByName(chain_rows.select(
@@ -262,12 +254,16 @@ def driver_summary(facts: DataFrame, chain_f: DataFrame, store_lvl: DataFrame,
     A chain row for '(Event Categories)' or any EVENTS row must carry the same
     category list as the store row; unmatched store rows stay.
     """
-    s = facts.filter(F.col("store_chain_ind") == "store")
-    c = chain_f.withColumnRenamed("mult_catg_nm", "_chn_mult").withColumn("_chn", F.lit(True))
-    j = s.join(c, ["metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm"], "left")
-    must_match = F.col("_chn").isNotNull() & (
-        (F.col("catg_nm") == CATG_EVENT) | (F.col("metrc_nm") == METRIC_EVENTS))
-    j = j.filter(F.when(must_match, F.col("_chn_mult") == F.col("mult_catg_nm")).otherwise(F.lit(True)))
+    # Rows that must agree on the list meet on its id: a chain's stores never meet its other lists.
+    must_match = (F.col("catg_nm") == CATG_EVENT) | (F.col("metrc_nm") == METRIC_EVENTS)
+    list_id = F.when(must_match, F.xxhash64("mult_catg_nm")).otherwise(F.lit(0).cast("bigint"))
+    keys = ["metrc_nm", "tmfrm_cd", "chain_nbr", "catg_nm"]
+    s = facts.filter(F.col("store_chain_ind") == "store").withColumn("_list", list_id)
+    c = chain_f.withColumn("_list", list_id).withColumnRenamed("mult_catg_nm", "_chn_mult").withColumn("_chn", F.lit(True))
+    has = chain_f.filter(must_match).select(*keys).distinct().withColumn("_has", F.lit(True))
+    j = s.join(c, [*keys, "_list"], "left").join(has, keys, "left")
+    same = F.col("_chn").isNotNull() & (F.col("_chn_mult") == F.col("mult_catg_nm"))
+    j = j.filter(F.col("_has").isNull() | same).drop("_list", "_has")
     j = j.join(store_lvl, ["metrc_nm", "tmfrm_cd", "sold_to_nbr", "chain_nbr"], "left")
     j = j.join(chain_lvl, ["metrc_nm", "tmfrm_cd", "chain_nbr"], "left")
     return j.drop("_chn", "_chn_mult").withColumn("ans_in_store_val", F.col("rollup_ans_in_store_val"))

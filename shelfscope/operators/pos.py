@@ -19,7 +19,7 @@ from shelfscope.params import (
     CATG_ALL, CATG_EVENT, COMPETITOR_EXCLUDED_CATG, EXCLUDED_POS_PLAN_TOS, EXTRA_PLAIN_CATG,
     FRAME_DESCRIPTIONS, HIER_COVERED, HIER_NON_COVERED, IC_LABEL, WEEKLY_LABELS, MartParams,
 )
-from shelfscope.plans.stages import chunked, materialize, with_chunks
+from shelfscope.plans.stages import grid_partitions, materialize, meet_chunks
 
 MEASURES = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty"]
 ALL_MEASURES = MEASURES + ["sale_vol_lb_val", "sale_yr_ago_vol_lb_val"]
@@ -132,13 +132,35 @@ def pos_totals(sparse: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+#: Products of a chunk of the POS grid: as many as a long has bits.
+CHUNK_PRODUCTS = 64
+
+
+def product_ordinals(products: DataFrame) -> DataFrame:
+    """ic_catg_nm, brand_nm, _chunk, _bit: every product of the grid with its place in a chunk.
+
+    A chunk holds products of one category, so that a chunk row needs one category
+    total, and at most as many as a bitmap has bits.
+    """
+    pairs = products.select("ic_catg_nm", "brand_nm").distinct()
+    by_catg = Window.partitionBy("ic_catg_nm").orderBy("brand_nm")
+    placed = pairs.withColumn("_n", F.row_number().over(by_catg) - 1)
+    placed = placed.select("ic_catg_nm", "brand_nm", F.floor(F.col("_n") / CHUNK_PRODUCTS).cast("int").alias("_part"),
+                           (F.col("_n") % CHUNK_PRODUCTS).alias("_bit"))
+    chunks = placed.groupBy("ic_catg_nm", "_part").agg(F.count(F.lit(1)).alias("_size"))
+    numbered = chunks.withColumn("_chunk", F.dense_rank().over(Window.orderBy("ic_catg_nm", "_part")) - 1)
+    return join_back(placed, numbered.drop("_size"), ["ic_catg_nm", "_part"], "inner", ["ic_catg_nm"]).drop("_part")
+
+
+def product_chunks(ordinals: DataFrame) -> DataFrame:
+    """_chunk, ic_catg_nm and the chunk's members (_bit, brand_nm), in the order of their bits."""
+    return ordinals.groupBy("_chunk", "ic_catg_nm").agg(F.array_sort(F.collect_list(F.struct("_bit", "brand_nm"))).alias("_members"))
+
+
 def pos_store_level(spr_stores: DataFrame, products: DataFrame, frames: FrameSet, pos_ic: DataFrame,
                     sparse: DataFrame, totals: dict[str, DataFrame], params: MartParams) -> DataFrame:
-    """One row per store key and rolling frame, for the own corporation: its totals, and
-    what the zero rows of its products need.
+    """One row per store key and rolling frame, for the own corporation, with its totals.
 
-    ``_present``: products with POS of any corporation, which have no zero row;
-    ``_catg``: totals by category. Both are bounded by one store's products.
     ``_has_rows``: the store has own rows at all (POS rows or zero rows).
     """
     store_keys = spr_stores.select("hier_type_cd", "sold_to_nbr", "chain_nbr", "src_nm").distinct()
@@ -148,18 +170,43 @@ def pos_store_level(spr_stores: DataFrame, products: DataFrame, frames: FrameSet
     rolling = pos_ic.filter(F.col("tmfrm_cd").isin(*frames.codes()))
     pairs = products.select("ic_catg_nm", "brand_nm").distinct()
     # Only products of the grid can be among its rows.
-    present = rolling.join(pairs, ["ic_catg_nm", "brand_nm"], "left_semi").groupBy("sold_to_nbr", *FRAME_KEYS).agg(
-        F.collect_set(F.struct("ic_catg_nm", "brand_nm")).alias("_present"),
-        F.max((F.col("corp_nm") == params.own_corp).cast("int")).alias("_own"))
-    catg = totals["catg"].groupBy("hier_type_cd", "sold_to_nbr", *FRAME_KEYS).agg(F.map_from_entries(
-        F.collect_list(F.struct("ic_catg_nm", F.struct("total_catg_sale_val", "total_catg_sale_yr_ago_val")))).alias("_catg"))
-    level = level.join(present, ["sold_to_nbr", *FRAME_KEYS], "left").join(
-        catg, ["hier_type_cd", "sold_to_nbr", *FRAME_KEYS], "left")
+    present = rolling.join(pairs, ["ic_catg_nm", "brand_nm"], "left_semi").groupBy(
+        "sold_to_nbr", *FRAME_KEYS, "ic_catg_nm", "brand_nm").agg(F.max((F.col("corp_nm") == params.own_corp).cast("int")).alias("_own"))
+    present = present.groupBy("sold_to_nbr", *FRAME_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.max("_own").alias("_own"))
+    level = level.join(present, ["sold_to_nbr", *FRAME_KEYS], "left")
     level = level.join(_competitor_stores(rolling, params), "sold_to_nbr", "left")
-    has_rows = (F.coalesce(F.size("_present"), F.lit(0)) < F.lit(pairs.count())) | (F.col("_own") == 1)
+    has_rows = (F.coalesce(F.col("_n"), F.lit(0)) < F.lit(pairs.count())) | (F.col("_own") == 1)
     zero = [F.coalesce(F.col(f"{p}_{m}"), F.lit(0)).alias(f"{p}_{m}") for p in ("store", "chain") for m in MEASURES]
     return level.select("hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr", *FRAME_KEYS, "src_nm", *zero,
-                        "_present", "_catg", "_has_cmp", has_rows.alias("_has_rows"))
+                        "_has_cmp", has_rows.alias("_has_rows"))
+
+
+def present_bitmaps(rolling: DataFrame, ordinals: DataFrame) -> DataFrame:
+    """sold_to_nbr, frame, _chunk, _bits: a bitmap of the chunk's products that have POS of any corporation.
+
+    One partial aggregation (a bitwise or); a store has rows for the chunks that it sells of.
+    """
+    return rolling.join(ordinals, ["ic_catg_nm", "brand_nm"]).groupBy("sold_to_nbr", *FRAME_KEYS, "_chunk").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bit").cast("int"))).alias("_bits"))
+
+
+def chunk_rows(level: DataFrame, bitmaps: DataFrame, catg_totals: DataFrame, chunks: DataFrame, n_chunks: int) -> DataFrame:
+    """Every store row with every chunk: the chunk's bitmap of present products and its category's totals.
+
+    What a store has is gathered once per store and frame, as maps from the chunk; a
+    chunk row takes its own entries along and nothing of the rest.
+    """
+    store = ["sold_to_nbr", *FRAME_KEYS]
+    bits = bitmaps.groupBy(*store).agg(F.map_from_entries(F.collect_list(F.struct("_chunk", "_bits"))).alias("_bit_map"))
+    sums = catg_totals.join(chunks.select("ic_catg_nm", "_chunk"), "ic_catg_nm").groupBy("hier_type_cd", *store).agg(F.map_from_entries(
+        F.collect_list(F.struct("_chunk", F.struct("total_catg_sale_val", "total_catg_sale_yr_ago_val")))).alias("_sum_map"))
+    rows = level.join(bits, store, "left").join(sums, ["hier_type_cd", *store], "left")
+    own = F.transform(F.sequence(F.lit(0), F.lit(n_chunks - 1)), lambda c: F.struct(
+        c.alias("chunk"), F.coalesce(F.element_at("_bit_map", c), F.lit(0).cast("bigint")).alias("bits"), F.element_at("_sum_map", c).alias("sums")))
+    # A fixed number of parts: the few store rows of a small input must not meet in one task before they multiply.
+    rows = rows.repartition(grid_partitions(rows.sparkSession), "sold_to_nbr").select(*level.columns, F.explode(own).alias("_c"))
+    return rows.select(*level.columns, F.col("_c.chunk").alias("_chunk"), F.col("_c.bits").alias("_bits"),
+                       *[F.col(f"_c.sums.{c}").alias(c) for c in ("total_catg_sale_val", "total_catg_sale_yr_ago_val")])
 
 
 def _competitor_stores(rolling: DataFrame, params: MartParams) -> DataFrame:
@@ -187,8 +234,8 @@ def pos_share_growth(spr_stores: DataFrame, products: DataFrame, frames: FrameSe
 
     Totals, ranks and counts are attached to the sparse rows and to one row per
     store and frame. The zero rows of the store x product grid come last, as a
-    projection of those store rows (each times the product chunks, less the
-    products it has POS of), so no grid row is ever shuffled, sorted or windowed.
+    projection of those store rows (each times the product chunks, whose bitmaps say
+    which products have POS), so no grid row is ever shuffled, sorted or windowed.
     """
     level = pos_ranked_level(level, ranks, spr_stores)
     extra = RANK_COLUMNS
@@ -207,17 +254,23 @@ def pos_share_growth(spr_stores: DataFrame, products: DataFrame, frames: FrameSe
           for c in ("total_catg_sale_val", "total_catg_sale_yr_ago_val")])
     rows = rows.join(ranks, RANK_KEYS, "left").join(chain_store_count(spr_stores), ["hier_type_cd", "chain_nbr"], "left")
 
-    chunks = materialize(chunked(products.select("ic_catg_nm", "brand_nm").distinct()), params)
-    dense = with_chunks(level, chunks, ["sold_to_nbr"])
-    absent = F.array_except("_members", F.coalesce(F.col("_present"), F.array().cast("array<struct<ic_catg_nm:string,brand_nm:string>>")))
-    dense = dense.withColumn("_p", F.explode(absent))
-    catg = F.col("_catg")[F.col("_p.ic_catg_nm")]
+    ordinals = materialize(product_ordinals(products), params)
+    chunks = materialize(product_chunks(ordinals), params)
+    n_chunks = chunks.count()
+    if n_chunks:
+        dense = meet_chunks(chunk_rows(level, present_bitmaps(rolling, ordinals), totals["catg"], chunks, n_chunks), chunks, ["sold_to_nbr"])
+        absent = F.filter("_members", lambda m: F.call_function("shiftright", F.col("_bits"), m["_bit"].cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 0)
+        dense = dense.withColumn("_brand", F.explode(F.transform(absent, lambda m: m["brand_nm"])))
+    else:
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ic_catg_nm", "string"), ("_brand", "string"),
+                   ("total_catg_sale_val", "decimal(38,6)"), ("total_catg_sale_yr_ago_val", "decimal(38,6)"))]
+        dense = level.filter(F.lit(False)).select("*", *nothing)
     measure_type = {f.name: f.dataType for f in sparse.schema.fields}
     dense = dense.select(
-        "hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr", F.col("_p.ic_catg_nm").alias("ic_catg_nm"),
-        F.col("_p.brand_nm").alias("brand_nm"), *FRAME_KEYS, *[F.lit(0).cast(measure_type[m]).alias(m) for m in MEASURES],
+        "hier_type_cd", "corp_nm", "sold_to_nbr", "chain_nbr", "ic_catg_nm", F.col("_brand").alias("brand_nm"),
+        *FRAME_KEYS, *[F.lit(0).cast(measure_type[m]).alias(m) for m in MEASURES],
         "src_nm", "_has_cmp", *[f"{p}_{m}" for p in ("store", "chain") for m in MEASURES],
-        *[F.coalesce(catg[c], F.lit(0)).alias(c) for c in ("total_catg_sale_val", "total_catg_sale_yr_ago_val")], *extra)
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("total_catg_sale_val", "total_catg_sale_yr_ago_val")], *extra)
     f = rows.select(*dense.columns).unionByName(dense)
 
     def cat_share(v: str, t: str):

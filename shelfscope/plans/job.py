@@ -317,7 +317,7 @@ class MartJob:
     @cached_property
     def drv_matrix(self) -> DataFrame:
         """The whole matrix (P41); the mart needs its EVENTS rows only."""
-        return drivers.driver_matrix(self.drv_store_lists, self.drv_chain_lists, self.drv_active)
+        return drivers.driver_matrix(self.drv_store_lists, self.drv_chain_lists, self.drv_active, self.params)
 
     @cached_property
     def drv_event_facts(self) -> DataFrame:

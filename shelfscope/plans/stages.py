@@ -83,19 +83,23 @@ def chunked(dim: DataFrame) -> DataFrame:
         F.collect_list(member).alias("_members"))
 
 
-def with_chunks(left: DataFrame, chunks: DataFrame, spread_by) -> DataFrame:
-    """Every row of ``left`` with every chunk, as an equi-join on (chunk, salt).
+def meet_chunks(rows: DataFrame, chunks: DataFrame, spread_by) -> DataFrame:
+    """Rows that carry a chunk's number with that chunk, as an equi-join on (chunk, salt).
 
-    The left side carries the chunk numbers, the chunk side is repeated for each
-    salt, so neither a hot chunk nor a large left side meets in one task.
+    The chunk side is repeated for each salt, so neither a hot chunk nor a large row
+    side meets in one task.
     """
-    spark = left.sparkSession
-    salts = grid_partitions(spark)
-    n = chunks.agg(F.max("_chunk")).first()[0] or 0
-    left = left.repartition(salts, *spread_by).withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    left = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n))))
+    salts = grid_partitions(rows.sparkSession)
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     right = chunks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, ["_chunk", "_salt"]).drop("_chunk", "_salt")
+    return rows.join(right, ["_chunk", "_salt"]).drop("_chunk", "_salt")
+
+
+def with_chunks(left: DataFrame, chunks: DataFrame, spread_by) -> DataFrame:
+    """Every row of ``left`` with every chunk."""
+    n = chunks.agg(F.max("_chunk")).first()[0] or 0
+    left = left.repartition(grid_partitions(left.sparkSession), *spread_by)
+    return meet_chunks(left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n)))), chunks, spread_by)
 
 
 def densify(left: DataFrame, dim: DataFrame, spread_by) -> DataFrame:

@@ -71,7 +71,7 @@ def test_grid_rows_are_never_shuffled_or_windowed(spark, threshold):
     p = p.split("Initial Plan")[0]
     assert "isFinalPlan=true" in p and "Window" not in p
     lines = p.splitlines()
-    at = [i for i, x in enumerate(lines) if "Generate explode(array_except" in x]
+    at = [i for i, x in enumerate(lines) if "Generate explode(transform(filter(_members" in x]
     assert at
     for i in at:
         depth, above = lines[i].find("Generate"), []
@@ -202,3 +202,43 @@ def test_shipments_partitioned_by_year_are_pruned(spark, scratch, parquet_job):
     p = plan(shipment.shipment_detail(facts, j.src.cal_wk, j.cust_hier, j.matrl_hier, j.pos_frames))
     parts = re.findall(r"PartitionFilters: \[([^\]]*)\]", p)
     assert any("fisc_yr" in x for x in parts)
+
+
+def test_hot_keys_are_dealt_by_their_own_number_of_rows(spark, monkeypatch):
+    """A key with a third of all rows spreads over more than 8 tasks; small keys are not repeated."""
+    from pyspark.sql import functions as F
+
+    from shelfscope.plans import stages
+
+    monkeypatch.setattr(stages, "ROWS_PER_SALT", 100)
+    many = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("k"), "id")
+    many = many.unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
+    few = many.where("id >= 0").select("k").distinct().withColumn("v", F.length("k")).withColumn("r", F.explode(F.array(F.lit(1), F.lit(2))))
+    params = adapter_params()
+    salts = {r["k"]: r["_salts"] for r in stages.key_salts(many, ["k"], 100).collect()}
+    assert salts == {"hot": 20}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        out = stages.salted_join(many, few, ["k"], ["id"], params)
+        tasks = out.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert out.exceptAll(many.join(few, "k").select(*out.columns)).count() == 0 and out.count() == 12_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert tasks > 8
+
+
+def test_driver_lists_have_no_window_over_the_dense_rows(spark):
+    from shelfscope.plans.queries import job_for
+    from shelfscope.operators import drivers
+
+    j = job_for(spark, SF)
+    p = plan(drivers.store_category_lists(j.drv_individual, j.drv_active, j.drv_event_cats))
+    assert "Window" not in p
+    p = plan(drivers.driver_summary(j.drv_store_facts, j.drv_chain_facts, j.drv_store_level, j.drv_chain_level))
+    joins = [x for x in p.splitlines() if "Join" in x and "_list" in x]
+    assert joins and "CartesianProduct" not in p

@@ -202,7 +202,7 @@ def test_chain_facts_of_a_hot_chain_equal_the_matrix_sums(spark):
     active = spark.createDataFrame([x for i, x in enumerate(cells) if i % 4], keys)
     lists = drivers.store_category_lists(indiv, active, drivers.event_categories(active))
     chains = drivers.chain_lists(lists)
-    matrix = drivers.driver_matrix(lists, chains, active)
+    matrix = drivers.driver_matrix(lists, chains, active, P)
     oos = spark.createDataFrame([("L4W", k, s, i % 5, i % 3, src) for src in "xy" for i, (s, _) in enumerate(stores) for k in ("a", "c")],
                                 "tmfrm_cd string, catg_nm string, sold_to_nbr string, oos_alert_cnt bigint, visit_cnt bigint, src string")
     measures = ", ".join(f"{c} decimal(18,2)" for c in drivers.POS_MEASURES)
