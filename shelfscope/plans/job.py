@@ -2,7 +2,7 @@
 
 ``MartJob`` holds the source tables and parameters; each stage is a cached
 property, so a stage read by several metric families is defined and written
-exactly once.
+exactly once, also when families are built side by side.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import uuid
-from functools import cached_property, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelfscope.operators import calendar, drivers, key_brand, mart, masters, pos, shipment, visits
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
-from shelfscope.plans.stages import drop_stages, materialize
+from shelfscope.plans.stages import Shared, drop_stages, materialize, shared_property, side_by_side
 from shelfscope.sources.martstore import Manifest, latest, publish_families, publish_family
 from shelfscope.sources.schemas import to_mart_rows
 from shelfscope.sources.tables import SourceTables, read_sources
@@ -34,8 +34,9 @@ def run_mart(spark: SparkSession, run_date: dt.date, source_root: str, target: s
     MartJob(spark, read_sources(spark, source_root), p).run(target)
 
 
-class MartJob:
+class MartJob(Shared):
     def __init__(self, spark: SparkSession, sources: SourceTables, params: MartParams):
+        super().__init__()
         self.spark = spark
         self.src = sources
         if params.run_id == "adhoc":
@@ -55,8 +56,13 @@ class MartJob:
         finally:
             self.drop_stages()
 
+    def make_stages(self) -> None:
+        """Make the stages of all families, those that do not depend on each other side by side."""
+        side_by_side([lambda f=f: (self.family_rows(f), self.family_totals(f)) for f in ("POS", "DRIVERS", "SHP", "KEY_BRAND", "POS_WEEKLY", "POS_CATG_AMPS")])
+
     def publish(self, target: str, base: Manifest | None = None) -> Manifest:
         """Write every family once, with its category totals, and publish them together."""
+        self.make_stages()
         return publish_families(self.spark, target, {k: self.stored(k) for k in mart.FAMILIES},
                                 {k: self.family_totals(k) for k in mart.FAMILIES}, base)
 
@@ -71,12 +77,12 @@ class MartJob:
         drop_stages(self.spark, self.params)
 
     # ---- calendar -------------------------------------------------------------------
-    @cached_property
+    @shared_property
     def cal_day(self) -> DataFrame:
         """The day calendar, read by the run-date resolver, every frame and the visit join."""
         return materialize(self.src.cal_day, self.params)
 
-    @cached_property
+    @shared_property
     def run_dates(self):
         return calendar.resolve_run_dates(self.cal_day, self.params)
 
@@ -88,271 +94,271 @@ class MartJob:
     def psd_run_dt(self):
         return self.run_dates[1]
 
-    @cached_property
+    @shared_property
     def pos_frames_df(self) -> DataFrame:
         return calendar.period_frames(self.cal_day, self.pos_run_dt)
 
-    @cached_property
+    @shared_property
     def pos_weekly_frames_df(self) -> DataFrame:
         return calendar.weekly_frames(self.cal_day, self.pos_run_dt)
 
-    @cached_property
+    @shared_property
     def psd_frames_df(self) -> DataFrame:
         return calendar.period_frames(self.cal_day, self.psd_run_dt)
 
-    @cached_property
+    @shared_property
     def pos_frames(self) -> FrameSet:
         return FrameSet.collect(self.pos_frames_df)
 
-    @cached_property
+    @shared_property
     def pos_weekly_frames(self) -> FrameSet:
         return FrameSet.collect(self.pos_weekly_frames_df)
 
-    @cached_property
+    @shared_property
     def psd_frames(self) -> FrameSet:
         return FrameSet.collect(self.psd_frames_df)
 
     # ---- masters --------------------------------------------------------------------
-    @cached_property
+    @shared_property
     def all_stores(self) -> DataFrame:
         return masters.all_stores(self.src.cust_pivot, self.src.src_pref)
 
-    @cached_property
+    @shared_property
     def spr_stores(self) -> DataFrame:
         return materialize(masters.store_hierarchy(self.all_stores), self.params)
 
-    @cached_property
+    @shared_property
     def covered_stores(self) -> DataFrame:
         return self.spr_stores.filter(F.col("hier_type_cd") == HIER_COVERED)
 
-    @cached_property
+    @shared_property
     def products(self) -> DataFrame:
         return materialize(masters.product_master(self.src.prod_gtin), self.params)
 
-    @cached_property
+    @shared_property
     def store_product_grid(self) -> DataFrame:
         return masters.store_product_grid(self.spr_stores, self.products)
 
-    @cached_property
+    @shared_property
     def grid_catgs(self) -> DataFrame:
         return masters.grid_categories(self.products)
 
     # ---- POS ------------------------------------------------------------------------
-    @cached_property
+    @shared_property
     def pos_base(self) -> DataFrame:
         frames = self.pos_frames + self.pos_weekly_frames
         return materialize(pos.pos_base(self.src.pos_weekly, frames, self.spr_stores), self.params)
 
-    @cached_property
+    @shared_property
     def pos_ic(self) -> DataFrame:
         frames = self.pos_frames + self.pos_weekly_frames
         return materialize(pos.pos_rollup_ic(self.pos_base, frames, self.grid_catgs, self.params), self.params)
 
-    @cached_property
+    @shared_property
     def pos_plain(self) -> DataFrame:
         return materialize(pos.pos_rollup_plain(self.pos_base, self.pos_frames, self.grid_catgs), self.params)
 
-    @cached_property
+    @shared_property
     def pos_sparse(self) -> DataFrame:
         return materialize(pos.pos_sparse_facts(self.spr_stores, self.products, self.pos_frames, self.pos_ic,
                                                 self.params), self.params)
 
-    @cached_property
+    @shared_property
     def pos_totals(self) -> dict[str, DataFrame]:
         return {k: materialize(v, self.params) for k, v in pos.pos_totals(self.pos_sparse).items()}
 
-    @cached_property
+    @shared_property
     def pos_store_level(self) -> DataFrame:
         return materialize(pos.pos_store_level(self.spr_stores, self.products, self.pos_frames, self.pos_ic,
                                                self.pos_sparse, self.pos_totals, self.params), self.params)
 
-    @cached_property
+    @shared_property
     def pos_ranks(self) -> DataFrame:
         return pos.pos_chain_rank(self.pos_store_level, self.pos_sparse, self.pos_totals, self.params)
 
-    @cached_property
+    @shared_property
     def pos_metrics(self) -> DataFrame:
         return pos.pos_share_growth(self.spr_stores, self.products, self.pos_frames, self.pos_ic, self.pos_sparse,
                                     self.pos_totals, self.pos_store_level, self.pos_ranks, self.params)
 
-    @cached_property
+    @shared_property
     def pos_facts(self) -> DataFrame:
         return self.pos_metrics.select(*pos.FACT_COLUMNS)
 
-    @cached_property
+    @shared_property
     def pos_placeholders(self) -> DataFrame:
         return pos.pos_placeholder_rows(self.spr_stores, self.pos_frames, self.params)
 
-    @cached_property
+    @shared_property
     def pos_final(self) -> DataFrame:
         return pos.pos_summary_rows(self.pos_metrics, self.pos_placeholders, self.pos_ranks, self.spr_stores)
 
-    @cached_property
+    @shared_property
     def pos_rows(self) -> DataFrame:
         return pos.pos_summary_emit(self.pos_final)
 
-    @cached_property
+    @shared_property
     def pos_weekly_rows(self) -> DataFrame:
         return pos.pos_weekly_rows(self.spr_stores, self.products, self.pos_weekly_frames,
                                    self.pos_ic, self.params)
 
-    @cached_property
+    @shared_property
     def category_share(self) -> DataFrame:
         return pos.category_share(self.pos_plain, self.spr_stores, self.pos_frames, self.params)
 
-    @cached_property
+    @shared_property
     def category_share_rows(self) -> DataFrame:
         return pos.category_share_emit(self.category_share)
 
     # ---- shipments ------------------------------------------------------------------
-    @cached_property
+    @shared_property
     def matrl_hier(self) -> DataFrame:
         return shipment.material_hierarchy(self.src.prod_matrl)
 
-    @cached_property
+    @shared_property
     def cust_hier(self) -> DataFrame:
         return shipment.customer_hierarchy(self.src.cust_pivot)
 
-    @cached_property
+    @shared_property
     def shipment_detail(self) -> DataFrame:
         return materialize(shipment.shipment_detail(
             self.src.shipments, self.src.cal_wk, self.cust_hier, self.matrl_hier, self.pos_frames),
             self.params)
 
-    @cached_property
+    @shared_property
     def shipment_current(self) -> DataFrame:
         return shipment.shipment_current(self.shipment_detail, self.pos_frames)
 
-    @cached_property
+    @shared_property
     def shipment_year_ago(self) -> DataFrame:
         return shipment.shipment_year_ago(self.shipment_detail, self.pos_frames, self.params)
 
-    @cached_property
+    @shared_property
     def shipment_plan_level(self) -> DataFrame:
         return materialize(shipment.shipment_plan_level(
             self.covered_stores, self.matrl_hier, self.shipment_current, self.shipment_year_ago,
             self.pos_frames), self.params)
 
-    @cached_property
+    @shared_property
     def shipment_summary(self) -> DataFrame:
         return shipment.shipment_summary(self.covered_stores, self.shipment_plan_level, self.params)
 
-    @cached_property
+    @shared_property
     def shipment_rows(self) -> DataFrame:
         return shipment.shipment_emit(self.shipment_summary)
 
     # ---- key brands -----------------------------------------------------------------
-    @cached_property
+    @shared_property
     def key_brand_base(self) -> DataFrame:
         return key_brand.key_brand_base(self.spr_stores, self.products, self.pos_frames, self.pos_ic,
                                         self.params)
 
-    @cached_property
+    @shared_property
     def key_brand_metrics(self) -> DataFrame:
         return materialize(key_brand.key_brand_metrics(self.key_brand_base, self.params), self.params)
 
-    @cached_property
+    @shared_property
     def key_brand_ranked(self) -> DataFrame:
         return key_brand.key_brand_chain_rank(self.key_brand_metrics, self.params)
 
-    @cached_property
+    @shared_property
     def key_brand_rows(self) -> DataFrame:
         return key_brand.key_brand_emit(self.key_brand_ranked, self.spr_stores)
 
     # ---- visits and priorities ------------------------------------------------------
-    @cached_property
+    @shared_property
     def visit_detail(self) -> DataFrame:
         return materialize(visits.visit_audit_detail(
             self.src.visit_audit, self.cal_day, self.src.prod_matrl, self.covered_stores,
             self.psd_frames), self.params)
 
-    @cached_property
+    @shared_property
     def latest_visits(self) -> DataFrame:
         return visits.latest_visits(self.visit_detail)
 
-    @cached_property
+    @shared_property
     def oos(self) -> DataFrame:
         return materialize(visits.oos_summary(self.visit_detail, self.psd_frames), self.params)
 
-    @cached_property
+    @shared_property
     def visit_priority(self) -> DataFrame:
         return visits.priority_latest(self.src.priority_stat, self.latest_visits, self.psd_frames,
                                       self.covered_stores)
 
-    @cached_property
+    @shared_property
     def priority_weeks(self) -> DataFrame:
         return visits.priority_weeks(self.visit_priority, self.latest_visits)
 
-    @cached_property
+    @shared_property
     def priority_rollup(self) -> DataFrame:
         return visits.priority_rollup(self.priority_weeks)
 
-    @cached_property
+    @shared_property
     def events(self) -> DataFrame:
         return materialize(visits.events_split(self.priority_rollup, self.params.priority_max_parts), self.params)
 
     # ---- drivers --------------------------------------------------------------------
-    @cached_property
+    @shared_property
     def drv_individual(self) -> DataFrame:
         return drivers.individual_categories(self.covered_stores, self.products, self.psd_frames)
 
-    @cached_property
+    @shared_property
     def drv_active(self) -> DataFrame:
         return materialize(drivers.active_categories(
             self.drv_individual, self.events, self.oos, self.pos_plain, self.params), self.params)
 
-    @cached_property
+    @shared_property
     def drv_event_cats(self) -> DataFrame:
         return drivers.event_categories(self.drv_active)
 
-    @cached_property
+    @shared_property
     def drv_store_lists(self) -> DataFrame:
         return materialize(drivers.store_category_lists(self.drv_individual, self.drv_active,
                                                         self.drv_event_cats), self.params)
 
-    @cached_property
+    @shared_property
     def drv_chain_lists(self) -> DataFrame:
         return materialize(drivers.chain_lists(self.drv_store_lists), self.params)
 
-    @cached_property
+    @shared_property
     def drv_matrix(self) -> DataFrame:
         """The whole matrix (P41); the mart needs its EVENTS rows only."""
         return drivers.driver_matrix(self.drv_store_lists, self.drv_chain_lists, self.drv_active, self.params)
 
-    @cached_property
+    @shared_property
     def drv_event_facts(self) -> DataFrame:
         # The matrix is not materialised: the EVENTS filter reaches its three inputs.
         return drivers.event_facts(self.drv_matrix, self.events)
 
-    @cached_property
+    @shared_property
     def drv_store_facts(self) -> DataFrame:
         return materialize(drivers.store_facts(
             self.drv_store_lists, self.drv_chain_lists, self.drv_active, self.drv_event_facts, self.oos,
             self.pos_plain, self.params), self.params)
 
-    @cached_property
+    @shared_property
     def drv_chain_facts(self) -> DataFrame:
         return drivers.chain_facts(self.drv_store_facts)
 
-    @cached_property
+    @shared_property
     def drv_store_level(self) -> DataFrame:
         return drivers.store_level(self.drv_store_facts)
 
-    @cached_property
+    @shared_property
     def drv_chain_level(self) -> DataFrame:
         return drivers.chain_level(self.drv_store_level)
 
-    @cached_property
+    @shared_property
     def drv_summary(self) -> DataFrame:
         return drivers.driver_summary(self.drv_store_facts, self.drv_chain_facts, self.drv_store_level,
                                       self.drv_chain_level)
 
-    @cached_property
+    @shared_property
     def driver_rows(self) -> DataFrame:
         return drivers.driver_emit(self.drv_summary)
 
     # ---- mart -----------------------------------------------------------------------
-    @cached_property
+    @shared_property
     def sparse_families(self) -> dict[str, DataFrame]:
         """The families that have rows where there is activity only: stage tables, read for
         their rows and for their totals."""
@@ -379,7 +385,7 @@ class MartJob:
             return mart.zero_totals(self.location_rows.select(F.lit(None).cast("string").alias("catg_nm")).limit(0))
         return mart.category_totals(self.sparse_families[family])
 
-    @cached_property
+    @shared_property
     def store_attributes(self) -> DataFrame:
         return materialize(mart.store_attributes(self.spr_stores), self.params)
 
@@ -394,31 +400,32 @@ class MartJob:
     def metric_families(self) -> list[str]:
         return [f for f in mart.FAMILIES if f != "POS_LOCATION"]
 
-    @cached_property
+    @shared_property
     def empty_categories(self) -> DataFrame:
         totals = reduce(lambda a, b: a.unionByName(b), [self.family_totals(f) for f in self.metric_families])
         return materialize(mart.empty_of_totals(totals), self.params)
 
-    @cached_property
+    @shared_property
     def mart_union(self) -> DataFrame:
         return mart.mart_union([self.family_rows(f) for f in self.metric_families])
 
-    @cached_property
+    @shared_property
     def mart_pruned(self) -> DataFrame:
         return mart.prune_empty_categories(self.mart_union, self.empty_categories)
 
-    @cached_property
+    @shared_property
     def location_rows(self) -> DataFrame:
         return mart.location_rows(self.spr_stores, self.params)
 
-    @cached_property
+    @shared_property
     def mart_enriched(self) -> DataFrame:
         rows = mart.drop_blank_store_rows(self.mart_pruned).unionByName(to_mart_rows(self.location_rows))
         return mart.enrich_with_store(rows, self.spr_stores, self.params, self.store_attributes)
 
-    @cached_property
+    @shared_property
     def mart_final(self) -> DataFrame:
         """The whole mart in one plan: every family finished on its own, then the union."""
+        self.make_stages()
         parts = [mart.finish_family(mart.drop_blank_store_rows(self.family_rows(f)), self.spr_stores, self.store_attributes,
                                     self.pos_run_dt, self.params, self.empty_categories) for f in self.metric_families]
         parts.append(mart.finish_family(self.location_rows, self.spr_stores, self.store_attributes, self.pos_run_dt, self.params))
@@ -433,5 +440,4 @@ class _Stages(dict):
         self.job, self.attributes = job, attributes
 
     def __missing__(self, family: str) -> DataFrame:
-        self[family] = materialize(getattr(self.job, self.attributes[family]), self.job.params)
-        return self[family]
+        return self.job.once(self, family, lambda: materialize(getattr(self.job, self.attributes[family]), self.job.params))

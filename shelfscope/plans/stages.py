@@ -11,7 +11,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +74,48 @@ def salted_join(many: DataFrame, few: DataFrame, keys: list[str], spread_by: lis
     return dealt.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
+#: Jobs that are submitted side by side; Spark shares its tasks' slots out among them.
+SIDE_BY_SIDE = 4
+
+
+class Shared:
+    """Base of objects whose stages are made once, also when several threads ask for them."""
+
+    def __init__(self):
+        self._locks: dict[str, threading.RLock] = {}
+        self._guard = threading.Lock()
+
+    def once(self, held: dict, name: str, make: Callable):
+        if name not in held:
+            with self._guard:
+                lock = self._locks.setdefault(name, threading.RLock())
+            # Stages form a DAG, so a thread never waits for one that waits for it.
+            with lock:
+                if name not in held:
+                    held[name] = make()
+        return held[name]
+
+
+class shared_property:
+    """A cached property of a ``Shared`` object."""
+
+    def __init__(self, make: Callable):
+        self.make, self.__doc__ = make, make.__doc__
+
+    def __set_name__(self, owner, name: str):
+        self.name = name
+
+    def __get__(self, obj, owner=None):
+        return self if obj is None else obj.once(obj.__dict__, self.name, lambda: self.make(obj))
+
+
+def side_by_side(tasks: Iterable[Callable]) -> list:
+    """Results of the callables, which may run Spark jobs, in order; the first error is raised after all have ended."""
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        futures = [pool.submit(t) for t in tasks]
+    return [f.result() for f in futures]
+
+
 def grid_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

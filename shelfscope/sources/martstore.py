@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.operators.mart import PRUNE_KEY, TOTALS, empty_of_totals
+from shelfscope.plans.stages import side_by_side
 from shelfscope.sources.schemas import MART_COLUMNS, empty_mart, mart_struct
 from shelfscope.sources.tables import CATALOG
 
@@ -193,9 +194,9 @@ def publish_families(spark: SparkSession, target: str, families: dict[str, DataF
     since, nothing changes and ``PublishConflict`` is raised.
     """
     base = latest(spark, target) if base is None else base
-    places = {k: write_rows(df, target, k) for k, df in families.items()}
-    sums = {k: write_rows(df, target, f"{k}_totals") for k, df in totals.items()}
-    return commit(spark, target, base, places, sums, retain)
+    jobs = [(df, k) for k, df in families.items()] + [(df, f"{k}_totals") for k, df in totals.items()]
+    written = side_by_side([lambda df=df, name=name: write_rows(df, target, name) for df, name in jobs])
+    return commit(spark, target, base, dict(zip(families, written)), dict(zip(totals, written[len(families):])), retain)
 
 
 def publish_family(spark: SparkSession, target: str, family: str, rows: DataFrame, totals: DataFrame, retain: int = RETAIN, tries: int = 5) -> Manifest:
