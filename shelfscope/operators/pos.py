@@ -46,13 +46,31 @@ def _sums():
 BASE_KEYS = ["fisc_yr_wk", "sold_to_nbr", "chain_nbr", "catg_nm", "brand_nm", "corp_nm", "src_nm"]
 
 
+def _immediate():
+    return F.coalesce(is_filled("immed_cnsmptn_prod_type_cd"), F.lit(False)).alias("ic_ind")
+
+
+def week_rollup(pos: DataFrame) -> DataFrame:
+    """POS by week, store, category, brand, corporation, source and immediate-consumption flag.
+
+    It depends on the fact alone (no frame, no store list), so a week's roll-up holds
+    until the week's fact rows change.
+    """
+    pos = pos.filter(~F.col("plan_to_nbr").isin(*EXCLUDED_POS_PLAN_TOS))
+    return pos.groupBy(*[k for k in BASE_KEYS if k != "chain_nbr"], _immediate()).agg(*_sums())
+
+
 def pos_base(pos: DataFrame, frames: FrameSet, spr_stores: DataFrame) -> DataFrame:
     """POS by week, non-covered store, category, brand, corporation, source and
-    immediate-consumption flag: the one scan of the weekly fact that both roll-ups start from."""
+    immediate-consumption flag: the one scan of the weekly fact that both roll-ups start from.
+
+    ``pos`` is the fact or its kept week roll-ups.
+    """
     lo, hi = frames.week_bounds()
-    pos = pos.filter(F.col("fisc_yr_wk").between(F.lit(lo), F.lit(hi)) & ~F.col("plan_to_nbr").isin(*EXCLUDED_POS_PLAN_TOS))
-    ic = F.coalesce(is_filled("immed_cnsmptn_prod_type_cd"), F.lit(False)).alias("ic_ind")
-    return pos.join(_non_covered_stores(spr_stores), "sold_to_nbr").groupBy(*BASE_KEYS, ic).agg(*_sums())
+    pos = pos.filter(F.col("fisc_yr_wk").between(F.lit(lo), F.lit(hi)))
+    if "ic_ind" not in pos.columns:
+        pos = pos.filter(~F.col("plan_to_nbr").isin(*EXCLUDED_POS_PLAN_TOS)).withColumn("ic_ind", _immediate())
+    return pos.join(_non_covered_stores(spr_stores), "sold_to_nbr").groupBy(*BASE_KEYS, "ic_ind").agg(*_sums())
 
 
 def _framed(kept: DataFrame, frames: FrameSet, keys: list) -> DataFrame:

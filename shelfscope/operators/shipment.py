@@ -57,9 +57,11 @@ def shipment_detail(shipments: DataFrame, cal_wk: DataFrame, cust_hier: DataFram
     else:
         weeks = weeks.filter(F.lit(False))
     s = shipments.filter(F.col("sales_org_cd") == SALES_ORG)
-    # The fiscal years of those weeks (as many as the date range has) as a literal filter on
-    # the fact, so a fact partitioned by fiscal year is pruned; the join stays the exact test.
-    s = s.filter(F.col("fisc_yr").cast("int").isin([r["_yr"] for r in weeks.select("_yr").distinct().collect()]))
+    # The fiscal years and weeks of the range (as many as it has) as literal filters on the
+    # fact, so a fact partitioned by them is pruned; the join stays the exact test.
+    held = [(r["_yr"], r["_wk"]) for r in weeks.select("_yr", "_wk").distinct().collect()]
+    year, week = F.col("fisc_yr").cast("int"), F.col("fisc_wk").cast("int")
+    s = s.filter(year.isin(sorted({y for y, _ in held})) & (year * 100 + week).isin(sorted({y * 100 + w for y, w in held})))
     j = (
         s.join(weeks, (F.col("fisc_yr").cast("int") == F.col("_yr"))
                & (F.col("fisc_wk").cast("int") == F.col("_wk")))

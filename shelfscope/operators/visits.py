@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfscope.functions.columns import not_in_upper, not_like_upper
 from shelfscope.operators.calendar import FrameSet
+from shelfscope.sources.tables import VISIT_DAY
 from shelfscope.sources.schemas import TS
 from shelfscope.params import (
     EXCLUDED_CATG_CODES, OOS_ALERT_VALUES, PRIORITY_BLOCKED, PRIORITY_BLOCKED_PATTERN,
@@ -44,6 +45,8 @@ def visit_audit_detail(audit: DataFrame, cal_day: DataFrame, prod_matrl: DataFra
         t = F.col("actl_start_dt_time")
         audit = audit.filter((t >= F.lit(span["lo"]).cast(TS))
                              & (t < F.lit(span["hi"] + dt.timedelta(days=1)).cast(TS)))
+        if VISIT_DAY in audit.columns:  # a fact laid out by day: only these days' partitions are opened
+            audit = audit.filter(F.col(VISIT_DAY).between(F.lit(span["lo"]), F.lit(span["hi"])))
     a = audit.withColumn("_day", F.to_date("actl_start_dt_time")).withColumn(
         "_matrl", F.lpad("prod_pack_extrnl_nbr", 18, "0"))
     j = (

@@ -19,24 +19,29 @@ from shelfscope.operators import calendar, drivers, key_brand, mart, masters, po
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
 from shelfscope.plans.stages import Shared, drop_stages, materialize, shared_property, side_by_side
+from shelfscope.sources.layout import WeekStore
 from shelfscope.sources.martstore import Manifest, latest, publish_families, publish_family
 from shelfscope.sources.schemas import to_mart_rows
 from shelfscope.sources.tables import SourceTables, read_sources
 
 
-def run_mart(spark: SparkSession, run_date: dt.date, source_root: str, target: str, **params) -> None:
+def run_mart(spark: SparkSession, run_date: dt.date, source_root: str, target: str, week_store: str | None = None, **params) -> None:
     """The production entry: one run date for POS and visits, sources and target by name.
 
     ``source_root`` is a folder of Parquet tables or a catalog database
     (``catalog:<database>``); ``target`` a folder or a table (``catalog:<table>``).
+    ``week_store`` names a folder of week roll-ups kept between runs, for sources
+    whose POS fact is partitioned by week: only new and revised weeks are scanned.
     """
     p = MartParams(pos_run_date=run_date, visit_run_date=run_date, **params)
-    MartJob(spark, read_sources(spark, source_root), p).run(target)
+    weeks = WeekStore(spark, f"{source_root}/pos_weekly", week_store) if week_store else None
+    MartJob(spark, read_sources(spark, source_root), p, weeks).run(target)
 
 
 class MartJob(Shared):
-    def __init__(self, spark: SparkSession, sources: SourceTables, params: MartParams):
+    def __init__(self, spark: SparkSession, sources: SourceTables, params: MartParams, weeks: WeekStore | None = None):
         super().__init__()
+        self.weeks = weeks
         self.spark = spark
         self.src = sources
         if params.run_id == "adhoc":
@@ -147,7 +152,8 @@ class MartJob(Shared):
     @shared_property
     def pos_base(self) -> DataFrame:
         frames = self.pos_frames + self.pos_weekly_frames
-        return materialize(pos.pos_base(self.src.pos_weekly, frames, self.spr_stores), self.params)
+        fact = self.weeks.rollups(*frames.week_bounds()) if self.weeks else self.src.pos_weekly
+        return materialize(pos.pos_base(fact, frames, self.spr_stores), self.params)
 
     @shared_property
     def pos_ic(self) -> DataFrame:

@@ -177,6 +177,13 @@ def write_rows(df: DataFrame, target: str, family: str) -> str:
     return name
 
 
+def write_place(df: DataFrame, target: str, name: str, by: list[str]) -> str:
+    """Write rows to a new folder of ``target``, partitioned; returns its name."""
+    place = f"{name}_{uuid.uuid4().hex}"
+    df.hint("rebalance", *[F.col(c) for c in by]).write.partitionBy(*by).parquet(f"{target}/{place}")
+    return place
+
+
 def _rows(spark: SparkSession, target: str, place: str, ddl: str) -> DataFrame:
     if target.startswith(CATALOG):
         return spark.table(place)
