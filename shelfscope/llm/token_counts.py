@@ -7,9 +7,12 @@ back, a revision takes the old one back and adds the new count. Totals are the
 sum of all committed batches.
 
 A batch is committed under its id. Its deltas and entries are written to a new
-folder first; the commit is one small marker file, created only if it is not
-there. A batch that is committed already changes nothing when it runs again, and
-one that failed half way leaves folders without a marker, which nobody reads.
+folder first; the commit is one small file, named by the commit's number alone and
+created only if there is none, so of two writers that saw the same state one gets
+the number. The other looks again: where the winner committed its batch it is done,
+else it works its deltas out anew (its texts stay counted). A batch that is
+committed already changes nothing when it runs again, and one that failed half way
+leaves folders that no commit names and nobody reads.
 
 Defined results
 ---------------
@@ -23,12 +26,13 @@ Defined results
 
 Scale
 -----
-Texts are tokenised in Arrow batches in one pass; the rest are aggregations and
+Texts are tokenised once per version, in Arrow batches; the counts are a stage table; the rest are aggregations and
 joins on (doc_id, version), whose entries are 40 bytes. Totals are partial sums.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,8 +42,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.llm.common import documents, stage, stage_root
+from shelfscope.sources.martstore import create_once
 
-VERSIONS = {"byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.tiktoken"}
+VERSIONS = {n: f"/opt/tokenizers/{n}.tiktoken" for n in ("byte_bpe_50k", "byte_bpe_multi_50k")}
 ENTRY = "doc_id long, version string, source string, lang string, n_tokens long, batch_no long, live boolean"
 DELTA = "source string, lang string, version string, n_docs long, n_tokens long"
 
@@ -87,12 +92,24 @@ class Rollup:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _committed(self) -> list[tuple[int, str, str]]:
-        """(number, batch id, data folder) of each commit, in order."""
+        """(number, batch id, data folder) of each commit, in order; a file without whole content is none."""
         log = self._path(f"{self.path}/commits")
         if not self._fs.exists(log):
             return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(log)]
-        return sorted((int(n.split("~")[0]), n.split("~")[1], n.split("~")[2]) for n in names if n.count("~") == 2)
+        out = []
+        for s in self._fs.listStatus(log):
+            if s.getPath().getName().isdigit():
+                text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(self._fs.open(s.getPath()), "UTF-8")
+                if text.endswith("}"):
+                    held = json.loads(text)
+                    out.append((int(s.getPath().getName()), held["batch"], held["folder"]))
+        return sorted(out)
+
+    def _next_number(self) -> int:
+        """The number after all that are taken, also by writers that died before their content was there."""
+        log = self._path(f"{self.path}/commits")
+        taken = [int(s.getPath().getName()) for s in self._fs.listStatus(log) if s.getPath().getName().isdigit()] if self._fs.exists(log) else []
+        return max(taken, default=-1) + 1
 
     def _read(self, kind: str, schema: str) -> DataFrame:
         folders = [f"{self.path}/{kind}/{folder}" for _, _, folder in self._committed()]
@@ -110,18 +127,24 @@ class Rollup:
 
     def apply(self, batch_id: str, changes: DataFrame, versions: dict[str, str]) -> bool:
         """Commit ``changes`` (doc_id, op in insert/revise/delete, source, lang, text); False if the id is there already."""
-        if "~" in batch_id or "/" in batch_id:
-            raise ValueError("a batch id holds neither ~ nor /")
-        done = self._committed()
-        if any(b == batch_id for _, b, _ in done):
-            return False
-        number = done[-1][0] + 1 if done else 0
-        folder = f"{number}-{uuid.uuid4().hex}"
-        counted = count_tokens(changes, versions)
+        counted = None
+        while True:
+            number, done = self._next_number(), self._committed()
+            if any(b == batch_id for _, b, _ in done):
+                return False
+            if counted is None:  # each text is counted once, whatever reads the counts
+                counted = stage(count_tokens(changes, versions), "rollup-counted")
+            folder = f"{number}-{uuid.uuid4().hex}"
+            self._write(counted, folder, number, bool(done))
+            if create_once(self.spark, f"{self.path}/commits/{number}", json.dumps({"batch": batch_id, "folder": folder})):
+                return True
+
+    def _write(self, counted: DataFrame, folder: str, number: int, any_before: bool) -> None:
+        """The batch's changes, deltas and entries against what is committed now."""
         pick = F.max(F.struct("op", "source", "lang", "text_hash", "n_tokens")).alias("c")
         known_ids = counted.where("doc_id is not null").groupBy("doc_id", "version").agg(pick)
         known_ids = known_ids.select("doc_id", "version", "c.op", "c.source", "c.lang", "c.n_tokens")
-        if done:
+        if any_before:
             old = self.entries().select("doc_id", "version", F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.col("n_tokens").alias("old_tokens"), F.lit(True).alias("known"))
             signed = known_ids.join(old, ["doc_id", "version"], "left")
         else:
@@ -138,8 +161,6 @@ class Rollup:
         deltas = moves.groupBy("m.source", "m.lang", "m.version").agg(F.sum("m.sign").cast("long").alias("n_docs"), F.sum(F.col("m.sign") * F.col("m.n")).cast("long").alias("n_tokens"))
         deltas.write.parquet(f"{self.path}/deltas/{folder}")
         signed.where("doc_id is not null").select("doc_id", "version", "source", "lang", "n_tokens", F.lit(number).cast("long").alias("batch_no"), (F.col("op") != "delete").alias("live")).write.parquet(f"{self.path}/entries/{folder}")
-        marker = self._path(f"{self.path}/commits/{number}~{batch_id}~{folder}")
-        return bool(self._fs.createNewFile(marker))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -454,15 +454,15 @@ def test_simhash_links_in_crowds(spark, crowd):
     assert smallest_reachable(fps, found) == smallest_reachable(fps, want)
 
 
-def _tokens(texts):
-    enc = token_counts._encoding(token_counts.VERSIONS["byte_bpe_50k"])
+def _tokens(texts, version="byte_bpe_50k"):
+    enc = token_counts._encoding(token_counts.VERSIONS[version])
     return [len(enc.encode_ordinary(t)) if t else 0 for t in texts]
 
 
 def test_rollup_batches(spark, scratch):
     store = token_counts.Rollup(spark, f"{scratch}/rollup")
     schema = "doc_id long, op string, source string, lang string, text string"
-    v = token_counts.VERSIONS
+    v = {"byte_bpe_50k": token_counts.VERSIONS["byte_bpe_50k"]}
 
     def totals():
         return {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in store.totals().collect()}
@@ -476,6 +476,7 @@ def test_rollup_batches(spark, scratch):
     assert totals() == want
     # A batch that failed before its marker leaves data that nobody reads.
     os.makedirs(f"{scratch}/rollup/deltas/9-lost")
+    open(f"{scratch}/rollup/commits/1", "w").close()  # and one that died at it, a number
     assert totals() == want
     assert store.apply("b2", spark.createDataFrame([(1, "revise", "b", "en", "one two three"), (3, "delete", None, None, None), (77, "delete", "a", "en", "gone")], schema), v)
     assert totals() == {("a", "en"): (2, n[1] + n[3]), ("b", "en"): (1, _tokens(["one two three"])[0])}
@@ -492,15 +493,43 @@ def test_rollup_query_counts_all_documents(spark):
     import re
 
     clean = [re.sub(r"[\x20\x09-\x0D]+", " ", t.strip(" ")) for _, t, _, _ in docs]
-    for (_, text, source, lang), n in zip(docs, _tokens(clean)):
+    for (_, text, source, lang), *counts in zip(docs, *[_tokens(clean, v) for v in token_counts.VERSIONS]):
         if text not in seen:
-            want[source, lang, "docs"] += 1
-            want[source, lang, "tokens"] += n
+            for v, n in zip(token_counts.VERSIONS, counts):
+                want[source, lang, v, "docs"] += 1
+                want[source, lang, v, "tokens"] += n
         seen.add(text)
     got = collections.Counter()
     for r in QUERIES["op9_token_rollup"](spark, SF).collect():
-        got[r["source"], r["lang"], "docs"], got[r["source"], r["lang"], "tokens"] = r["n_docs"], r["n_tokens"]
-    assert got == want
+        got[r["source"], r["lang"], r["version"], "docs"], got[r["source"], r["lang"], r["version"], "tokens"] = r["n_docs"], r["n_tokens"]
+    assert got == want and len({k[2] for k in got}) == 2
+
+
+def test_rollup_of_two_writers(spark, scratch, monkeypatch):
+    """A batch that another writer commits meanwhile counts once; a different one is worked out anew."""
+    schema = "doc_id long, op string, source string, lang string, text string"
+    v = {"byte_bpe_50k": token_counts.VERSIONS["byte_bpe_50k"]}
+    one = spark.createDataFrame([(1, "insert", "a", "en", "one two")], schema)
+    two = spark.createDataFrame([(1, "insert", "b", "en", "one two three")], schema)
+    write = token_counts.Rollup._write
+
+    def racing(store, other):
+        def run(self, *args):
+            if self is store and other:
+                token_counts.Rollup(spark, store.path).apply(*other.pop(), v)
+            write(self, *args)
+
+        monkeypatch.setattr(token_counts.Rollup, "_write", run)
+
+    store = token_counts.Rollup(spark, f"{scratch}/rollup-same")
+    racing(store, [("b1", one)])
+    assert not store.apply("b1", one, v)
+    assert [tuple(r) for r in store.totals().select("n_docs", "n_tokens").collect()] == [(1, _tokens(["one two"])[0])]
+    store = token_counts.Rollup(spark, f"{scratch}/rollup-other")
+    racing(store, [("b2", two)])
+    assert store.apply("b1", one, v)
+    assert [tuple(r) for r in store.totals().select("source", "n_docs").collect()] == [("a", 1)]
+    assert [b for _, b, _ in store._committed()] == ["b2", "b1"]
 
 
 def test_lattice_sums_all_segmentations():
