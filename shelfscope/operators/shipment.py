@@ -13,7 +13,7 @@ from shelfscope.params import (
     BLOCKED_CHANNELS, EXCLUDED_CATG_CODES, SALES_ORG, SHIPMENT_INACTIVE_PATTERN, WIP_CODE,
     YEAR_AGO_DAYS, MartParams,
 )
-from shelfscope.plans.stages import densify, salted_join
+from shelfscope.plans.stages import densify, grid_partitions, salted_join
 
 KEYS = ["plan_to_nbr", "catg_nm", "brand_nm", "tmfrm_cd"]
 
@@ -115,6 +115,8 @@ def shipment_summary(covered_stores: DataFrame, plan_level: DataFrame, params: M
     own number of stores asks for, and its rows are repeated for each.
     """
     stores = covered_stores.select("sold_to_nbr", "plan_to_nbr", "chain_nbr", "src_nm")
+    # A fixed number of parts: the few store rows of a small input must not meet in one task before they multiply.
+    stores = stores.repartition(grid_partitions(stores.sparkSession), "sold_to_nbr")
     return salted_join(stores, plan_level, ["plan_to_nbr"], ["sold_to_nbr"], params).select(
         "sold_to_nbr", "plan_to_nbr", "chain_nbr", "tmfrm_cd", "catg_nm", "brand_nm",
         F.coalesce("gsv", F.lit(0)).alias("gsv"),
