@@ -1,11 +1,15 @@
 """Main text of HTML pages by composite text density.
 
-A page becomes a tree of elements. Elements that never hold article text
-(scripts, menus, forms, adverts, notices, comments, ...) are cut off by tag or
-role. A word of a class or id (has-, no- and with- words aside) only makes an element
-suspect: it is cut unless it holds the article, that is the largest article or main
-element, or where there is none, the container of the highest score (below). Of what is left, each node gets a density: its characters
-per tag, adjusted for the share of link characters and link tags. The sum of its
+A page becomes a tree of elements. Scripts, styles, media and form controls are cut
+off. Others are suspect: menus, footers and asides by tag or role; forms and dialogs,
+unless most of the page's unlinked characters are in them (a form around the page);
+elements with a furniture word in a class or id (has-, no- and with- words aside),
+unless they hold the article, that is the largest article or main element, or where
+there is none, the container of the highest score (below). A word like "share" or
+"related" names furniture by itself or beside a word like "box"; beside others
+("share-price") the element must consist mostly of links too. A page header goes, a
+header with the headline inside the article's container stays. Of what is left, each
+node gets a density: its characters per tag, adjusted for the share of link characters and link tags. The sum of its
 children's densities is the node's score. The container (not a paragraph, a list or
 an inline tag) of the highest score is the content, whatever its tag. The smallest
 density on the path from the body to it is the threshold: the path's other children
@@ -23,7 +27,8 @@ Defined results
 * page_id and url are passed through, nulls and repeats included.
 * empty table: empty result. Other columns are ignored.
 
-Scale: one pass in Arrow batches without a shuffle; memory is one page's tree.
+Scale: one pass in Arrow batches without a shuffle; memory is one page's tree, and
+time grows with its tags, however deep they are nested.
 """
 
 from __future__ import annotations
@@ -52,21 +57,36 @@ SCOPE = frozenset("html table td th caption object button template ul ol dl sele
 P_SCOPE = frozenset("html table td th caption object button template".split())
 
 CUT_TAGS = frozenset(
-    "script style noscript template head title iframe frame object embed applet svg math canvas audio video nav footer aside form button input select "
-    "textarea label dialog menu datalist".split()
+    "script style noscript template head title iframe frame object embed applet svg canvas audio video button input select textarea label datalist "
+    "annotation annotation-xml".split()
 )
-CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist".split())
+#: Furniture by their tag or role; the second kind may wrap a whole page.
+FURNITURE_TAGS = frozenset("nav footer aside menu".split())
+WRAPPER_TAGS = frozenset("form dialog".split())
+FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar tablist alert".split())
+WRAPPER_ROLES = frozenset("form dialog alertdialog".split())
+#: Furniture, whatever other word a class or id puts beside them.
 CUT_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot banner banners sponsor sponsored sponsors promo promos "
-    "promotion cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login signin sidebar sidebars "
-    "aside nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer footers masthead comment comments commentlist disqus reply "
-    "replies respond related recommended recommendations share sharing social widget widgets toolbar topbar skip skiplink paywall disclaimer".split()
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot banner banners sponsor sponsored sponsors cookie cookies "
+    "consent gdpr popup modal overlay newsletter subscribe signup login signin sidebar sidebars nav navbar navigation breadcrumb breadcrumbs pagination "
+    "pager footer footers masthead comment comments commentlist disqus toolbar topbar skip skiplink paywall".split()
+)
+#: Furniture by themselves or beside words of the next list; "share-price" and "related-work" are not.
+HEAD_WORDS = frozenset(
+    "promo promos promotion notice notices subscription aside menu menus reply replies respond related recommended recommendations share sharing social "
+    "widget widgets disclaimer".split()
+)
+GENERIC = frozenset(
+    "area articles bar block body box btn button buttons card cards column container content cta div footer group header heading icon icons inline inner "
+    "item items label link links list media news outer panel post posts pages row section site stories text this title tools topics us wrap wrapper".split()
 )
 #: These name page furniture outside an article, and may hold its title inside.
 CUT_OUTSIDE = frozenset("header headers head top".split())
 #: "has-sidebar", "comment-enabled": what the page has, not what the element is.
 MODIFIERS = frozenset("has no not with without hide show is".split())
 STATES = frozenset("enabled disabled on off open closed visible hidden".split())
+#: What makes an element suspect, from the strongest sign on.
+NONE, TAG, WRAPPER, NAME, TITLE, WEAK = range(6)
 WHOLE = frozenset(("html", "body", "main", "article"))
 #: Never the content by themselves: they stand in a container.
 TEXT_TAGS = frozenset(
@@ -76,23 +96,33 @@ TEXT_TAGS = frozenset(
 
 
 class _Tree(HTMLParser):
-    """Flat tree: node i has tag, parent and whether it is cut; texts are (node, text)."""
+    """Flat tree: node i has tag, parent, whether it is cut and what makes it suspect; texts are (node, text)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.cut, self.inside = ["#root"], [-1], [False], [False]
-        self.role_main, self.suspect = [False], [False]
+        self.role_main, self.suspect = [False], [NONE]
         self.texts: list[tuple[int, str]] = []
         self.stack = [0]
+        #: Depths in the stack of the open elements of each tag, and of the open blocks.
+        self.open: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def _deepest(self, tags) -> int:
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
+    def _close_at(self, depth: int) -> None:
+        for i in reversed(self.stack[depth:]):
+            self.open[self.tag[i]].pop()
+            if self.tag[i] in BLOCK:
+                self.blocks.pop()
+        del self.stack[depth:]
 
     def _close(self, kinds, scope) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            t = self.tag[self.stack[depth]]
-            if t in kinds:
-                del self.stack[depth:]
-                return
-            if t in scope:
-                return
+        """Close the innermost element of these kinds, unless one of ``scope`` is between."""
+        depth = self._deepest(kinds)
+        if depth and depth >= self._deepest(scope):
+            self._close_at(depth)
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
@@ -105,11 +135,14 @@ class _Tree(HTMLParser):
         inside = self.inside[up] or tag in ("article", "main")
         self.tag.append(tag)
         self.parent.append(up)
-        self.cut.append(self.cut[up] or self._is_cut(tag, attrs, self.inside[up]))
-        self.suspect.append(self._is_suspect(tag, attrs, self.inside[up]))
+        self.cut.append(self.cut[up] or tag in CUT_TAGS)
+        self.suspect.append(self._suspect(tag, attrs, self.inside[up]))
         self.inside.append(inside)
         self.role_main.append(tag in ("article", "main") or any(k == "role" and v in ("main", "article") or k == "itemprop" and v == "articleBody" for k, v in attrs))
         if tag not in VOID:
+            self.open.setdefault(tag, []).append(len(self.stack))
+            if tag in BLOCK:
+                self.blocks.append(len(self.stack))
             self.stack.append(me)
         else:
             self.texts.append((me, " "))
@@ -118,37 +151,39 @@ class _Tree(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     @staticmethod
-    def _is_cut(tag, attrs, inside) -> bool:
-        if tag in CUT_TAGS or tag == "header" and not inside:
-            return True
-        return tag not in WHOLE and any(k == "role" and v and v.strip().lower() in CUT_ROLES for k, v in attrs)
-
-    @staticmethod
-    def _is_suspect(tag, attrs, inside) -> bool:
+    def _suspect(tag, attrs, inside) -> int:
+        if tag in FURNITURE_TAGS:
+            return TAG
+        if tag in WRAPPER_TAGS:
+            return WRAPPER
         if tag in WHOLE:
-            return False
+            return NONE
+        signs = {TITLE} if tag == "header" and not inside else set()
         for k, v in attrs:
-            if not v or k not in ("class", "id"):
+            if not v:
+                continue
+            if k == "role":
+                role = v.strip().lower()
+                signs |= {TAG} if role in FURNITURE_ROLES else {WRAPPER} if role in WRAPPER_ROLES else set()
+            if k not in ("class", "id"):
                 continue
             for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", v).lower().split():
-                words = [w for w in re.split(r"[_\-:./]+", name) if w]
-                if words and (words[-1] in STATES or any(w in MODIFIERS for w in words[:-1])):
+                words = [w for w in re.split(r"[_\-:./]+", name) if w and not w.isdigit()]
+                if not words or words[-1] in STATES or any(w in MODIFIERS for w in words[:-1]):
                     continue
-                if any(w in CUT_WORDS or not inside and w in CUT_OUTSIDE for w in words):
-                    return True
-        return False
+                if any(w in CUT_WORDS for w in words):
+                    signs.add(NAME)
+                elif any(w in HEAD_WORDS for w in words):
+                    signs.add(NAME if all(w in HEAD_WORDS or w in GENERIC for w in words) else WEAK)
+                elif not inside and any(w in CUT_OUTSIDE for w in words):
+                    signs.add(TITLE)
+        return min(signs, default=NONE)
 
     def handle_endtag(self, tag):
-        if tag in VOID:
-            return
-        for depth in range(len(self.stack) - 1, 0, -1):
-            t = self.tag[self.stack[depth]]
-            if t == tag:
-                del self.stack[depth:]
-                return
-            # A stray inline end tag does not close the block that it stands in.
-            if tag not in BLOCK and t in BLOCK:
-                return
+        depth = self._deepest((tag,))
+        # A stray inline end tag does not close the block that it stands in.
+        if depth and (tag in BLOCK or not self.blocks or self.blocks[-1] < depth):
+            self._close_at(depth)
 
     def handle_data(self, data):
         self.texts.append((self.stack[-1], data))
@@ -193,20 +228,51 @@ def _best(tree: _Tree, total: list[float]) -> int:
     return max((i for i in range(len(total)) if tree.tag[i] not in TEXT_TAGS), key=lambda i: (total[i], -i))
 
 
+def _pass_down(tree: _Tree) -> None:
+    for i in range(1, len(tree.tag)):
+        tree.cut[i] = tree.cut[i] or tree.cut[tree.parent[i]]
+
+
 def cut_suspects(tree: _Tree) -> None:
     """Cut the suspect elements off, but none that holds the article."""
     n = len(tree.tag)
     if not any(tree.suspect):
         return
-    _, total, chars, _ = densities(tree)
+    _, _, chars, links = densities(tree)
+    for i in range(1, n):
+        # A form or dialog around most of the page's own words is a wrapper.
+        wraps = tree.suspect[i] == WRAPPER and 2 * (chars[i] - links[i]) > chars[0] - links[0]
+        tree.cut[i] = tree.cut[i] or tree.suspect[i] in (TAG, WRAPPER) and not wraps
+    _pass_down(tree)
+    _, _, chars, links = densities(tree)
     articles = [i for i in range(n) if tree.role_main[i] and not tree.cut[i] and chars[i]]
-    at = max(articles, key=lambda i: (chars[i], -i)) if articles else _best(tree, total)
-    spared = set()
+    if articles:
+        article = max(articles, key=lambda i: (chars[i], -i))
+    else:
+        # A page header takes no part in the choice.
+        kept = tree.cut[:]
+        for i in range(1, n):
+            tree.cut[i] = tree.cut[i] or tree.tag[i] == "header"
+        _pass_down(tree)
+        article = _best(tree, densities(tree)[1])
+        tree.cut = kept
+    spared, at = set(), article
     while at >= 0:
         spared.add(at)
         at = tree.parent[at]
+    # Below the article, unless that is the page itself; and what holds a headline.
+    below, headline = [False] * n, [False] * n
+    for i in range(1, n):
+        below[i] = below[tree.parent[i]] or tree.parent[i] == article and tree.tag[article] not in ("#root", "html", "body")
+    for i in range(n - 1, 0, -1):
+        headline[i] = headline[i] or tree.tag[i] in ("h1", "h2") and chars[i] > 0
+        headline[tree.parent[i]] = headline[tree.parent[i]] or headline[i]
     for i in range(1, n):
-        tree.cut[i] = tree.cut[i] or tree.cut[tree.parent[i]] or tree.suspect[i] and i not in spared
+        linked = 2 * links[i] > chars[i]
+        why = tree.suspect[i]
+        gone = why == NAME or why == WEAK and linked or why == TITLE and (linked or not (below[i] and headline[i]))
+        tree.cut[i] = tree.cut[i] or gone and i not in spared
+    _pass_down(tree)
 
 
 def content_nodes(tree: _Tree) -> set[int]:
