@@ -43,11 +43,8 @@ def customer_hierarchy(cust_pivot: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def shipment_detail(shipments: DataFrame, cal_wk: DataFrame, cust_hier: DataFrame,
-                    matrl_hier: DataFrame, frames: FrameSet) -> DataFrame:
-    """Shipment lines with fiscal week, plan-to and product, within
-    [earliest frame start - 52 weeks, latest frame end].  The bounds are literals
-    applied to the week dimension before the join."""
+def fiscal_weeks(cal_wk: DataFrame, frames: FrameSet) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Weeks from the earliest frame start less 52 weeks to the latest frame end, and their fiscal years and weeks."""
     lo, hi = frames.date_bounds()
     weeks = cal_wk.select(
         F.col("fisc_yr").alias("_yr"), F.col("fisc_wk").alias("_wk"), "fisc_yr_wk", "fisc_wk_end_dt")
@@ -56,10 +53,36 @@ def shipment_detail(shipments: DataFrame, cal_wk: DataFrame, cust_hier: DataFram
             F.lit(lo - dt.timedelta(days=YEAR_AGO_DAYS)), F.lit(hi)))
     else:
         weeks = weeks.filter(F.lit(False))
+    return weeks, sorted((int(r["_yr"]), int(r["_wk"])) for r in weeks.select("_yr", "_wk").distinct().dropna().collect())
+
+
+def week_rollup(shipments: DataFrame) -> DataFrame:
+    """Shipments by fiscal week, store, material and source.
+
+    It depends on the fact alone (no frame, no hierarchy), so a week's roll-up holds
+    until the week's fact rows change. Decimal values are summed exactly.
+    """
+    return shipments.filter(F.col("sales_org_cd") == SALES_ORG).groupBy(
+        "sales_org_cd", F.col("fisc_yr").cast("int").alias("fisc_yr"), F.col("fisc_wk").cast("int").alias("fisc_wk"),
+        "sold_to_nbr", "matrl_nbr", "src_nm",
+    ).agg(
+        F.sum("dir_indir_gsv").alias("dir_indir_gsv"),
+        F.max("kortex_upld_ts").alias("kortex_upld_ts"),
+        F.max("kortex_dprct_ts").alias("kortex_dprct_ts"),
+    )
+
+
+def shipment_detail(shipments: DataFrame, cal_wk: DataFrame, cust_hier: DataFrame,
+                    matrl_hier: DataFrame, frames: FrameSet) -> DataFrame:
+    """Shipment lines with fiscal week, plan-to and product, within
+    [earliest frame start - 52 weeks, latest frame end].  The bounds are literals
+    applied to the week dimension before the join.
+
+    ``shipments`` is the fact or its kept week roll-ups."""
+    weeks, held = fiscal_weeks(cal_wk, frames)
     s = shipments.filter(F.col("sales_org_cd") == SALES_ORG)
     # The fiscal years and weeks of the range (as many as it has) as literal filters on the
     # fact, so a fact partitioned by them is pruned; the join stays the exact test.
-    held = [(r["_yr"], r["_wk"]) for r in weeks.select("_yr", "_wk").distinct().collect()]
     year, week = F.col("fisc_yr").cast("int"), F.col("fisc_wk").cast("int")
     s = s.filter(year.isin(sorted({y for y, _ in held})) & (year * 100 + week).isin(sorted({y * 100 + w for y, w in held})))
     j = (

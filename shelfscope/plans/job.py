@@ -19,7 +19,7 @@ from shelfscope.operators import calendar, drivers, key_brand, mart, masters, po
 from shelfscope.operators.calendar import FrameSet
 from shelfscope.params import HIER_COVERED, MartParams
 from shelfscope.plans.stages import Shared, drop_stages, materialize, shared_property, side_by_side
-from shelfscope.sources.layout import WeekStore
+from shelfscope.sources.layout import ShipmentWeekStore, WeekStore
 from shelfscope.sources.martstore import Manifest, latest, publish_families, publish_family
 from shelfscope.sources.schemas import to_mart_rows
 from shelfscope.sources.tables import SourceTables, read_sources
@@ -31,17 +31,20 @@ def run_mart(spark: SparkSession, run_date: dt.date, source_root: str, target: s
     ``source_root`` is a folder of Parquet tables or a catalog database
     (``catalog:<database>``); ``target`` a folder or a table (``catalog:<table>``).
     ``week_store`` names a folder of week roll-ups kept between runs, for sources
-    whose POS fact is partitioned by week: only new and revised weeks are scanned.
+    whose POS and shipment facts are partitioned by week: only new and revised weeks
+    are scanned.
     """
     p = MartParams(pos_run_date=run_date, visit_run_date=run_date, **params)
     weeks = WeekStore(spark, f"{source_root}/pos_weekly", week_store) if week_store else None
-    MartJob(spark, read_sources(spark, source_root), p, weeks).run(target)
+    shipped = ShipmentWeekStore(spark, f"{source_root}/shipments", f"{week_store}_shipments") if week_store else None
+    MartJob(spark, read_sources(spark, source_root), p, weeks, shipped).run(target)
 
 
 class MartJob(Shared):
-    def __init__(self, spark: SparkSession, sources: SourceTables, params: MartParams, weeks: WeekStore | None = None):
+    def __init__(self, spark: SparkSession, sources: SourceTables, params: MartParams, weeks: WeekStore | None = None,
+                 shipment_weeks: ShipmentWeekStore | None = None):
         super().__init__()
-        self.weeks = weeks
+        self.weeks, self.shipment_weeks = weeks, shipment_weeks
         self.spark = spark
         self.src = sources
         if params.run_id == "adhoc":
@@ -227,8 +230,11 @@ class MartJob(Shared):
 
     @shared_property
     def shipment_detail(self) -> DataFrame:
+        fact = self.src.shipments
+        if self.shipment_weeks:
+            fact = self.shipment_weeks.of_frames(shipment.fiscal_weeks(self.src.cal_wk, self.pos_frames)[1])
         return materialize(shipment.shipment_detail(
-            self.src.shipments, self.src.cal_wk, self.cust_hier, self.matrl_hier, self.pos_frames),
+            fact, self.src.cal_wk, self.cust_hier, self.matrl_hier, self.pos_frames),
             self.params)
 
     @shared_property

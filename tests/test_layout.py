@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfscope.plans.job import MartJob
-from shelfscope.sources.layout import WeekStore, lay_out
+from shelfscope.sources.layout import ShipmentWeekStore, WeekStore, lay_out
 from shelfscope.sources.martstore import manifests
 from shelfscope.sources.tables import read_sources
 from shelfscope.sources.testviews import adapter_params, build_sources
@@ -105,3 +105,42 @@ def test_kept_weeks_equal_a_full_run_and_only_changed_weeks_are_scanned(spark, s
     assert run(sources) == want != full
     assert WeekStore(spark, f"{root}/pos_weekly", store).stale(lo, hi) == []
     assert run(sources) == want
+
+
+def test_kept_shipment_weeks_equal_a_full_run_and_only_changed_weeks_are_scanned(spark, scratch, laid_out, plain):
+    from shelfscope.operators.shipment import fiscal_weeks
+
+    root, at = f"{scratch}/kept_ship", f"{scratch}/ship_store"
+    shutil.copytree(laid_out, root)
+    held = fiscal_weeks(plain.src.cal_wk, plain.pos_frames)[1]
+    store = ShipmentWeekStore(spark, f"{root}/shipments", at)
+
+    def run(weeks):
+        job = MartJob(spark, read_sources(spark, root), adapter_params(), None, weeks)
+        got = [rows(df.drop("kortex_upld_ts")) for df in (job.shipment_current, job.shipment_year_ago, job.shipment_plan_level)]
+        job.drop_stages()
+        return got
+
+    full = [rows(df.drop("kortex_upld_ts")) for df in (plain.shipment_current, plain.shipment_year_ago, plain.shipment_plan_level)]
+    assert run(store) == full and all(full)
+    names = sorted(store.week_of(str(y), str(w)) for y, w in held)
+    kept = sorted(manifests(spark, at)[-1].families)
+    assert kept == sorted(w for w in store.folders() if names[0] <= w <= names[-1]) and len(kept) < len(store.folders())
+    # A revised week and one that is gone: the other weeks are spoilt, so scanning one of them would fail.
+    folders = store.folders()
+    changed = f"{root}/shipments/{folders[kept[-1]]}"
+    spark.read.parquet(changed).limit(7).write.mode("append").parquet(changed)
+    shutil.rmtree(f"{root}/shipments/{folders[kept[0]]}")
+    want = run(None)
+    for week in kept[1:-1]:
+        spoil(f"{root}/shipments/{folders[week]}")
+    assert store.stale(names[0], names[-1]) == kept[-1:]
+    assert run(store) == want != full
+    assert store.stale(names[0], names[-1]) == [] and run(store) == want
+
+
+def test_a_shipment_fact_without_weeks(spark, scratch, laid_out, plain):
+    store = ShipmentWeekStore(spark, f"{laid_out}/shipments", f"{scratch}/ship_none")
+    none = store.of_frames([])
+    assert none.columns == store.of_frames([(1901, 1)]).columns and none.count() == 0 == store.of_frames([(1901, 1)]).count()
+    assert store.week_of("1998", "7") == "199807" and store.week_of("1998", "__HIVE_DEFAULT_PARTITION__") is None
