@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfscope.operators import mart, pos
 from shelfscope.plans.queries import job_for
+from shelfscope.sources.martstore import write_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +44,11 @@ def test_share_and_growth_are_computed_before_the_grid_rows(spark):
     at = next(i for i, x in enumerate(lines) if re.search(r"Generate explode\(transform\(filter\(_members", x))
     above = lines[next(i for i in range(at, -1, -1) if "Project" in lines[i])]
     assert " / " not in above and "cast(" not in above
+
+
+def test_dealt_rows_are_written_without_a_shuffle(spark, scratch):
+    rows = spark.range(0, 5000, 1, 7).select(F.col("id").cast("string").alias("sold_to_nbr"), F.lit(1.0).alias("v"))
+    made = {dealt: write_rows(rows, f"{scratch}/dealt-{dealt}", "POS", dealt) for dealt in (False, True)}
+    read = {k: spark.read.parquet(f"{scratch}/dealt-{k}/{v}") for k, v in made.items()}
+    assert len(read[True].inputFiles()) == 7 and len(read[False].inputFiles()) < 7
+    assert sorted(read[True].collect()) == sorted(read[False].collect())
