@@ -76,14 +76,15 @@ def pos_base(pos: DataFrame, frames: FrameSet, spr_stores: DataFrame) -> DataFra
 
 
 def _framed(kept: DataFrame, frames: FrameSet, keys: list) -> DataFrame:
-    """Sums per frame. The source is a key of the sums and reduced after them, on few rows,
-    so that every step is a hash aggregation."""
-    by_source = frames.by_week(kept, "fisc_yr_wk").groupBy(*ROLLUP_KEYS, *keys, "brand_nm", "corp_nm", "src_nm").agg(*_sums())
-    names = [k for k in by_source.columns if k not in ALL_MEASURES + ["src_nm", "kortex_upld_ts", "kortex_dprct_ts"]]
-    largest = F.array_max(F.collect_set("src_nm")).alias("src_nm")
-    return by_source.groupBy(*names).agg(*[F.sum(m).alias(m) for m in ALL_MEASURES], largest,
-                                         F.max("kortex_upld_ts").alias("kortex_upld_ts"),
-                                         F.max("kortex_dprct_ts").alias("kortex_dprct_ts"))
+    """Sums per frame, and the largest source name: by its number in the sorted list of names, so that all
+    is one hash aggregation. Rows are dealt by store before the frames multiply them."""
+    # The names sort in one task: a source system each, not a row each.
+    names = kept.select("src_nm").where(F.col("src_nm").isNotNull()).distinct().withColumn("_src", F.row_number().over(Window.orderBy("src_nm")))
+    numbered = kept.join(F.broadcast(names), "src_nm", "left").drop("src_nm").repartition("sold_to_nbr")
+    sums = frames.by_week(numbered, "fisc_yr_wk").groupBy(*ROLLUP_KEYS, *keys, "brand_nm", "corp_nm").agg(
+        *_sums(), F.max("_src").alias("_src"))
+    return sums.join(F.broadcast(names), "_src", "left").drop("_src").select(
+        *ROLLUP_KEYS, *keys, "brand_nm", "corp_nm", *ALL_MEASURES, "src_nm", "kortex_upld_ts", "kortex_dprct_ts")
 
 
 def _flagged(base: DataFrame, grid_catgs: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfscope.functions import fiscal
 from shelfscope.params import OWN_CORP, MartParams
+from shelfscope.plans.stages import grid_partitions
 from shelfscope.sources.schemas import TS
 from shelfscope.sources.tables import SourceTables
 
@@ -188,16 +189,24 @@ def shipments(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def pos_weekly(t: dict[str, DataFrame]) -> DataFrame:
-    """Weekly POS at store x category x brand x corporation; year-ago = same grain 364 days earlier."""
-    j = (
-        t["lineitem"]
-        .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
-        .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
-    )
+    """Weekly POS at store x category x brand x corporation; year-ago = same grain 364 days earlier.
+
+    A line's current and year-ago rows are united before the joins, so that orders, customers and
+    parts are read and shuffled once; a filter on the week still reaches both scans of the lines.
+    The joined lines are dealt by store, as they are and before the six measures are made of them, over all
+    partitions: several aggregations follow in the same tasks, which must not be merged to few large ones.
+    """
+    lines = t["lineitem"].select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("d"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("v"), "l_quantity", F.col("l_shipdate").cast(TS).alias("ts"))
+    lines = lines.select(fiscal.fiscal_year_week(F.col("d")).alias("fisc_yr_wk"), F.lit(False).alias("ya"), *lines.columns).unionByName(
+        lines.select(fiscal.fiscal_year_week(F.date_add(F.col("d"), 364)).alias("fisc_yr_wk"), F.lit(True).alias("ya"), *lines.columns)).drop("d")
+    bought = t["orders"].select("o_orderkey", "o_custkey").join(
+        t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    j = lines.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
     s = F.col("l_suppkey")
     base = j.select(
-        F.to_date("l_shipdate").alias("d"),
+        "fisc_yr_wk", "ya",
         _pad(F.col("o_custkey"), 10).alias("sold_to_nbr"),
         _pad(F.col("c_nationkey"), 10).alias("plan_to_nbr"),
         F.when(F.col("p_size") <= 2, F.lit("Others"))
@@ -207,29 +216,20 @@ def pos_weekly(t: dict[str, DataFrame]) -> DataFrame:
         F.when(s % 2 == 0, F.lit(OWN_CORP)).when(s % 31 == 3, F.lit(None))
         .when(s % 4 == 1, F.lit("COMPETITOR A")).otherwise(F.lit("COMPETITOR B")).alias("corp_nm"),
         F.when(F.col("p_size") > 40, F.lit("IC")).alias("immed_cnsmptn_prod_type_cd"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("v"),
+        "v",
         F.col("l_quantity").cast("decimal(18,2)").alias("q"),
         (F.col("l_quantity") * F.col("p_size")).cast("decimal(18,2)").alias("lb"),
-        F.col("l_shipdate").cast(TS).alias("ts"),
+        "ts",
     )
     zero = F.lit(0).cast("decimal(18,2)")
     keys = ["sold_to_nbr", "plan_to_nbr", "catg_nm", "brand_nm", "corp_nm", "immed_cnsmptn_prod_type_cd"]
-    current = base.select(
-        fiscal.fiscal_year_week(F.col("d")).alias("fisc_yr_wk"), *keys,
-        F.col("v").alias("sale_val"), zero.alias("sale_yr_ago_val"),
-        F.col("q").alias("sale_qty"), zero.alias("sale_yr_ago_qty"),
-        F.col("lb").alias("sale_vol_lb_val"), zero.alias("sale_yr_ago_vol_lb_val"), "ts",
-    )
-    year_ago = base.select(
-        fiscal.fiscal_year_week(F.date_add(F.col("d"), 364)).alias("fisc_yr_wk"), *keys,
-        zero.alias("sale_val"), F.col("v").alias("sale_yr_ago_val"),
-        zero.alias("sale_qty"), F.col("q").alias("sale_yr_ago_qty"),
-        zero.alias("sale_vol_lb_val"), F.col("lb").alias("sale_yr_ago_vol_lb_val"), "ts",
-    )
+    sides = [F.when(F.col("ya") == side, F.col(c)).otherwise(zero).alias(name) for c, pair in (
+        ("v", ("sale_val", "sale_yr_ago_val")), ("q", ("sale_qty", "sale_yr_ago_qty")), ("lb", ("sale_vol_lb_val", "sale_yr_ago_vol_lb_val")))
+        for side, name in zip((False, True), pair)]
     measures = ["sale_val", "sale_yr_ago_val", "sale_qty", "sale_yr_ago_qty",
                 "sale_vol_lb_val", "sale_yr_ago_vol_lb_val"]
     return (
-        current.unionByName(year_ago)
+        base.repartition(grid_partitions(base.sparkSession), "sold_to_nbr").select("fisc_yr_wk", *keys, *sides, "ts")
         .groupBy("fisc_yr_wk", *keys)
         .agg(*[F.sum(m).alias(m) for m in measures], F.max("ts").alias("kortex_upld_ts"))
         .select(
