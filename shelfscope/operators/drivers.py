@@ -33,10 +33,13 @@ def individual_categories(covered_stores: DataFrame, products: DataFrame, frames
     return grid.withColumn("metrc_nm", F.explode(F.array(*[F.lit(m) for m in METRICS]))).select(*MATRIX_KEYS)
 
 
-def active_categories(indiv: DataFrame, events: DataFrame, oos: DataFrame, pos_plain: DataFrame,
-                      params: MartParams) -> DataFrame:
-    """Individual rows with activity in their metric's own facts (one semi join
-    against the union of the three activity key sets)."""
+def active_categories(covered_stores: DataFrame, products: DataFrame, frames: FrameSet, events: DataFrame,
+                      oos: DataFrame, pos_plain: DataFrame, params: MartParams) -> DataFrame:
+    """Individual rows with activity in their metric's own facts.
+
+    They are made from the activity keys, which meet the covered stores and the grid's
+    categories and frames: the dense individual rows are not dealt to find them.
+    """
     keys = ["metrc_nm", "tmfrm_cd", "sold_to_nbr", "catg_nm"]
     act = (
         events.filter(F.col("ans_in_store_val") > 0).select(F.lit(METRIC_EVENTS).alias("metrc_nm"), *keys[1:])
@@ -44,9 +47,10 @@ def active_categories(indiv: DataFrame, events: DataFrame, oos: DataFrame, pos_p
         .unionByName(pos_plain.filter(
             (F.col("corp_nm") == params.own_corp) & ((F.col("sale_val") + F.col("sale_yr_ago_val")) > 0)
         ).select(F.lit(METRIC_POS_PRFM).alias("metrc_nm"), *keys[1:]))
-        .distinct()
+        .filter(F.col("tmfrm_cd").isin(*frames.codes())).distinct()
     )
-    return indiv.join(act, keys, "left_semi")
+    act = act.join(products.select("catg_nm"), "catg_nm", "left_semi")
+    return act.join(covered_stores.select("sold_to_nbr", "chain_nbr").distinct(), "sold_to_nbr").select(*MATRIX_KEYS)
 
 
 def event_categories(active: DataFrame) -> DataFrame:

@@ -330,7 +330,7 @@ class MartJob(Shared):
     @shared_property
     def drv_active(self) -> DataFrame:
         return materialize(drivers.active_categories(
-            self.drv_individual, self.events, self.oos, self.pos_plain, self.params), self.params)
+            self.covered_stores, self.products, self.psd_frames, self.events, self.oos, self.pos_plain, self.params), self.params)
 
     @shared_property
     def drv_event_cats(self) -> DataFrame:
