@@ -48,10 +48,12 @@ BLOCK_BYTES = 4 << 20
 WORDS_KEPT = 600_000
 #: Stands between words that are encoded in one call; words that hold it are encoded one by one.
 MARK, SPACED = b"\x01", b" \x01 "
-#: Words that need no Unicode rules (nor hold a special token), and the parts that the vocabulary's
-#: pre-tokenizer cuts from them: fixed values of word_bpe_49k.json, as is its mark of a word's end.
+#: Words that need no Unicode rules (nor hold a special token), what others of ASCII hold, and the parts that the
+#: vocabulary's pre-tokenizer cuts from plain words, each of which a space ends: fixed values of word_bpe_49k.json,
+#: as is its mark of a word's end.
 PLAIN = re.compile(rb"(?!.*<\|)[\x21-\x7e]+").fullmatch
-PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+ODD = re.compile(rb"[\x00-\x1f\x7f]|<\|").search
+PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ").findall
 WORD_END = "</w>"
 #: Three-length patterns tried for a longest length, evenly spread over those that fill a sequence.
 TRIPLES = 8
@@ -71,9 +73,13 @@ class Ragged:
     def __init__(self):
         self.ids, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+    def add(self, ids: np.ndarray, sizes: np.ndarray, order: np.ndarray | None = None) -> None:
+        """Append the lists, the i-th of them as the ``order[i]``-th of the new ones."""
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        if order is not None:
+            back = np.argsort(order)
+            starts, sizes = starts[back], sizes[back]
+        self.starts, self.sizes, self.ids = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
 
     def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists' ids one after the other, and where each list ends."""
@@ -84,6 +90,22 @@ class Ragged:
         return self.ids[at], ends
 
 
+class Numbers(dict):
+    """Keys numbered in the order in which they are first asked for; ``fresh`` are those since it was last emptied."""
+
+    def __init__(self, first: bytes):
+        super().__init__({first: 0})
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        return number
+
+    def of(self, keys: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
 class WordEncoder:
     """Token ids of texts by a tokenizer whose tokens never span white space.
 
@@ -104,60 +126,72 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.parts, self.part_numbers = Ragged(), {}
-        self.forget()
-
-    def forget(self) -> None:
-        if len(self.part_numbers) > WORDS_KEPT:
-            self.parts, self.part_numbers = Ragged(), {}
-        self.words = Ragged()
-        self.numbers: dict[bytes, int] = {b"": 0}  # no word is empty: this one stands for the document's end
+        self.forget(True)
+
+    def forget(self, parts: bool) -> None:
+        if parts:
+            self.parts, self.part_numbers = Ragged(), Numbers(b" ")  # a word's end, without ids
+            self.parts.add(np.empty(0, np.uint32), np.zeros(1, np.int64))
+        self.words, self.numbers = Ragged(), Numbers(b"")  # no word is empty: this one stands for the document's end
         self.words.add(np.array([END_ID], np.uint32), np.ones(1, np.int64))
 
-    def learn(self, words: set[bytes]) -> None:
-        plain = [w for w in words if PLAIN(w)]
-        cut = [PARTS(w) for w in map(bytes.lower, plain)]
-        new = list({p for parts in cut for p in parts}.difference(self.part_numbers))
+    def plain_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after the other, and how many each has. All are cut in one go."""
+        numbers = self.part_numbers.of(PARTS(b" ".join([*words, b""]).lower()))
+        new, self.part_numbers.fresh = self.part_numbers.fresh, []
+        made, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for at in range(0, len(new), 1000):
-            part = new[at:at + 1000]
-            (found,) = self.model.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
-            ids = np.array(found.ids, np.uint32)
-            self.part_numbers.update(zip(part, range(len(self.part_numbers), len(self.part_numbers) + len(part))))
-            self.parts.add(ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
-        self.keep(plain, *self.parts.take(np.fromiter((self.part_numbers[p] for parts in cut for p in parts), np.int64)),
-                  np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
-        rest = list(words.difference(plain))
+            (found,) = self.model.encode_batch_fast([b" ".join(new[at:at + 1000]).decode()], add_special_tokens=False)
+            made.append(np.array(found.ids, np.uint32))
+            sizes.append(np.diff(np.flatnonzero(self.ends[made[-1]]), prepend=-1))
+        self.parts.add(np.concatenate(made), np.concatenate(sizes))
+        ids, ends = self.parts.take(numbers)
+        return ids, np.diff(ends[numbers == 0], prepend=0)
+
+    def learn(self, words: list[bytes]) -> None:
+        """The ids of the words that were numbered last."""
+        ascii_ = np.fromiter(map(bytes.isascii, words), bool, len(words))
+        at = np.flatnonzero(ascii_)
+        plain = [words[i] for i in at.tolist()]
+        if ODD(b" ".join(plain)):
+            kept = np.fromiter((PLAIN(w) is not None for w in plain), bool, len(plain))
+            at = at[kept]
+            plain = [words[i] for i in at.tolist()]
+        made, order = [self.plain_ids(plain)], [at]
+        others = np.ones(len(words), bool)
+        others[at] = False
+        rest = np.flatnonzero(others).tolist()
         # Between two words stands a mark that is a token of its own; a word that holds it goes alone.
         for many, one_by_one in ((500, False), (1, True)):
-            part = [w for w in rest if (MARK in w) == one_by_one]
-            for at in range(0, len(part), many):
-                some = part[at:at + many]
+            part = [i for i in rest if (MARK in words[i]) == one_by_one]
+            for first in range(0, len(part), many):
+                some = [words[i] for i in part[first:first + many]]
                 text = (SPACED.join(some) + (b"" if one_by_one else SPACED)).decode("utf-8", "replace")
                 (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
                 ids = np.array(found.ids, np.uint32)
                 ends = np.array([len(ids)]) if one_by_one else np.flatnonzero(ids == self.mark) - np.arange(len(some))
-                self.keep(some, ids if one_by_one else ids[ids != self.mark], ends)
-
-    def keep(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray, groups: np.ndarray | None = None) -> None:
-        """Number the words; ``ends`` of their ids, or of their parts' ids where ``groups`` ends each word's parts."""
-        if groups is not None:
-            ends = np.concatenate([[0], ends])[groups]
-        self.numbers.update(zip(words, range(len(self.numbers), len(self.numbers) + len(words))))
-        self.words.add(ids, np.diff(ends, prepend=0))
+                made.append((ids if one_by_one else ids[ids != self.mark], np.diff(ends, prepend=0)))
+            order.append(np.array(part, np.int64))
+        self.words.add(np.concatenate([ids for ids, _ in made]), np.concatenate([sizes for _, sizes in made]), np.concatenate(order))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, each text ended by the end id, and the number of ids of each text."""
         if len(self.numbers) > WORDS_KEPT:
-            self.forget()
+            self.forget(len(self.part_numbers) > WORDS_KEPT)
         words, last = [], []
         for t in texts:
             words += t.split()
             last.append(len(words))
             words.append(b"")
-        new = set(words).difference(self.numbers)
-        if new:
-            self.learn(new)
-        ids, ends = self.words.take(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+        try:
+            numbers = self.numbers.of(words)
+            if self.numbers.fresh:
+                new, self.numbers.fresh = self.numbers.fresh, []
+                self.learn(new)
+        except BaseException:
+            self.forget(True)  # the worker's next task must not find numbers without ids
+            raise
+        ids, ends = self.words.take(numbers)
         return ids, np.diff(ends[last], prepend=0)
 
 
