@@ -107,8 +107,9 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, crowd: int = CROWD) -> D
             F.struct("a", "b"), F.struct("a", third.alias("b")), F.struct(third.alias("a"), "b"))).alias("p")).select("p.a", "p.b")
     )
     larger = shared.where("n > 3").select("sig", "n")
-    # Counted before it is broadcast (12 bytes a key); beyond the bound the same join shuffles.
-    larger = F.broadcast(larger) if larger.count() <= BROADCAST_KEYS else larger
+    # Counted before it is broadcast (12 bytes a key); beyond the bound the same join shuffles. Spark must not choose: it
+    # takes the exploded side for as small as the fingerprints that it is made from.
+    larger = larger.hint("broadcast" if larger.count() <= BROADCAST_KEYS else "merge")
     many = stage(signed.join(larger, "sig"), "simhash-many")
     few = many.where(F.col("n") <= crowd)
     pairs = pairs.unionByName(
@@ -117,12 +118,16 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, crowd: int = CROWD) -> D
     pairs = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
     dense = many.where(F.col("n") > crowd).select("fp").distinct()
     masks = F.expr("flatten(transform(sequence(0, 62), i -> transform(sequence(i + 1, 63), j -> struct(i as i, j as j))))")
-    stars = (
-        dense.select("fp", F.explode(masks).alias("m"))
-        .select("fp", F.expr("m.i * 64 + m.j").alias("at"), F.expr("fp & ~shiftleft(1L, m.i) & ~shiftleft(1L, m.j)").alias("rest"))
-    )
-    low = stars.groupBy("at", "rest").agg(F.min("fp").alias("a"), F.count("fp").alias("n")).where("n > 1").drop("n")
-    starred = stars.join(low, ["at", "rest"]).where("a < fp").select("a", F.col("fp").alias("b"))
+    # At most four fingerprints have the same other 62 bits: a bit each tells which are there, so no row meets another one.
+    there = F.expr("shiftleft(1, cast(2 * (shiftrightunsigned(fp, m.i) & 1) + (shiftrightunsigned(fp, m.j) & 1) as int))")
+    stars = dense.select(F.explode(masks).alias("m"), "fp").select(
+        F.expr("m.i * 64 + m.j").alias("at"), F.expr("fp & ~shiftleft(1L, m.i) & ~shiftleft(1L, m.j)").alias("rest"), there.alias("there"))
+    stars = stars.groupBy("at", "rest").agg(F.bit_or("there").alias("there")).where("bit_count(there) > 1")
+    members = F.expr(
+        "transform(filter(sequence(0, 3), k -> (shiftright(there, k) & 1) = 1), "
+        "k -> rest | shiftleft(cast(shiftright(k, 1) as bigint), at div 64) | shiftleft(cast(k & 1 as bigint), at % 64))")
+    stars = stars.select(F.sort_array(members).alias("fps"))
+    starred = stars.select(F.col("fps")[0].alias("a"), F.explode(F.slice("fps", 2, 3)).alias("b"))
     return pairs.unionByName(starred).distinct()
 
 
