@@ -52,3 +52,19 @@ def test_dealt_rows_are_written_without_a_shuffle(spark, scratch):
     read = {k: spark.read.parquet(f"{scratch}/dealt-{k}/{v}") for k, v in made.items()}
     assert len(read[True].inputFiles()) == 7 and len(read[False].inputFiles()) < 7
     assert sorted(read[True].collect()) == sorted(read[False].collect())
+
+
+def test_store_rows_of_shipments_stay_dealt_over_a_fixed_number_of_parts(spark):
+    """Each store row becomes hundreds of rows: the engine must not gather the few store rows in one task before that."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        j = job_for(spark, SF)
+        j.shipment_plan_level, j.store_attributes
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        stores = "hashpartitioning(plan_to_nbr#"
+        p = j.shipment_rows_with_stores()._jdf.queryExecution().executedPlan().toString()
+        assert [x for x in p.splitlines() if stores in x and "_salt" in x and "REPARTITION_BY_NUM" in x], p
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
